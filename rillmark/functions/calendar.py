@@ -57,11 +57,11 @@ def days_in_yearmon(yearmon: Column, leap: bool = True) -> Column:
 
 
 def start_of_month(month: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(d) for d in MONTH_STARTS]), month)
+    return F.when(month.isNotNull(), F.element_at(F.array(*[F.lit(d) for d in MONTH_STARTS]), month))
 
 
 def end_of_month(month: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(d) for d in MONTH_ENDS]), month)
+    return F.when(month.isNotNull(), F.element_at(F.array(*[F.lit(d) for d in MONTH_ENDS]), month))
 
 
 def doy_to_month(doy: Column) -> Column:

@@ -100,8 +100,7 @@ def integrate(df: DataFrame, keys: list[str], stats: list[str], variables: list[
     per_var: dict[str, dict[str, float]] = {}
     for v, name, p in tails:
         per_var.setdefault(v, {})[name] = p
-    # the grouped pass also lists every key, so keys whose values are all missing keep their row
-    parts = [df.groupBy(*keys).agg(*[a.alias(n) for n, a in plain.items()]) if plain else df.select(*keys).distinct()]
+    parts = [df.groupBy(*keys).agg(*[a.alias(n) for n, a in plain.items()])] if plain else []
     parts += [ordered.quantiles(df, keys, v, ps, bounded) for v, ps in per_var.items()]
     return reduce(lambda a, b: a.join(b, keys, "left"), parts)
 

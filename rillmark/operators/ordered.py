@@ -21,11 +21,7 @@ HOT_KEYS = 4096
 SLICES = 128
 
 
-def _on(a: DataFrame, b: DataFrame, keys: list[str]):
-    return [a[k].eqNullSafe(b[k]) for k in keys]
-
-
-def _with_slices(base: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+def _with_slices(base: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> DataFrame:
     sizes = base.groupBy(*keys).agg(F.count("*").alias("_rows"))
     share = sizes.agg((F.sum("_rows") / F.lit(HOT_KEYS)).alias("share")).scalar()
     hot = sizes.where((F.col("_rows") > hot_rows) & (F.col("_rows") > share))
@@ -44,7 +40,7 @@ def _with_slices(base: DataFrame, keys: list[str], order: list[str], hot_rows: i
     number = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("_cuts", lambda c: c <= F.struct(*order)))
     )
-    return sliced.withColumn("_slice", number), cuts
+    return sliced.withColumn("_slice", number)
 
 
 def running_totals(base: DataFrame, keys: list[str], order: list[str], measures: list[str],
@@ -65,7 +61,7 @@ def running_totals(base: DataFrame, keys: list[str], order: list[str], measures:
             | {f"all_{m}": F.sum(m).over(whole) for m in measures}
         )
 
-    sliced, _ = _with_slices(base, keys, order, HOT_ROWS if hot_rows is None else hot_rows)
+    sliced = _with_slices(base, keys, order, HOT_ROWS if hot_rows is None else hot_rows)
     earlier, whole = before(keys + ["_slice"])
     per_slice = sliced.where(F.col("_cuts").isNotNull()).groupBy(*keys, "_slice").agg(
         *[F.sum(m).alias(m) for m in measures]
@@ -94,12 +90,15 @@ def running_totals(base: DataFrame, keys: list[str], order: list[str], measures:
 
 def ordered_counts(df: DataFrame, keys: list[str], value: str, bounded: bool = False,
                    hot_rows: int | None = None) -> DataFrame:
-    """(keys, value, m, below_m, all_m) for the distinct defined values of each key."""
-    base = df.where(F.col(value).isNotNull())
+    """(keys, value, m, below_m, all_m): runs of equal values of each key in order.
+
+    Missing values form a run of multiplicity 0 at the end, so a key without values keeps a row.
+    """
+    base = df.select(*keys, value)
     if bounded:
         # one shuffle serves the merge of equal values and the window
         base = base.repartition(*keys)
-    base = base.groupBy(*keys, value).agg(F.count("*").alias("m"))
+    base = base.groupBy(*keys, value).agg(F.count(value).alias("m"))
     return running_totals(base, keys, [value], ["m"], bounded, hot_rows)
 
 
@@ -119,6 +118,6 @@ def quantile_column(value: str, p: float) -> Column:
 
 def quantiles(df: DataFrame, keys: list[str], value: str, ps: dict[str, float], bounded: bool = False,
               hot_rows: int | None = None) -> DataFrame:
-    """Exact quantiles per key, one output column per entry of ``ps``; keys without defined values give no row."""
+    """Exact quantiles per key, one output column per entry of ``ps``."""
     oc = ordered_counts(df, keys, value, bounded, hot_rows)
     return oc.groupBy(*keys).agg(*[quantile_column(value, p).alias(name) for name, p in ps.items()])

@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ("statistics", "elementary")
+FAMILIES = ("statistics", "elementary", "distributions")
 
 
 def load_all():
