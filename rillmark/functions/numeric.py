@@ -10,7 +10,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -65,33 +65,68 @@ def horner(coefficients, x):
     return out
 
 
-def norm_ppf(p: Column) -> Column:
-    """Quantile of the standard normal distribution; infinite at 0 and 1, NULL outside."""
+def _ppf(p: Column, q: Column, rest: Column) -> Column:
     def ratio(table, x):
         return horner(table[0][::-1], x) / horner(table[1][::-1], x)
 
-    q = p - 0.5
     centre = q * ratio(PPF_CENTRE, F.lit(0.180625) - q * q)
-    rest = F.sqrt(-F.ln(F.when(q < 0, p).otherwise(1 - p)))
     tail = F.when(rest <= 5, ratio(PPF_MIDDLE, rest - 1.6)).otherwise(ratio(PPF_TAIL, rest - 5))
     return (F.when(p == 0, F.lit(float("-inf"))).when(p == 1, F.lit(float("inf")))
             .when((p < 0) | (p > 1), None)
-            .when(F.abs(q) <= 0.425, centre).otherwise(F.when(q < 0, -tail).otherwise(tail)))
+            .when(F.abs(q) <= 0.425, centre).otherwise(F.signum(q) * tail))
 
 
-def norm_cdf(x: Column) -> Column:
-    """Probability of the standard normal distribution."""
-    z = F.abs(x)
-    e = F.exp(-z * z / 2)
+def _ppf_parts(p: Column) -> tuple[Column, Column]:
+    inside = F.when((p > 0) & (p < 1), p)
+    return p - 0.5, F.sqrt(-F.ln(F.when(inside < 0.5, inside).otherwise(1 - inside)))
+
+
+def norm_ppf(p: Column) -> Column:
+    """Quantile of the standard normal distribution; infinite at 0 and 1, NULL outside."""
+    return _ppf(p, *_ppf_parts(p))
+
+
+def _upper_tail(z: Column, e: Column) -> Column:
     near = e * horner(CDF_NUMERATOR, z) / horner(CDF_DENOMINATOR, z)
     far = z + 0.65
     for n in (4, 3, 2, 1):
         far = z + F.lit(float(n)) / far
-    upper = (F.when(z > 37, F.lit(0.0)).when(z < 7.07106781186547, near)
-             .otherwise(e / far / math.sqrt(2 * math.pi)))
+    return (F.when(z > 37, F.lit(0.0)).when(z < 7.07106781186547, near)
+            .otherwise(e / far / math.sqrt(2 * math.pi)))
+
+
+def norm_cdf(x: Column) -> Column:
+    """Probability of the standard normal distribution."""
+    z = F.abs(x)
+    upper = _upper_tail(z, F.exp(-z * z / 2))
     return F.when(x.isNull(), None).when(x > 0, 1 - upper).otherwise(upper)
 
 
+# The same in steps: each intermediate value is a column of its own projection, computed once per row,
+# which keeps the generated code small however the input was computed.
+
+def with_anomaly(df: DataFrame, p: str, output: str) -> DataFrame:
+    """Add the anomaly of the probability ``p``, between ±100."""
+    q, rest = _ppf_parts(F.col(p))
+    out = df.withColumns({"_q": q, "_rest": rest})
+    out = out.withColumn(output, _ppf(F.col(p), F.col("_q"), F.col("_rest"))).drop("_q", "_rest")
+    bounded = F.least(F.greatest(F.col(output), F.lit(-MAX_ANOMALY)), F.lit(MAX_ANOMALY))
+    return out.withColumn(output, F.when(F.col(output).isNotNull(), bounded))
+
+
+def with_return_period(df: DataFrame, sa: str, output: str) -> DataFrame:
+    """Add the signed return period of an anomaly, between ±1000."""
+    z = F.abs(F.col(sa))
+    out = df.withColumns({"_z": z, "_e": F.exp(-z * z / 2)})
+    out = out.withColumn("_tail", _upper_tail(F.col("_z"), F.col("_e")))
+    return out.withColumn(output, _rp(F.col(sa), F.col("_tail"))).drop("_z", "_e", "_tail")
+
+
+def _rp(sa: Column, tail: Column) -> Column:
+    size = F.when(tail * MAX_RETURN_PERIOD <= 1, F.lit(MAX_RETURN_PERIOD)).otherwise(1 / tail)
+    return F.when(sa.isNotNull(), F.signum(sa) * size)
+
+
 def ln_gamma(x: Column) -> Column:
     """Logarithm of the gamma function for x > 0."""
     # shifting by one keeps the series in its range for x below 1/2
@@ -124,9 +159,8 @@ def qua_gev(p: Column, location: Column, scale: Column, shape: Column) -> Column
 
 def sa2rp(sa: Column) -> Column:
     """Signed return period of an anomaly, between ±1000; 0 for an anomaly of 0."""
-    tail = norm_cdf(-F.abs(sa))
-    size = F.when(tail * MAX_RETURN_PERIOD <= 1, F.lit(MAX_RETURN_PERIOD)).otherwise(1 / tail)
-    return F.when(sa.isNotNull(), F.signum(sa) * size)
+    z = F.abs(sa)
+    return _rp(sa, _upper_tail(z, F.exp(-z * z / 2)))
 
 
 def rp2sa(rp: Column) -> Column:
@@ -143,69 +177,85 @@ def quantile2rp(q: Column) -> Column:
             .when(q > 0, -1 / q).when(q <= 0, F.lit(float("-inf"))))
 
 
-def bounded_anomaly(p: Column) -> Column:
-    """Anomaly of a probability between ±100."""
-    z = norm_ppf(p)
-    return F.when(z.isNotNull(), F.least(F.greatest(z, F.lit(-MAX_ANOMALY)), F.lit(MAX_ANOMALY)))
-
-
 def _lower_gamma(a, x):
-    """Regularized lower incomplete gamma for arrays: series below a + 1, continued fraction above."""
+    """Regularized lower incomplete gamma for arrays.
+
+    Small shapes by series below a + 1 and continued fraction above; large ones by quadrature around
+    the mode, whose cost does not grow with the shape (Press et al., Numerical Recipes, section 6.2).
+    """
     import numpy as np
 
-    lg = np.vectorize(math.lgamma, otypes=[float])(a)
     out = np.zeros_like(x)
-    low = (x > 0) & (x < a + 1)
+    lg = np.vectorize(math.lgamma, otypes=[float])(np.minimum(a, 200.0))
+    low = (x > 0) & (x < a + 1) & (a < 100)
     if low.any():
         al, xl = a[low], x[low]
         term = 1 / al
-        total = term.copy()
-        n = al.copy()
-        for _ in range(100_000):
+        total, n = term.copy(), al.copy()
+        while np.any(term > total * 1e-17):
             n += 1
             term = term * xl / n
             total += term
-            if np.all(term <= total * 1e-16):
-                break
         out[low] = total * np.exp(-xl + al * np.log(xl) - lg[low])
-    high = x >= a + 1
+    high = (x >= a + 1) & (a < 100)
     if high.any():
         ah, xh = a[high], x[high]
         tiny = 1e-300
         b = xh + 1 - ah
-        c = np.full_like(b, 1 / tiny)
-        d = 1 / b
+        c, d = np.full_like(b, 1 / tiny), 1 / b
         h = d.copy()
-        for i in range(1, 100_000):
+        for i in range(1, 2000):
             an = -i * (i - ah)
             b = b + 2
             d = an * d + b
             d = 1 / np.where(np.abs(d) < tiny, tiny, d)
             c = b + an / c
             c = np.where(np.abs(c) < tiny, tiny, c)
-            step = d * c
-            h = h * step
-            if np.all(np.abs(step - 1) < 1e-15):
+            h = h * d * c
+            if np.all(np.abs(d * c - 1) < 1e-15):
                 break
         out[high] = 1 - np.exp(-xh + ah * np.log(xh) - lg[high]) * h
+    big = (a >= 100) & (x > 0)
+    if big.any():
+        m, xb = a[big] - 1, x[big]
+        s = np.sqrt(m)
+        end = np.where(xb > m, np.maximum(m + 11.5 * s, xb + 6 * s), np.maximum(0.0, np.minimum(m - 7.5 * s, xb - 5 * s)))
+        knots, weights = np.polynomial.legendre.leggauss(64)
+        t = xb[:, None] + (end - xb)[:, None] * (knots + 1) / 2
+        rel = (t - m[:, None]) / m[:, None]
+        density = np.exp(m[:, None] * (np.log1p(rel) - rel)) @ weights / 2
+        area = density * (end - xb) / (np.sqrt(2 * np.pi * m) * np.exp(1 / (12 * m) - 1 / (360 * m**3)))
+        out[big] = np.where(xb > m, 1 - area, -area)
     return out
 
 
 def _inverse_lower_gamma(a, p):
-    """x with P(a, x) = p by bisection in the logarithm, so that tiny values keep their digits."""
+    """x with P(a, x) = p: Halley steps from the Wilson-Hilferty value."""
     import numpy as np
 
-    lo, hi = np.full_like(p, -700.0), np.log(a + 1) + 1.0
-    for _ in range(60):
-        small = _lower_gamma(a, np.exp(hi)) < p
-        if not small.any():
+    tail = np.sqrt(-2 * np.log(np.where(p < 0.5, p, 1 - p)))
+    z = (2.30753 + tail * 0.27061) / (1 + tail * (0.99229 + tail * 0.04481)) - tail
+    z = np.where(p < 0.5, -z, z)
+    t = 1 - a * (0.253 + a * 0.12)
+    with np.errstate(all="ignore"):
+        small = np.where(p < t, (p / t) ** (1 / a), 1 - np.log(1 - (p - t) / (1 - t)))
+    x = np.where(a > 1, np.maximum(1e-3, a * (1 - 1 / (9 * a) - z / (3 * np.sqrt(a))) ** 3), small)
+    m = a - 1
+    lg = np.vectorize(math.lgamma, otypes=[float])(a)
+    norm = np.where(a > 100, -0.5 * np.log(2 * np.pi * np.maximum(m, 1)) - 1 / (12 * np.maximum(m, 1)),
+                    m * np.log(np.maximum(m, 1e-300)) - m - lg)
+    for _ in range(40):
+        err = _lower_gamma(a, x) - p
+        with np.errstate(all="ignore"):
+            log_pdf = np.where(a > 100, m * (np.log(x / m) - x / m + 1) + norm, -x + m * np.log(x) - lg)
+            u = err / np.exp(log_pdf)
+            step = u / (1 - 0.5 * np.minimum(1.0, u * (m / x - 1)))
+        step = np.where(np.isfinite(step), step, 0.0)
+        new = x - step
+        x = np.where(new <= 0, 0.5 * x, new)
+        if np.all(np.abs(step) < 1e-13 * x):
             break
-        hi = np.where(small, hi + 0.5, hi)
-    for _ in range(100):
-        mid = (lo + hi) / 2
-        less = _lower_gamma(a, np.exp(mid)) < p
-        lo, hi = np.where(less, mid, lo), np.where(less, hi, mid)
-    return np.exp((lo + hi) / 2)
+    return x
 
 
 @F.pandas_udf(DoubleType())
@@ -232,30 +282,41 @@ def inverse_lower_gamma(a: pd.Series, p: pd.Series) -> pd.Series:
 NORMAL_BELOW = 1e-6
 
 
-def cdf_pe3(x: Column, location: Column, scale: Column, shape: Column) -> Column:
+def _with_cdf_pe3(df: DataFrame, x: str, params: list[str], output: str) -> DataFrame:
     """Pearson III with location = mean, scale = standard deviation, shape = skewness."""
+    location, scale, shape = (F.col(c) for c in params)
     alpha = F.when(F.abs(shape) >= NORMAL_BELOW, 4 / (shape * shape))
-    z = 2 * (x - location) / F.nullif(scale * shape, F.lit(0.0)) + alpha
-    p = lower_gamma(alpha, F.greatest(F.lit(0.0), z))
-    defined = x.isNotNull() & location.isNotNull() & scale.isNotNull() & shape.isNotNull()
-    return F.when(defined, F.when(F.abs(shape) < NORMAL_BELOW, norm_cdf((x - location) / scale))
-                  .when(shape < 0, 1 - p).otherwise(p))
+    out = df.withColumns({"_a": alpha, "_z": (F.col(x) - location) / F.nullif(scale, F.lit(0.0))})
+    out = out.withColumn("_g", lower_gamma("_a", F.greatest(F.lit(0.0), 2 * F.col("_z") / F.nullif(shape, F.lit(0.0)) + F.col("_a"))))
+    p = F.when(F.col("_a").isNull(), norm_cdf(F.col("_z"))).when(shape < 0, 1 - F.col("_g")).otherwise(F.col("_g"))
+    defined = F.col("_z").isNotNull() & shape.isNotNull()
+    return out.withColumn(output, F.when(defined, p)).drop("_a", "_z", "_g")
 
 
-def qua_pe3(p: Column, location: Column, scale: Column, shape: Column) -> Column:
-    alpha = F.when(F.abs(shape) >= NORMAL_BELOW, 4 / (shape * shape))
+def _with_quantile_pe3(df: DataFrame, p: str, params: list[str], output: str) -> DataFrame:
+    location, scale, shape = (F.col(c) for c in params)
+    out = df.withColumn("_a", F.when(F.abs(shape) >= NORMAL_BELOW, 4 / (shape * shape)))
+    out = out.withColumn("_g", inverse_lower_gamma("_a", F.when(shape > 0, F.col(p)).otherwise(1 - F.col(p))))
     beta = F.abs(scale * shape) / 2
-    upper = location - alpha * beta + beta * inverse_lower_gamma(alpha, p)
-    lower = location + alpha * beta - beta * inverse_lower_gamma(alpha, 1 - p)
-    return (F.when(F.abs(shape) < NORMAL_BELOW, location + scale * norm_ppf(p))
-            .when(shape > 0, upper).otherwise(lower))
-
-
-CDF = {"gev": cdf_gev, "pe3": cdf_pe3}
-QUANTILE = {"gev": qua_gev, "pe3": qua_pe3}
-
-
-def distribution(table: dict, name: str):
-    if name not in table:
-        raise ValueError(f"unknown distribution: {name}")
-    return table[name]
+    side = F.when(shape > 0, 1.0).otherwise(-1.0)
+    q = F.when(F.col("_a").isNull(), location + scale * norm_ppf(F.col(p))).otherwise(
+        location + side * beta * (F.col("_g") - F.col("_a")))
+    return out.withColumn(output, F.when(shape.isNotNull(), q)).drop("_a", "_g")
+
+
+def with_cdf(df: DataFrame, distribution: str, x: str, params: list[str], output: str) -> DataFrame:
+    """Add the probability of column ``x`` under the named distribution with parameter columns ``params``."""
+    if distribution == "gev":
+        return df.withColumn(output, cdf_gev(F.col(x), *[F.col(c) for c in params]))
+    if distribution == "pe3":
+        return _with_cdf_pe3(df, x, params, output)
+    raise ValueError(f"unknown distribution: {distribution}")
+
+
+def with_quantile(df: DataFrame, distribution: str, p: str, params: list[str], output: str) -> DataFrame:
+    """Add the quantile of column ``p`` under the named distribution."""
+    if distribution == "gev":
+        return df.withColumn(output, qua_gev(F.col(p), *[F.col(c) for c in params]))
+    if distribution == "pe3":
+        return _with_quantile_pe3(df, p, params, output)
+    raise ValueError(f"unknown distribution: {distribution}")

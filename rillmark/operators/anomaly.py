@@ -40,18 +40,13 @@ def with_fits(obs: DataFrame, fits: DataFrame, on: list[str], prefix: str = "")
 def standard_anomaly(obs: DataFrame, fits: DataFrame, on: list[str], value: str, distribution: str = "gev",
                      output: str | None = None) -> DataFrame:
     """Add the anomaly of ``value`` (default name ``<value>_sa``) under the fit with the same ``on`` columns."""
-    cdf = N.distribution(N.CDF, distribution)
-    out = with_fits(obs, fits, on).withColumn("_p", cdf(F.col(value), *_parameters()))
-    return out.withColumn(output or f"{value}_sa", N.bounded_anomaly(F.col("_p"))).drop("_p", *PARAMETERS)
-
-
-def with_return_period(df: DataFrame, sa: str, output: str) -> DataFrame:
-    return df.withColumn(output, N.sa2rp(F.col(sa)))
+    out = N.with_cdf(with_fits(obs, fits, on), distribution, value, list(PARAMETERS), "_p")
+    return N.with_anomaly(out, "_p", output or f"{value}_sa").drop("_p", *PARAMETERS)
 
 
 def return_period(obs: DataFrame, fits: DataFrame, on: list[str], value: str, distribution: str = "gev") -> DataFrame:
     """Add ``<value>_sa`` and ``<value>_rp``."""
-    return with_return_period(standard_anomaly(obs, fits, on, value, distribution), f"{value}_sa", f"{value}_rp")
+    return N.with_return_period(standard_anomaly(obs, fits, on, value, distribution), f"{value}_sa", f"{value}_rp")
 
 
 def plotting_position(rank: Column, n: Column) -> Column:
@@ -67,24 +62,23 @@ def nonparametric_anomaly(obs: DataFrame, history: DataFrame, on: list[str], val
     low, high = plotting_position(F.col("min_rank"), n), plotting_position(F.col("max_rank"), n)
     p = (F.when((low < 0.5) & (high > 0.5), 0.5)
          .when(F.abs(0.5 - low) < F.abs(0.5 - high), low).otherwise(high))
-    return (ranked.withColumn("_p", p).withColumn(f"{value}_sa", N.bounded_anomaly(F.col("_p")))
-            .drop("_p", "min_rank", "max_rank", "n_obs"))
+    return N.with_anomaly(ranked.withColumn("_p", p), "_p", f"{value}_sa").drop("_p", "min_rank", "max_rank", "n_obs")
 
 
 def bias_correct(forecast: DataFrame, retro_fits: DataFrame, obs_fits: DataFrame, on: list[str], value: str,
                  distribution: str = "gev", output: str | None = None) -> DataFrame:
     """Map a forecast through its own past distribution to that of the observations."""
-    cdf, quantile = N.distribution(N.CDF, distribution), N.distribution(N.QUANTILE, distribution)
     out = with_fits(with_fits(forecast, retro_fits, on, "_retro_"), obs_fits, on, "_obs_")
-    known = F.col("_retro_location").isNotNull() & F.col("_retro_scale").isNotNull() & F.col("_retro_shape").isNotNull()
-    p = F.when(known, cdf(F.col(value), *_parameters("_retro_"))).otherwise(F.lit(0.5))
+    retro, observed = ([pre + p for p in PARAMETERS] for pre in ("_retro_", "_obs_"))
+    out = N.with_cdf(out, distribution, value, retro, "_p")
     least = 1 / N.EXTREME_CUTOFF
+    p = F.coalesce("_p", F.lit(0.5))
     out = out.withColumn("_p", F.when(F.col(value).isNotNull(), F.greatest(F.least(p, F.lit(1 - least)), F.lit(least))))
-    corrected = F.when(F.col(value).isNull(), None).when(
-        F.col("_obs_scale").isNull() | F.col("_obs_shape").isNull(), F.col("_obs_location")
-    ).otherwise(quantile(F.col("_p"), *_parameters("_obs_")))
-    return out.withColumn(output or value, corrected).drop(
-        "_p", *[pre + p for pre in ("_retro_", "_obs_") for p in PARAMETERS])
+    out = N.with_quantile(out, distribution, "_p", observed, "_q")
+    corrected = (F.when(F.col(value).isNull(), None)
+                 .when(F.col("_obs_scale").isNull() | F.col("_obs_shape").isNull(), F.col("_obs_location"))
+                 .otherwise(F.col("_q")))
+    return out.withColumn(output or value, corrected).drop("_p", "_q", *retro, *observed)
 
 
 def raw_to_quantile(forecast: DataFrame, retro_fits: DataFrame, on: list[str], value: str, output: str) -> DataFrame:

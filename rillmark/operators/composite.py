@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.transforms import VarSpec, clamp, select_vars
-from .anomaly import standard_anomaly, with_return_period
+from ..functions.numeric import with_return_period
+from .anomaly import standard_anomaly
 
 # fixed values: thresholds for "both", and the bound of return periods
 RP_THRESHOLD = 3.0

@@ -57,18 +57,21 @@ def l_moments(df: DataFrame, keys: list[str], value: str, bounded: bool = False)
 
 
 def _gev(lm: DataFrame) -> DataFrame:
-    """Generalized extreme value parameters from L-moments; the shape by Newton steps, one projection each."""
+    """Generalized extreme value parameters from L-moments; the shape by Newton steps."""
     t3 = F.when((F.col("t3") > -1) & (F.col("t3") < 1), F.col("t3"))
     c = 2 / (3 + t3) - math.log(2) / math.log(3)
-    out = lm.withColumn("_k", 7.8590 * c + 2.9554 * c * c)
+    start = 7.8590 * c + 2.9554 * c * c
+
+    def step(k: Column) -> Column:
+        p2, p3 = F.pow(F.lit(2.0), -k), F.pow(F.lit(3.0), -k)
+        u, v = 1 - p3, 1 - p2
+        slope = 2 * (math.log(3) * p3 * v - math.log(2) * p2 * u) / (v * v)
+        return F.when(F.abs(k) < N.GUMBEL_BELOW, k).otherwise(k - (2 * u / v - 3 - F.col("t3")) / slope)
+
+    # a fold keeps the expression small: the steps are not written out one inside the other
+    out = lm.withColumn("_k", F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), start, lambda k, _: step(k)))
     k = F.col("_k")
     small = F.abs(k) < N.GUMBEL_BELOW
-    for _ in range(NEWTON_STEPS):
-        out = out.withColumns({"_p2": F.pow(F.lit(2.0), -k), "_p3": F.pow(F.lit(3.0), -k)})
-        u, v = 1 - F.col("_p3"), 1 - F.col("_p2")
-        f = 2 * u / v - 3 - F.col("t3")
-        slope = 2 * (math.log(3) * F.col("_p3") * v - math.log(2) * F.col("_p2") * u) / (v * v)
-        out = out.withColumn("_k", F.when(small, k).otherwise(k - f / slope))
     out = out.withColumn("_g", F.when(~small & (k > -1), N.gamma(1 + k)))
     out = out.withColumn("scale", F.when(small, F.col("l2") / math.log(2)).otherwise(
         F.col("l2") * k / ((1 - F.pow(F.lit(2.0), -k)) * F.col("_g"))))
@@ -76,7 +79,7 @@ def _gev(lm: DataFrame) -> DataFrame:
         "location": F.when(small, F.col("l1") - EULER * F.col("scale")).otherwise(
             F.col("l1") - F.col("scale") * (1 - F.col("_g")) / k),
         "shape": F.when(small, F.lit(0.0)).otherwise(k),
-    }).drop("_k", "_g", "_p2", "_p3")
+    }).drop("_k", "_g")
 
 
 def _pe3(lm: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ("statistics", "elementary", "distributions")
+FAMILIES = ("statistics", "elementary", "distributions", "relational")
 
 
 def load_all():

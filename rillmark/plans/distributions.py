@@ -10,6 +10,7 @@ from ..operators import anomaly as A
 from ..operators import composite as K
 from ..operators import fit as D
 from ..operators import windows as W
+from ..session import cut_lineage
 from ..sources.scan import scan_hindcast
 from . import sqltext as S
 from .registry import query, r, rounded, rsql
@@ -109,9 +110,8 @@ def d7(spark, sf_dir):
 def d8(spark, sf_dir):
     fits = D.fit(lens(spark, sf_dir, "layers"), ["cell_id"], "value", "pe3")
     out = A.with_fits(lens(spark, sf_dir, "layers"), fits, ["cell_id"])
-    params = [F.col(c) for c in FIT]
-    out = out.withColumn("p", N.cdf_pe3(F.col("value"), *params))
-    return out.select("cell_id", "layer", r("value").alias("value"), r("p").alias("p"), r(N.qua_pe3(F.col("p"), *params), 4).alias("back"))
+    out = N.with_quantile(N.with_cdf(out, "pe3", "value", list(FIT), "p"), "pe3", "p", list(FIT), "back")
+    return out.select("cell_id", "layer", r("value").alias("value"), r("p").alias("p"), r("back", 4).alias("back"))
 
 
 @query("d9_value_at", with_lenses("obs", _SPARSE + S.gev("f", "v", "cell_id, month", "x", 5, 5) + f"""
@@ -159,8 +159,9 @@ def d12(spark, sf_dir):
     x = lens(spark, sf_dir, "obs").select(
         "cell_id", "yearmon", ((F.col("T") - 5) * 1.1).alias("x"),
         F.when(F.col("month") % 2 == 0, 1 + F.col("Pr") / 9).otherwise(-1 - F.col("Pr") / 9).alias("y"))
-    return x.select("cell_id", "yearmon", r(N.sa2rp(F.col("x")), 5).alias("rp"), r(N.rp2sa(F.col("y"))).alias("sa"),
-                    r(N.rp2quantile(F.col("y"))).alias("quantile"), r(N.quantile2rp(F.col("x") / 12 + 0.5), 5).alias("rp_of_quantile"))
+    out = N.with_return_period(x, "x", "rp").withColumn("sa", N.rp2sa(F.col("y")))
+    return out.select("cell_id", "yearmon", r("rp", 5).alias("rp"), r("sa").alias("sa"),
+                      r(N.rp2quantile(F.col("y"))).alias("quantile"), r(N.quantile2rp(F.col("x") / 12 + 0.5), 5).alias("rp_of_quantile"))
 
 
 @query("d13_return_period", with_lenses("obs", _SCORED + f"SELECT cell_id, yearmon, {rsql('sa', 4)} AS Pr_sa, {rsql(S.sa2rp('sa'), 3)} AS Pr_rp FROM sa"))
@@ -356,7 +357,7 @@ def _composite_sql(src: str, t: float, bound: str = "") -> str:
 _RP = f""", rp AS (SELECT cell_id, month_index, -coalesce(0 - {S.sa2rp('neg')}, 0) AS neg, {S.sa2rp('ws')} AS ws, {S.sa2rp('bt')} AS bt, {S.sa2rp('ro')} AS ro FROM sa)"""
 
 
-def score_windows(obs, n: int, cut=None):
+def score_windows(obs, n: int):
     """Rolling statistics of the composite variables with their anomalies and return periods (wide)."""
     plan = {"PETmE": ("sum",), "Ws": ("ave",), "Bt_RO": ("sum",), "RO_mm": ("sum",)}
     rolled = W.rolling_integrate(obs, ["cell_id"], n, plan).withColumn("month", (F.col("month_index") % 12 + 1).cast("int"))
@@ -415,7 +416,8 @@ SELECT aw.cell_id, aw.month_index, {rsql('aw.s', 2)} AS surplus, {rsql('aw.d', 2
 FROM aw JOIN cr ON cr.cell_id = aw.cell_id AND cr.month_index = aw.month_index"""))
 def c7(spark, sf_dir):
     keys = ["cell_id", "month_index"]
-    wide = score_windows(lens(spark, sf_dir, "obs"), 3)
+    # three later steps read these scores, so they are written once
+    wide = cut_lineage(score_windows(lens(spark, sf_dir, "obs"), 3))
     sa, rp = K.standard_composite(wide, keys, "standard_anomaly", 3), K.standard_composite(wide, keys, "return_period", 3)
     fits = fit_composites(sa, ["cell_id"])
     out = K.adjusted_composite(sa, fits, rp, keys, ["cell_id"])

@@ -42,3 +42,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder so later rounds neither recompute nor re-plan it."""
     _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """The folder for intermediate tables, shared by all executors."""
+    _checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
