@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ("statistics", "elementary", "distributions", "relational")
+FAMILIES = ("statistics", "elementary", "distributions", "relational", "spatial")
 
 
 def load_all():
