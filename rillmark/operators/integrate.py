@@ -162,13 +162,14 @@ def ranks(df: DataFrame, history: DataFrame, keys: list[str], value: str, observ
 
 
 def layer_slice(df: DataFrame, starts: DataFrame, keys: list[str], layer: str, value: str, start: str, n: int,
-                fill: float | None) -> DataFrame:
-    """``n`` layers from a start given per key (1-based positions), ``fill`` outside or where missing is absent."""
+                fill: float | None = None, seed: int | None = None) -> DataFrame:
+    """``n`` layers from a start given per key; layers that do not exist take ``fill``, or normal noise with a seed."""
     wanted = starts.select(*keys, F.posexplode(F.sequence(F.col(start), F.col(start) + n - 1)).alias("position", layer))
     present = df.select(*keys, layer, value, F.lit(True).alias("_inside"))
     out = wanted.join(present, [*keys, layer], "left")
+    outside = F.lit(fill).cast("double") if seed is None else F.randn(seed)
     return out.select(*keys, (F.col("position") + 1).alias("position"),
-                      F.when(F.col("_inside"), F.col(value)).otherwise(F.lit(fill).cast("double")).alias(value))
+                      F.when(F.col("_inside"), F.col(value)).otherwise(outside).alias(value))
 
 
 def ensemble_weights(members: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -81,10 +81,10 @@ def block_aggregate(df: DataFrame, factor: int, value: str, stat: str, by: list[
 
 
 def mean_doy(doy: Column) -> Column:
-    """Aggregate: circular mean of days 1…365."""
+    """Aggregate: circular mean of days 1…365; halves go up, whatever the last digits of the sums."""
     angle = (doy - 1) * DOY_TO_RADIANS
     mean = F.atan2(F.sum(F.sin(angle)), F.sum(F.cos(angle)))
-    day = 1 + F.floor(F.when(mean < 0, mean + 2 * math.pi).otherwise(mean) / DOY_TO_RADIANS + 0.5)
+    day = 1 + F.floor(F.when(mean < 0, mean + 2 * math.pi).otherwise(mean) / DOY_TO_RADIANS + 0.5 + 1e-9)
     return F.when(day > 365, day - 365).otherwise(day).cast("int")
 
 

@@ -2,7 +2,7 @@
 
 import importlib
 
-FAMILIES = ("statistics", "elementary", "distributions", "relational", "spatial")
+FAMILIES = ("statistics", "elementary", "distributions", "relational", "spatial", "power", "crops", "streams")
 
 
 def load_all():

@@ -54,7 +54,7 @@ def z4(spark, sf_dir):
 
 
 _DOY = """, a AS (SELECT row_no // 2 AS row_no, col_no // 2 AS col_no, atan2(sum(sin((d - 1) * 2 * pi() / 365)), sum(cos((d - 1) * 2 * pi() / 365))) AS m FROM g GROUP BY 1, 2)
-, b AS (SELECT row_no, col_no, 1 + floor(CASE WHEN m < 0 THEN m + 2 * pi() ELSE m END / (2 * pi() / 365) + 0.5e0) AS doy FROM a)
+, b AS (SELECT row_no, col_no, 1 + floor(CASE WHEN m < 0 THEN m + 2 * pi() ELSE m END / (2 * pi() / 365) + 0.5e0 + 1e-9) AS doy FROM a)
 SELECT CAST(row_no AS INT) AS row_no, CAST(col_no AS INT) AS col_no, CAST(CASE WHEN doy > 365 THEN doy - 365 ELSE doy END AS INT) AS d FROM b"""
 
 
