@@ -41,6 +41,8 @@ CDF_NUMERATOR = (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.9
                  221.213596169931, 220.206867912376)
 CDF_DENOMINATOR = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674,
                    637.333633378831, 793.826512519948, 440.413735824752)
+# terms of the continued fraction beyond 7 standard deviations
+FRACTION_TERMS = 16
 # fixed values: Lanczos approximation of the gamma function, g = 7, n = 9
 LANCZOS_G = 7
 LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
@@ -89,7 +91,7 @@ def norm_ppf(p: Column) -> Column:
 def _upper_tail(z: Column, e: Column) -> Column:
     near = e * horner(CDF_NUMERATOR, z) / horner(CDF_DENOMINATOR, z)
     far = z + 0.65
-    for n in (4, 3, 2, 1):
+    for n in range(FRACTION_TERMS, 0, -1):
         far = z + F.lit(float(n)) / far
     return (F.when(z > 37, F.lit(0.0)).when(z < 7.07106781186547, near)
             .otherwise(e / far / math.sqrt(2 * math.pi)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.numeric import CDF_DENOMINATOR, CDF_NUMERATOR, PPF_CENTRE, PPF_MIDDLE, PPF_TAIL, horner
+from ..functions.numeric import CDF_DENOMINATOR, CDF_NUMERATOR, FRACTION_TERMS, PPF_CENTRE, PPF_MIDDLE, PPF_TAIL, horner
 
 
 def ppf(p: str) -> str:
@@ -20,7 +20,7 @@ def ppf(p: str) -> str:
 def cdf(x: str) -> str:
     z = f"abs({x})"
     far = f"({z} + 0.65e0)"
-    for n in (4, 3, 2, 1):
+    for n in range(FRACTION_TERMS, 0, -1):
         far = f"({z} + {n}e0 / {far})"
     upper = f"""(CASE WHEN {z} > 37 THEN 0e0 WHEN {z} < 7.07106781186547e0 THEN exp(-{z} * {z} / 2) * {horner(CDF_NUMERATOR, z)} / {horner(CDF_DENOMINATOR, z)}
       ELSE exp(-{z} * {z} / 2) / {far} / sqrt(2 * pi()) END)"""
