@@ -147,7 +147,8 @@ def complete(df: DataFrame, keys: list[str], **dims) -> DataFrame:
 
 # ---- nearest neighbours ---------------------------------------------------------------------------
 
-HALVINGS = 24
+PARTS = 4
+SPLITS = 12
 LEAF = 16
 
 
@@ -165,9 +166,9 @@ def nearest_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     Both sides have ``lat`` and ``lon``. Points become unit vectors, so neither the date line nor the
     poles need care, and are put into cubes as wide as the search distance: candidates lie in the 27
     cubes around a point. Where a cube holds more than ``leaf`` places it is not paired with its
-    points but halved, again and again, dropping every sub-cube that cannot hold the nearest place;
-    so a crowded cube costs each point a few sub-cubes per halving, not its whole content. Equal
-    places are merged first, on both sides.
+    points but split into smaller cubes, again and again, dropping every one that cannot hold the
+    nearest place; so a crowded cube costs each point a few cubes per split, not its whole content.
+    Equal places are merged first, on both sides.
     """
     chord = 2 * math.sin(min(max_m / EARTH_RADIUS_M, math.pi) / 2)
     edge = max(chord, 1e-9)
@@ -184,9 +185,6 @@ def nearest_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
         home = F.floor(F.col(f"q{a}") / edge)
         frontier = frontier.withColumn(f"_{a}", F.explode(F.sequence(home - 1, home + 1)))
 
-    def occupied(width: float) -> DataFrame:
-        return sites.groupBy(*_box(width)).agg(F.count("*").alias("_n"))
-
     def lower_and_upper(width: float) -> tuple[Column, Column]:
         """Smallest and largest squared chord from the query to anywhere in its candidate cube."""
         low, high = [], []
@@ -198,24 +196,22 @@ def nearest_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
 
     box, width, found = [f"_{a}" for a in axes], edge, []
     where = ["_lat", "_lon"]
-    for _ in range(HALVINGS):
-        cells = occupied(width)
-        pairs = frontier.join(cells, box)
+    pairs = frontier.join(sites.groupBy(*_box(width)).agg(F.count("*").alias("_n")), box)
+    for split in range(SPLITS + 1):
         low, high = lower_and_upper(width)
         pairs = pairs.withColumns({"_low": low, "_high": high}).where(F.col("_low") <= chord * chord * (1 + 1e-9))
         bound = pairs.groupBy(*where).agg(F.min("_high").alias("_best"))
         pairs = cut_lineage(pairs.join(bound, where).where(F.col("_low") <= F.col("_best")).drop("_low", "_high", "_best"))
-        found.append((width, pairs.where(F.col("_n") <= leaf).drop("_n")))
+        # cubes of the last split are far below a millimetre: what is still together is compared place by place
+        last = split == SPLITS
+        found.append((width, (pairs if last else pairs.where(F.col("_n") <= leaf)).drop("_n")))
         crowded = pairs.where(F.col("_n") > leaf).drop("_n")
-        if crowded.isEmpty():
+        if last or crowded.isEmpty():
             break
-        halves = crowded
-        for a in axes:
-            halves = halves.withColumn(f"_{a}", F.explode(F.array(F.col(f"_{a}") * 2, F.col(f"_{a}") * 2 + 1)))
-        frontier, width = halves, width / 2
-    else:
-        # sub-millimetre cubes: whatever is still together is compared place by place
-        found.append((width, frontier))
+        width = width / PARTS
+        inner = sites.groupBy(*_box(width)).agg(F.count("*").alias("_n"))
+        inner = inner.select("_n", *[F.col(c).alias(f"_in{c}") for c in box], *[F.floor(F.col(c) / PARTS).alias(c) for c in box])
+        pairs = crowded.join(inner, box).drop(*box).withColumnsRenamed({f"_in{c}": c for c in box})
 
     hits = []
     for w, leaves in found:

@@ -26,14 +26,16 @@ def brute_nearest(left, right, limit):
     return out
 
 
-@pytest.mark.parametrize("leaf", [1, 16])
+@pytest.mark.parametrize("leaf", [2, 16])
 def test_nearest_match_in_crowded_places(spark, leaf):
     rnd = random.Random(3)
     # a crowd of places within a few hundred metres, others across the date line and at the pole
     spots = [(48.0, 11.0)] * 60 + [(0.0, 179.999)] * 6 + [(0.0, -179.999)] * 6 + [(89.9999, 10.0)] * 4 + [(-30.0, 60.0)] * 4
-    right = [(j, (la + rnd.uniform(-2e-3, 2e-3) * (la < 89), lo + rnd.uniform(-2e-3, 2e-3))) for j, (la, lo) in enumerate(spots)]
+    off = lambda la, d: (la + rnd.uniform(-d, d) * (la < 89), rnd.uniform(-d, d) * (1 if la < 89 else 1e4))
+    place = lambda la, lo, d: (lambda o: (o[0], lo + o[1]))(off(la, d))
+    right = [(j, place(la, lo, 2e-3)) for j, (la, lo) in enumerate(spots)]
     right += [(1000, right[0][1])]  # the same place again
-    left = [(i, (la + rnd.uniform(-4e-3, 4e-3) * (la < 89), lo + rnd.uniform(-4e-3, 4e-3))) for i, (la, lo) in enumerate(spots)]
+    left = [(i, place(la, lo, 4e-3)) for i, (la, lo) in enumerate(spots)]
     left += [(500, (89.9999, -170.0)), (501, (10.0, 10.0))]
     mk = lambda rows, name: spark.createDataFrame([(i, p[0], p[1]) for i, p in rows], f"{name} INT, lat DOUBLE, lon DOUBLE")
     out = {r.id: (r.distance_m, r.site) for r in J.nearest_match(mk(left, "id"), mk(right, "site"), "id", "site", 1000.0, leaf).collect()}
