@@ -80,8 +80,8 @@ def integrate(df: DataFrame, keys: list[str], stats: list[str], variables: list[
               keep_names: bool = False, bounded: bool = False) -> DataFrame:
     """Several statistics of several variables per key, columns ``<var>_<stat>``.
 
-    Everything Spark can combine map-side is one pass; each variable asked for quantiles adds one
-    ordered pass. To repeat per value of a further dimension, add it to ``keys``.
+    Everything Spark can combine map-side is one pass; quantiles of all variables add one ordered
+    pass. To repeat per value of a further dimension, add it to ``keys``.
     """
     plain, tails = {}, []
     for spec in stats:
@@ -101,7 +101,8 @@ def integrate(df: DataFrame, keys: list[str], stats: list[str], variables: list[
     for v, name, p in tails:
         per_var.setdefault(v, {})[name] = p
     parts = [df.groupBy(*keys).agg(*[a.alias(n) for n, a in plain.items()])] if plain else []
-    parts += [ordered.quantiles(df, keys, v, ps, bounded) for v, ps in per_var.items()]
+    if per_var:
+        parts.append(ordered.quantiles_of_many(df, keys, per_var, bounded))
     return reduce(lambda a, b: a.join(b, keys, "left"), parts)
 
 
@@ -200,11 +201,10 @@ def ensemble_members(runs: DataFrame, run_time: str, issue: Column, now: Column
 def ensemble_summary(df: DataFrame, keys: list[str], variables: list[str], weight: str | None = None,
                      bounded: bool = False) -> DataFrame:
     """Quartiles over the members, columns ``<var>_q25`` …; unweighted unless a weight column is named."""
-    parts = []
-    for v in variables:
-        ps = {f"{v}_q{q}": q / 100 for q in ENSEMBLE_QUANTILES}
-        parts.append(ordered.quantiles(df, keys, v, ps, bounded) if weight is None
-                     else weighted_quantiles(df, keys, v, weight, ps, bounded))
+    wanted = {v: {f"{v}_q{q}": q / 100 for q in ENSEMBLE_QUANTILES} for v in variables}
+    if weight is None:
+        return ordered.quantiles_of_many(df, keys, wanted, bounded)
+    parts = [weighted_quantiles(df, keys, v, weight, ps, bounded) for v, ps in wanted.items()]
     return reduce(lambda a, b: a.join(b, keys, "full"), parts)
 
 

@@ -102,17 +102,17 @@ def ordered_counts(df: DataFrame, keys: list[str], value: str, bounded: bool = F
     return running_totals(base, keys, [value], ["m"], bounded, hot_rows)
 
 
-def value_at_rank(value: str, rank: Column) -> Column:
+def value_at_rank(value: str, rank: Column, where: Column = F.lit(True)) -> Column:
     """Aggregate: the value whose run of equal rows covers the 0-based ``rank``."""
-    covers = (F.col("below_m") <= rank) & (rank < F.col("below_m") + F.col("m"))
+    covers = where & (F.col("below_m") <= rank) & (rank < F.col("below_m") + F.col("m"))
     return F.max(F.when(covers, F.col(value)))
 
 
-def quantile_column(value: str, p: float) -> Column:
+def quantile_column(value: str, p: float, where: Column = F.lit(True)) -> Column:
     """Aggregate over :func:`ordered_counts`: linear interpolation at (n-1)p."""
     h = (F.col("all_m") - 1) * F.lit(float(p))
-    low, high = value_at_rank(value, F.floor(h)), value_at_rank(value, F.ceil(h))
-    part = F.max(h - F.floor(h))
+    low, high = value_at_rank(value, F.floor(h), where), value_at_rank(value, F.ceil(h), where)
+    part = F.max(F.when(where, h - F.floor(h)))
     return low + (high - low) * part
 
 
@@ -121,3 +121,14 @@ def quantiles(df: DataFrame, keys: list[str], value: str, ps: dict[str, float],
     """Exact quantiles per key, one output column per entry of ``ps``."""
     oc = ordered_counts(df, keys, value, bounded, hot_rows)
     return oc.groupBy(*keys).agg(*[quantile_column(value, p).alias(name) for name, p in ps.items()])
+
+
+def quantiles_of_many(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, float]], bounded: bool = False) -> DataFrame:
+    """The same for several variables in one ordered pass; ``wanted`` maps variables to {output: probability}."""
+    if len(wanted) == 1:
+        (value, ps), = wanted.items()
+        return quantiles(df, keys, value, ps, bounded)
+    long = df.select(*keys, *[F.col(v).cast("double").alias(v) for v in wanted]).unpivot(keys, list(wanted), "_variable", "_value")
+    oc = ordered_counts(long, [*keys, "_variable"], "_value", bounded)
+    return oc.groupBy(*keys).agg(*[
+        quantile_column("_value", p, F.col("_variable") == v).alias(name) for v, ps in wanted.items() for name, p in ps.items()])

@@ -100,7 +100,8 @@ def s6(spark, sf_dir):
     return rounded(out, *[c for c in out.columns if c != "loss_method"])
 
 
-@query("s6b_variables")
+@query("s6b_variables", with_lenses("obs", "\nUNION ALL ".join(
+    f"SELECT '{v}' AS variable, count({v}) AS n_defined FROM obs" for v in ("Pr", "T", "Ws", "RO_mm", "Bt_RO", "PETmE"))))
 def s6b(spark, sf_dir):
     df = lens(spark, sf_dir, "obs")
     names = S.variables(df, ["cell_id", "yearmon", "month_index", "month"])
@@ -312,7 +313,7 @@ def q2(spark, sf_dir):
     return Q.check_congruent(a, b, ["cell_id", "month_index"])
 
 
-@query("q3_check_units")
+@query("q3_check_units", with_lenses("obs", f"SELECT cell_id, {rsql('sum(Pr)')} AS Pr FROM obs GROUP BY 1"))
 def q3(spark, sf_dir):
     df = Q.with_units(lens(spark, sf_dir, "obs"), Pr="mm", T="degree_Celsius")
     Q.check_units(df, "Pr", "mm")
