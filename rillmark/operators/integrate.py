@@ -138,10 +138,10 @@ def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str,
     return df.select(*keys).distinct().join(found, keys, "left")
 
 
-def sorted_values(df: DataFrame, keys: list[str], value: str, bounded: bool = False) -> DataFrame:
+def sorted_values(df: DataFrame, keys: list[str], value: str, bounded: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Values in ascending order as rows (keys, position from 1, value), missing ones last."""
     base = df.groupBy(*keys, value).agg(F.count("*").alias("m"))
-    runs = ordered.running_totals(base, keys, [value], ["m"], bounded)
+    runs = ordered.running_totals(base, keys, [value], ["m"], bounded, hot_rows)
     return runs.select(*keys, F.explode(F.sequence(F.col("below_m") + 1, F.col("below_m") + F.col("m"))).alias("position"), value)
 
 

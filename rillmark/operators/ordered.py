@@ -13,33 +13,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it has more rows than this, and more than one part in HOT_KEYS of all rows.
-# Hence there are fewer than HOT_KEYS hot keys whatever the data, and their cut points (about
-# SLICES values each) are a few megabytes: small enough to broadcast by construction.
+# A key is hot when it has more rows than HOT_ROWS and more than one part in HOT_KEYS of all rows.
+# Hence there are fewer than HOT_KEYS hot keys whatever the data, and their cut points (some SLICES
+# values each, so about two million at most) are bounded by construction: small enough to broadcast.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 4096
-SLICES = 128
+SLICES = 512
+# steps of the search for a value among up to 4095 sorted cut points
+SEARCH_STEPS = (2048, 1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1)
+
+
+def _cuts_up_to(cuts: str, order: list[str]) -> Column:
+    """How many of the sorted cut points are not above the row, found in twelve comparisons."""
+    def step(at: Column, n: Column) -> Column:
+        return F.when(F.get(cuts, at + n - 1) <= F.struct(*order), at + n).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(n) for n in SEARCH_STEPS]), F.lit(0), step)
 
 
 def _with_slices(base: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> DataFrame:
+    """Add ``_slice``, the value range of a row of a hot key (0 for all other keys), and ``_cuts``, NULL unless hot.
+
+    The cut points of a key are those of its values whose hash falls into one residue class: spread
+    like the values, and the same in every attempt of a task.
+    """
     sizes = base.groupBy(*keys).agg(F.count("*").alias("_rows"))
     share = sizes.agg((F.sum("_rows") / F.lit(HOT_KEYS)).alias("share")).scalar()
     hot = sizes.where((F.col("_rows") > hot_rows) & (F.col("_rows") > share))
-    cut = F.struct(*order)
     stride = F.greatest(F.lit(1), F.floor(F.col("_rows") / SLICES))
     cuts = (
         base.join(F.broadcast(hot.withColumnsRenamed({k: f"_h_{k}" for k in keys})),
                   [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-        .where(F.pmod(F.xxhash64(*order), stride) == 0)
-        .groupBy(*keys).agg(F.sort_array(F.collect_set(cut)).alias("_cuts"))
+        .where(F.col(order[0]).isNotNull() & (F.pmod(F.xxhash64(*order), stride) == 0))
+        .groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct(*order))).alias("_cuts"))
     )
     sliced = base.join(
         F.broadcast(cuts.withColumnsRenamed({k: f"_c_{k}" for k in keys})),
         [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys], "left",
     ).drop(*[f"_c_{k}" for k in keys])
-    number = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_cuts", lambda c: c <= F.struct(*order)))
-    )
+    # missing values come last, so they make a range of their own after all others
+    number = (F.when(F.col("_cuts").isNull(), F.lit(0)).when(F.col(order[0]).isNull(), F.size("_cuts") + 1)
+              .otherwise(_cuts_up_to("_cuts", order)))
     return sliced.withColumn("_slice", number)
 
 
@@ -102,17 +116,19 @@ def ordered_counts(df: DataFrame, keys: list[str], value: str, bounded: bool = F
     return running_totals(base, keys, [value], ["m"], bounded, hot_rows)
 
 
-def value_at_rank(value: str, rank: Column, where: Column = F.lit(True)) -> Column:
+def value_at_rank(value: str, rank: Column, where: Column | None = None) -> Column:
     """Aggregate: the value whose run of equal rows covers the 0-based ``rank``."""
-    covers = where & (F.col("below_m") <= rank) & (rank < F.col("below_m") + F.col("m"))
+    covers = (F.col("below_m") <= rank) & (rank < F.col("below_m") + F.col("m"))
+    covers = covers if where is None else where & covers
     return F.max(F.when(covers, F.col(value)))
 
 
-def quantile_column(value: str, p: float, where: Column = F.lit(True)) -> Column:
+def quantile_column(value: str, p: float, where: Column | None = None) -> Column:
     """Aggregate over :func:`ordered_counts`: linear interpolation at (n-1)p."""
     h = (F.col("all_m") - 1) * F.lit(float(p))
     low, high = value_at_rank(value, F.floor(h), where), value_at_rank(value, F.ceil(h), where)
-    part = F.max(F.when(where, h - F.floor(h)))
+    part = h - F.floor(h)
+    part = F.max(part if where is None else F.when(where, part))
     return low + (high - low) * part
 
 
