@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of the mix."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode_documents(bpe.encode_documents(docs, path, public_tokenizers.PATTERN), path)
+    coded = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 

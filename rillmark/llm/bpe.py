@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from rillmark.llm.common import fields, plain
 
-#: Pieces and states a worker remembers; when full, the memory starts anew (results do not depend on it).
-MAX_PIECES, MAX_STATES = 2**19, 2**17
+#: Pieces, pairs and states a worker remembers; when full, the memory starts anew (results do not depend on it).
+MAX_PIECES, MAX_PAIRS, MAX_STATES = 2**19, 2**18, 2**16
 #: Bytes of results handed over at a time, and ids decoded at a time.
 OUT_BYTES, CHUNK_IDS = 16 << 20, 1 << 16
 
@@ -26,6 +26,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}
 
 
+#: A rank that no pair has.
+NEVER = 1 << 60
+
+
 class Transducer:
     """Merges as a transducer over bytes.
 
@@ -36,54 +40,91 @@ class Transducer:
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.children, self.token = ranks, [{}], [-1]
+        self.ranks, self.token = ranks, array("i", [-1])
+        #: node * 256 + byte -> node, and the nodes that have children
+        self.child: dict[int, int] = {}
         self.bytes_of = {r: t for t, r in ranks.items()}
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                node = self.children[node].setdefault(byte, len(self.token))
+                node = self.child.setdefault(node << 8 | byte, len(self.token))
                 if node == len(self.token):
-                    self.children.append({})
                     self.token.append(-1)
             self.token[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.inner = {key >> 8 for key in self.child}
+        self.pairs: dict[int, bool] = {}
+        self.spines: dict[int, list[int] | None] = {}
         self.forget()
 
     def forget(self) -> None:
         self.number = {((0, -1, ()),): 0}
         self.states, self.moves = [((0, -1, ()),)], [{}]
 
-    def merge(self, data: bytes) -> list[int]:
-        """The plain definition: join the neighbours of lowest rank until none can be joined."""
+    def merge(self, data: bytes, parts_left: int = 1) -> list[bytes]:
+        """The plain definition: join the neighbours of lowest rank until none can be joined or ``parts_left`` remain."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 60:
+        while len(parts) > parts_left:
+            rank, at = min((self.ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank == NEVER:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def spine(self, token: int, end: int) -> list[int] | None:
+        """The tokens which stand at the left (0) or right (-1) end of a token's bytes while it is made, from the byte up; None if the
+        merges never make it of its bytes."""
+        key = token << 1 | (end & 1)
+        if key not in self.spines:
+            data = self.bytes_of[token]
+            if len(data) == 1:
+                self.spines[key] = [token]
+            else:
+                halves = self.merge(data, 2)
+                below = self.spine(self.ranks[halves[end]], end) if len(halves) == 2 and halves[0] in self.ranks and halves[1] in self.ranks else None
+                self.spines[key] = below and [*below, token]
+        return self.spines[key]
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether the merges leave these two tokens as they are, side by side (``left`` -1: the start)."""
-        key = (left, right)
+        """Whether the merges leave these two tokens as they are, side by side (``left`` -1: the start).
+
+        Both grow from their bytes at the border; at each step the end of the one and the begin of the other could be joined instead of
+        growing on, if that has the lower rank (of equal ranks, the one further left comes first).
+        """
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            data = self.bytes_of[right] if left < 0 else self.bytes_of[left] + self.bytes_of[right]
-            if len(self.pairs) > 4 * MAX_PIECES:
+            if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merge(data) == ([right] if left < 0 else [left, right])
+            known = self.pairs[key] = self._fits(left, right)
         return known
 
+    def _fits(self, left: int, right: int) -> bool:
+        ups = self.spine(right, 0)
+        if left < 0 or not ups:
+            return bool(ups)
+        downs, i, j = self.spine(left, -1), 0, 0
+        while True:
+            own, other = downs[i + 1] if i + 1 < len(downs) else NEVER, ups[j + 1] if j + 1 < len(ups) else NEVER
+            rank = self.ranks.get(self.bytes_of[downs[i]] + self.bytes_of[ups[j]], NEVER)
+            if rank < NEVER and rank < own and rank <= other:
+                return False
+            if own == other == NEVER:
+                return True
+            if own <= other:
+                i += 1
+            else:
+                j += 1
+
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         alive, done = [], None
         for node, last, waiting in self.states[state]:
-            child = self.children[node].get(byte)
+            child = self.child.get(node << 8 | byte)
             if child is not None:
                 alive.append((child, last, waiting))
                 token = self.token[child]
                 if done is None and token >= 0 and self.fits(last, token):
                     done = (0, token, (*waiting, token))
-        alive = [h for h in alive if self.children[h[0]]] + [done]
+        alive = [h for h in alive if h[0] in self.inner] + [done]
         shared = 0
         shortest = min(len(h[2]) for h in alive)
         while shared < shortest and len({h[2][shared] for h in alive}) == 1:
@@ -218,6 +259,19 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode_documents`` of ``encode_documents`` in one pass, so that ids do not leave and enter the workers again."""
+    rows = fields(docs, "doc_id", "text").select("doc_id", plain("text").alias("text"))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary, decoded string"
+    arrow = pa.schema([("doc_id", _arrow_type(rows)), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
+
+    def run(batches):
+        encode, vocabulary = encoder(path, pattern), _vocabulary(path)
+        return _emit(batches, "text", lambda text: (len(ids := encode(text)) // 4, ids, "".join(decode(ids, vocabulary))), arrow)
+
+    return rows.mapInArrow(run, schema).withColumnRenamed("decoded", "text")
+
+
 def _arrow_type(rows: DataFrame) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

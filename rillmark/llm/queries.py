@@ -81,7 +81,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
