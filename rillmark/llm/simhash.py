@@ -9,7 +9,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.llm.common import fields, plain, set_aside, stored, text_key
@@ -148,31 +148,40 @@ def near_classes(docs: DataFrame, words: int = 3) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _table_keys(lanes: list[str]):
+    """A row for each fingerprint and table: the table's number t, its key k of KEY_BITS sampled bits, and 24 further bits to sort by."""
+    rng = random.Random(SEED)
+    samples = [rng.sample(range(64 * len(lanes)), KEY_BITS + 24) for _ in range(TABLES)]
+
+    def number(bits: np.ndarray) -> pa.Array:
+        return pa.array(bits.astype(np.int64) @ (1 << np.arange(bits.shape[1], dtype=np.int64)))
+
+    def run(batches):
+        for batch in batches:
+            values = np.stack([batch.column(x).to_numpy() for x in lanes], axis=1).astype(">i8")
+            bits = np.unpackbits(values.view(np.uint8).reshape(len(values), -1), axis=1)
+            for t, sample in enumerate(samples):
+                keys = [pa.array(np.full(len(values), t, np.int64)), number(bits[:, sample[:KEY_BITS]]), number(bits[:, sample[KEY_BITS:]])]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *keys], [*lanes, "t", "k", "then"])
+
+    return run
+
+
 def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(key, least, root) for every distinct text of documents: its key, smallest doc_id and class, linking texts of about this similarity.
 
     Shingle sets of Jaccard similarity s have angle arccos(2s / (1 + s)) at least where they are equally large, and that share of the bits
-    of their fingerprints differs; with 256 bits the measured distance has a deviation of 6 bits. Pairs are found in tables keyed by
+    of their fingerprints differs; with 256 bits the measured distance has a deviation of 6 bits, which is allowed on top. Pairs are found in tables keyed by
     sampled bits: within a bucket, texts sorted by further bits are compared with the bucket's first and with the three before them, so
     that a crowded bucket stays linear.
     """
     rows = fingerprints(docs, words, WIDE_BITS)
     lanes = [f"f{k}" for k in range(WIDE_BITS // 64)]
     texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least"), *(F.first(x).alias(x) for x in lanes)))
-    most = int(WIDE_BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + 2
+    most = int(WIDE_BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + 6
     prints = texts.select(*lanes).distinct()
     ident = F.xxhash64(*lanes).alias("id")
-    rng = random.Random(SEED)
-
-    def bits(sample: list[int]) -> Column:
-        parts = [F.shiftleft(F.shiftrightunsigned(F.col(lanes[b // 64]), b % 64).bitwiseAND(F.lit(1)), i) for i, b in enumerate(sample)]
-        return reduce(lambda x, y: x.bitwiseOR(y), parts)
-
-    tables = []
-    for t in range(TABLES):
-        sample = rng.sample(range(WIDE_BITS), KEY_BITS + 24)
-        tables.append(F.struct(F.lit(t).alias("t"), bits(sample[:KEY_BITS]).alias("k"), bits(sample[KEY_BITS:]).alias("then")))
-    keyed = prints.select(*lanes, F.explode(F.array(*tables)).alias("e")).select(*lanes, "e.t", "e.k", "e.then")
+    keyed = prints.mapInArrow(_table_keys(lanes), ", ".join(f"{x} long" for x in [*lanes, "t", "k", "then"]))
     w = Window.partitionBy("t", "k").orderBy("then", *lanes)
     me = F.struct(*lanes)
     others = F.array(F.first(me).over(w), F.lag(me, 1).over(w), F.lag(me, 2).over(w), F.lag(me, 3).over(w))
