@@ -124,8 +124,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model
     count = marks.count()
     share = min(1.0, most / max(1, count))
     drawn = marks.filter(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).withColumnRenamed("doc_id", "_id")
-    train = fields(docs, "doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("text", "toxic", "fold")
-    train = stored(train.repartition(8, F.xxhash64("text")))
+    train = fields(docs, "doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("_id", "text", "toxic", "fold")
+    train = stored(train.repartition(8, F.xxhash64("_id")).drop("_id"))
     lexicon = learn_lexicon(train.filter("fold = 0"))
     table = stored(with_features(train, lexicon, "toxic", "fold")).coalesce(4)
     classes = {(r.fold, r.toxic): r["count"] for r in table.groupBy("fold", "toxic").count().collect()}
