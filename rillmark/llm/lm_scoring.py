@@ -17,7 +17,7 @@ GRAMS = SYMBOLS**ORDER
 #: Weight of the shorter context in each longer one.
 BACKOFF = 8.0
 #: Bytes of text counted at a time.
-PART = 8 << 20
+PART = 4 << 20
 
 
 def grams(text: bytes) -> np.ndarray:
@@ -31,7 +31,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.coalesce("is_target", F.lit(False)).alias("is_target"), plain("text").cast("binary").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {True: np.zeros(GRAMS, np.int64), False: np.zeros(GRAMS, np.int64)}
+        counts = {True: np.zeros(GRAMS, np.uint32), False: np.zeros(GRAMS, np.uint32)}  # of one task's input
         for batch in batches:
             flags = batch.column("is_target").to_pylist()
             held, size = {True: [], False: []}, 0
@@ -43,13 +43,12 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     for f, parts in held.items():
                         if parts:
                             found = np.bincount(np.concatenate(parts))
-                            counts[f][: len(found)] += found
+                            counts[f][: len(found)] += found.astype(np.uint32)
                     held, size = {True: [], False: []}, 0
-        both = counts[False] + counts[True]
-        at = np.flatnonzero(both)
+        at = np.flatnonzero(counts[False] | counts[True])
         for begun in range(0, len(at), 1 << 16):
             part = at[begun : begun + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[True][part]), pa.array(both[part])], ["gram", "target", "background"])
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(own := counts[True][part].astype(np.int64)), pa.array(own + counts[False][part])], ["gram", "target", "background"])
 
     parts = rows.mapInArrow(run, "gram int, target long, background long")
     return parts.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
@@ -57,15 +56,18 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 def losses(gram: np.ndarray, count: np.ndarray) -> np.ndarray:
     """-ln p of every n-gram: each order's estimate leans on the next shorter one with weight BACKOFF, the shortest on equal chances."""
-    c3 = np.zeros(GRAMS)
-    c3[gram] = count
-    c3 = c3.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
-    c2 = c3.sum(axis=0)
+    c2 = np.bincount(gram & 0xFFFF, weights=count, minlength=SYMBOLS**2).reshape(SYMBOLS, SYMBOLS)
     c1 = c2.sum(axis=0)
     p1 = (c1 + BACKOFF / SYMBOLS) / (c1.sum() + BACKOFF)
     p2 = (c2 + BACKOFF * p1) / (c2.sum(axis=1, keepdims=True) + BACKOFF)
-    p3 = (c3 + BACKOFF * p2[None]) / (c3.sum(axis=2, keepdims=True) + BACKOFF)
-    return -np.log(p3).astype(np.float32).reshape(-1)
+    before = np.bincount(gram >> 8, weights=count, minlength=SYMBOLS**2).reshape(SYMBOLS, SYMBOLS, 1)
+    p3 = np.zeros(GRAMS, np.float32)
+    p3[gram] = count
+    p3 = p3.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
+    p3 += (BACKOFF * p2).astype(np.float32)
+    p3 /= (before + BACKOFF).astype(np.float32)
+    np.log(p3, out=p3)
+    return np.negative(p3, out=p3).reshape(-1)
 
 
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -80,7 +82,8 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = fields(docs, "doc_id", "text")
     chosen = fields(target, "doc_id").distinct().select(F.col("doc_id").alias("_id"), F.lit(True).alias("is_target"))
-    marked = rows.join(chosen, F.col("doc_id") == F.col("_id"), "left").select("text", "is_target")
+    # a merge join at every size: labels are not bounded
+    marked = rows.join(chosen.hint("merge"), F.col("doc_id") == F.col("_id"), "left").select("text", "is_target")
     counts = stored(gram_counts(marked)).toPandas()
     sent = spark.sparkContext.broadcast((counts.gram.to_numpy(np.int32), counts.target.to_numpy(np.int64), counts.background.to_numpy(np.int64)))
     texts = rows.select("doc_id", plain("text").cast("binary").alias("text"))
