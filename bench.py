@@ -35,12 +35,12 @@ def published_sum(spark, repeats: int = 20) -> dict[str, float]:
     rows = spark.range(1_000_000).select(
         (F.col("id") % 10_000).alias("cell_id"), F.when(F.xxhash64("id") % 100 != 0, F.rand(3)).alias("value")).repartition("cell_id").cache()
     rows.count()
-    vectors = rows.groupBy("cell_id").agg(F.collect_list(F.coalesce("value", F.lit(0.0))).alias("v")).coalesce(
+    vectors = rows.groupBy("cell_id").agg(F.collect_list(F.struct("value")).alias("v")).coalesce(
         spark.sparkContext.defaultParallelism).cache()
     vectors.count()
     plans = {
         "published_sum_rows": rows.groupBy("cell_id").agg(plain_stat("sum", F.col("value")).alias("s")),
-        "published_sum_vectors": vectors.select("cell_id", F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("s")),
+        "published_sum_vectors": vectors.select("cell_id", F.aggregate("v", F.lit(0.0), lambda a, x: a + F.coalesce(x["value"], F.lit(0.0))).alias("s")),
     }
     out = {}
     for name, plan in plans.items():

@@ -1,4 +1,7 @@
-"""User functions of the values of one cell, for what the built-in statistics cannot say."""
+"""User functions of the values of one cell, for what the built-in statistics cannot say.
+
+A function sees all values of its key at once, so one key must fit a task.
+"""
 
 from __future__ import annotations
 
@@ -8,28 +11,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import require_empty
-
-MAX_LAYERS = 1_000_000
-
-
-def _bounded(df: DataFrame, keys: list[str], max_layers: int) -> None:
-    """A user function sees all values of a key at once, so a key too large for a task is refused beforehand."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("layers")).where(F.col("layers") > max_layers)
-    require_empty(sizes, f"keys with more than {max_layers} layers")
-
 
 def _schema(df: DataFrame, keys: list[str], output: str) -> str:
     kinds = dict(df.dtypes)
     return ", ".join([f"`{k}` {kinds[k]}" for k in keys] + [output])
 
 
-def cell_apply(df: DataFrame, keys: list[str], value: str, order: str, fn: Callable, output: str, max_layers: int = MAX_LAYERS) -> DataFrame:
+def cell_apply(df: DataFrame, keys: list[str], value: str, order: str, fn: Callable, output: str) -> DataFrame:
     """``fn(values)`` per key, values as a numpy array in the order of ``order`` (missing as NaN).
 
     ``fn`` gives a number for an output like ``"spread DOUBLE"``, or a list for ``"smooth ARRAY<DOUBLE>"``.
     """
-    _bounded(df, keys, max_layers)
     name = output.split()[0]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -39,10 +31,8 @@ def cell_apply(df: DataFrame, keys: list[str], value: str, order: str, fn: Calla
     return df.select(*keys, order, value).groupBy(*keys).applyInPandas(run, _schema(df, keys, output))
 
 
-def cell_apply_with_parameters(df: DataFrame, parameters: DataFrame, keys: list[str], value: str, order: str, fn: Callable, output: str,
-                               max_layers: int = MAX_LAYERS) -> DataFrame:
+def cell_apply_with_parameters(df: DataFrame, parameters: DataFrame, keys: list[str], value: str, order: str, fn: Callable, output: str) -> DataFrame:
     """``fn(values, parameters)`` per key, where ``parameters`` has at most one row per key (given as a dict, empty when absent)."""
-    _bounded(df, keys, max_layers)
     name = output.split()[0]
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ CROPS = [
 ]
 # fixed values: crops of the published calendar (calendar id, id of the assessment, number of subcrops)
 CALENDAR_CROPS = [
-    (1, 1, 2), (2, 3, 2), (3, 2, 5), (4, 4, 2), (5, None, 2), (6, 5, 1), (7, 6, 1), (8, 7, 1), (9, 8, 1), (10, 9, 2), (11, 10, 1),
+    (1, 1, 2), (2, 3, 2), (3, 2, 5), (4, 4, 2), (5, None, 2), (6, 5, 1), (7, 6, 2), (8, 7, 1), (9, 8, 1), (10, 9, 2), (11, 10, 1),
     (12, 11, 1), (13, 12, 1), (14, 13, 1), (15, 14, 1), (16, 15, 1), (17, 16, 1), (18, None, 1), (19, None, 1), (20, None, 1),
     (21, 17, 1), (22, 18, 1), (23, 19, 1), (24, None, 1), (25, None, 1), (26, None, 5),
 ]
@@ -203,8 +204,10 @@ def unpivot_results(df: DataFrame, variables: list[str], id_column: str) -> Data
     rows = []
     for column in df.columns:
         found = re.match(rf"({prefix})_([a-z]+)_([a-z]+)(_\d+)?(?:_q(\d+))?$", column)
-        if column == id_column or not found:
+        if column == id_column:
             continue
+        if not found:
+            raise ValueError(f"column {column} does not name a variable, a method and a crop")
         var, method, crop, number, q = found.groups()
         rows.append(F.struct(
             F.lit(var).alias("variable"), F.lit(method).alias("method"), F.lit(crop).alias("crop"), F.lit(crop + (number or "")).alias("subcrop"),
@@ -273,11 +276,19 @@ def fit_yield_model(features: DataFrame, inputs: list[str], label: str, seed: in
 
 
 def score_yield(features: DataFrame, models: dict[str, object]) -> DataFrame:
-    """Predicted yields of all cells with a calendar, each crop by its own model."""
-    out = None
-    for name, model in models.items():
-        part = model.transform(features.where(model_name(F.col("crop")) == name)).drop("_features")
-        out = part if out is None else out.unionByName(part)
+    """Predicted yields, one row per row of ``features``, each crop by its own model.
+
+    Where an input is missing the yield is missing; a crop without a model is an error.
+    """
+    name = model_name(F.col("crop"))
+    known = F.coalesce(name.isin(list(models)), F.lit(False))
+    unknown = F.raise_error(F.concat(F.lit("no model for crop "), F.coalesce(F.col("crop"), F.lit("(missing)")))).cast("double")
+    out = features.where(~known).withColumn("yield", unknown)
+    for crop, model in models.items():
+        own = features.where(name == crop)
+        complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in model.stages[0].getInputCols()))
+        out = out.unionByName(model.transform(own.where(complete)).drop("_features"))
+        out = out.unionByName(own.where(~complete).withColumn("yield", F.lit(None).cast("double")))
     return out
 
 

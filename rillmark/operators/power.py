@@ -24,7 +24,7 @@ def upstream_capacity(basins: DataFrame, dams: DataFrame) -> DataFrame:
 
     ``dams`` may list a dam in several basins (on a border); the lowest basin id counts.
     """
-    placed = dams.groupBy("dam_id").agg(F.min("basin_id").alias("basin_id"), F.first("capacity").alias("capacity"))
+    placed = dams.groupBy("dam_id").agg(F.min("basin_id").alias("basin_id"), F.min_by("capacity", "basin_id").alias("capacity"))
     own = placed.groupBy("basin_id").agg(F.sum("capacity").alias("capacity"))
     local = basins.join(own, "basin_id", "left").select(
         F.col("basin_id").alias("id"), "downstream_id", F.coalesce("capacity", F.lit(0.0)).alias("capacity"))

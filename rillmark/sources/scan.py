@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
+from ..operators.quality import require_empty
 
 
 def scan(spark: SparkSession, path: str, variables: list[str] | None = None, fmt: str = "parquet", **options) -> DataFrame:
@@ -116,7 +117,9 @@ def available_hindcasts(schedule: DataFrame, target_month: int, lead: int, min_y
 def parse_calendar(lines: DataFrame, column: str = "value") -> DataFrame:
     """Condensed calendar lines ``unit crop n (area plant harvest)*n``, one row per subcrop."""
     t = F.split(F.trim(F.col(column)), r"\s+")
-    parts = lines.select(t.alias("t")).where(F.size("t") >= 3).withColumn("n", F.col("t")[2].cast("int"))
+    short = F.raise_error(F.concat(F.lit("not a calendar line: "), F.col(column))).cast("boolean")
+    whole = F.when(F.size(t) >= 3, F.lit(True)).when(F.trim(F.col(column)) == "", F.lit(False)).otherwise(short)
+    parts = lines.where(whole).select(t.alias("t")).withColumn("n", F.col("t")[2].cast("int"))
     rows = parts.where(F.col("n") > 0).select("t", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("subcrop"))
 
     def item(i: int) -> Column:
@@ -138,6 +141,8 @@ def scan_text_calendar(spark: SparkSession, path: str, header_lines: int = 0) ->
     if header_lines == 0:
         bad = F.raise_error(F.concat(F.lit("not a calendar line: "), F.col("value"))).cast("boolean")
         return parse_calendar(lines.where(F.when(is_row, F.lit(True)).when(F.trim("value") == "", F.lit(False)).otherwise(bad)))
+    others = lines.where(~is_row & (F.trim("value") != "")).groupBy(F.input_file_name().alias("file")).count()
+    require_empty(others.where(F.col("count") > header_lines), f"files with more than {header_lines} lines that are no calendar lines")
     return parse_calendar(lines.where(is_row))
 
 

@@ -18,10 +18,11 @@ def sink(df: DataFrame, path: str, partition_by: list[str], mode: str = "slice",
     """``create`` refuses an existing table, ``append`` adds rows, ``slice`` replaces only the partitions in ``df``.
 
     Rows of a partition are brought together first, spread over a few writers so that a large partition
-    (one month may be most of the table) is not written by one task.
+    (one month may be most of the table) is not written by one task. The writer follows from the row's values, so a task
+    that runs again sends its rows to the same places.
     """
     if files_per_partition:
-        df = df.repartition(*partition_by, (F.rand(17) * files_per_partition).cast("int"))
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
     writer = df.write.partitionBy(*partition_by)
     if mode == "create":
         writer.mode("errorifexists").parquet(path)

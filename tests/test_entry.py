@@ -1,5 +1,7 @@
 """The registered queries against DuckDB on the smallest tables."""
 
+import re
+
 import duckdb
 import pandas as pd
 import pytest
@@ -16,7 +18,7 @@ def test_every_query_with_sql_is_registered():
     queries, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(queries)
     weak = set(queries) - set(oracles)
-    assert weak == {"d8_pe3_functions", "g17_score_yield", "u4_random_fill"}
+    assert {n for n in weak if not re.match(r"op\d+_|pipeline$", n)} == {"d8_pe3_functions", "g17_score_yield", "u4_random_fill"}
 
 
 def test_entry(spark):
