@@ -98,6 +98,24 @@ def test_yield_model_runs_where_a_calendar_exists(spark):
     assert out.count() == 120 and out.where("yield IS NULL").isEmpty()
 
 
+def test_scored_yields_keep_rows_and_need_a_model(spark):
+    rows = [(i, "wheat_1", float(i) if i % 3 else None, 1.0, 2.0 * i) for i in range(30)]
+    df = spark.createDataFrame(rows, "cell_id INT, crop STRING, a DOUBLE, b DOUBLE, y DOUBLE")
+    models = {"winter_wheat": G.fit_yield_model(df, ["a", "b"], "y", trees=2)}
+    out = G.score_yield(df.drop("y"), models).collect()
+    assert len(out) == 30 and {r.cell_id for r in out if r["yield"] is None} == set(range(0, 30, 3))
+    with pytest.raises(Exception, match="no model for crop"):
+        G.score_yield(df.withColumn("crop", F.lit("rice_1")), models).collect()
+
+
+def test_calendar_lines_are_not_dropped(spark, tmp_path):
+    path = tmp_path / "calendar.txt"
+    path.write_text("head\n1 1 1 10.0 4 9\nbroken line\n")
+    with pytest.raises(ValueError, match="no calendar lines"):
+        S.scan_text_calendar(spark, str(path), 1)
+    assert S.scan_text_calendar(spark, str(path), 2).count() == 1
+
+
 def test_power_curves(spark):
     one = spark.range(1)
     val = lambda c: one.select(c.alias("v")).first().v
