@@ -83,24 +83,28 @@ def test_language_model(spark, docs, none):
     got = {r.doc_id: r for r in lm_scoring.score(docs, target).collect()}
     counts = [collections.Counter(), collections.Counter()]
     for i, t, *_ in ROWS:
-        b = b"\0\0" + (t or "").encode()
-        for g in zip(b, b[1:], b[2:]):
-            counts[1][g] += 1
-            counts[0][g] += i in (14, 15)
+        counts[1].update(words(t))
+        counts[0].update(words(t) if i in (14, 15) else ())
     for m, name in ((0, "loss_target"), (1, "loss_background")):
-        c3, c2, ctx2, c1 = counts[m], collections.Counter(), collections.Counter(), collections.Counter()
+        c3, c2, ctx2, c1 = collections.Counter(), collections.Counter(), collections.Counter(), collections.Counter()
         before = collections.Counter()
-        for (a, b, c), n in c3.items():
-            c2[b, c] += n; ctx2[b] += n; c1[c] += n; before[a, b] += n
+        for word, n in counts[m].items():
+            b = b"\0\0" + word.encode() + b" "
+            for x, y, z in zip(b, b[1:], b[2:]):
+                c3[x, y, z] += n; c2[y, z] += n; ctx2[y] += n; c1[z] += n; before[x, y] += n
         n1, k = sum(c1.values()), lm_scoring.BACKOFF
-        for i in (12, 14, 11, 5):
-            b = b"\0\0" + TEXTS[i].encode()
+        total, kinds = sum(counts[m].values()), len(counts[m])
+        for i in (5, 7, 11, 14, 15, 17):
             loss = 0.0
-            for x, y, z in zip(b, b[1:], b[2:]):
-                p1 = (c1[z] + k / 256) / (n1 + k)
-                p2 = (c2[y, z] + k * p1) / (ctx2[y] + k)
-                loss -= np.log((c3[x, y, z] + k * p2) / (before[x, y] + k))
-            assert abs(got[i][name] - loss / (len(b) - 2)) < 1e-4
+            for word in words(TEXTS[i]):
+                b, spelling = b"\0\0" + word.encode() + b" ", 1.0
+                for x, y, z in zip(b, b[1:], b[2:]):
+                    p1 = (c1[z] + k / 256) / (n1 + k)
+                    p2 = (c2[y, z] + k * p1) / (ctx2[y] + k)
+                    spelling *= (c3[x, y, z] + k * p2) / (before[x, y] + k)
+                loss -= np.log((counts[m][word] + kinds * spelling) / (total + kinds))
+            assert abs(got[i][name] - loss / len(words(TEXTS[i]))) < 1e-4 and got[i].n_tokens == len(words(TEXTS[i]))
+    assert all(r.score == 0 for r in lm_scoring.score(docs.filter("doc_id < 3"), target).collect())
     assert got[14].score < got[12].score and got[0].score == 0 and len(got) == len(ROWS)
     assert lm_scoring.score(none, target).count() == 0
 
