@@ -25,32 +25,38 @@ def _start(network: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return cut_lineage(network.select("id", pointer.alias("ptr"), *[c.alias(n) for n, c in columns.items()]))
 
 
-def _advance(active: DataFrame, state: DataFrame) -> DataFrame:
-    """(id, nptr): the pointer of the pointer."""
-    return active.join(state.select(F.col("id").alias("ptr"), F.col("ptr").alias("nptr")), "ptr").select("id", "nptr")
+def _upstream_sums(network: DataFrame, values: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """(id, keys, names): each named column summed, per keys, over the node and everything upstream of it.
 
-
-def _upstream_sums(network: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """(id, totals): each column summed over the node and everything upstream of it."""
-    names = list(columns)
-    state = _start(network, columns)
+    The pointers do not depend on the keys, so many months or members share them. Nodes that have reached a sink leave the pointers.
+    """
+    active = _start(network, {}).where(F.col("ptr").isNotNull())
+    state = cut_lineage(values.select("id", *keys, *names))
     for _ in range(MAX_ROUNDS):
-        active = state.where(F.col("ptr").isNotNull())
         if active.isEmpty():
-            return state.drop("ptr")
-        pushed = active.groupBy(F.col("ptr").alias("id")).agg(*[F.sum(n).alias(f"_{n}") for n in names])
-        moved = _advance(active.select("id", "ptr"), state)
-        state = cut_lineage(
-            state.drop("ptr").join(pushed, "id", "left").join(moved, "id", "left")
-            .select("id", F.col("nptr").alias("ptr"), *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in names]))
+            return state
+        pushed = state.join(active, "id").drop("id").withColumnRenamed("ptr", "id")
+        state = cut_lineage(state.unionByName(pushed).groupBy("id", *keys).agg(*[F.sum(n).alias(n) for n in names]))
+        ahead = active.select(F.col("id").alias("ptr"), F.col("ptr").alias("nptr"))
+        active = cut_lineage(active.join(ahead, "ptr").select("id", F.col("nptr").alias("ptr")))
     raise ValueError("the network has a cycle")
 
 
-def accumulate(network: DataFrame, flow: str = "flow", output: str = "flow_out") -> DataFrame:
-    """Own flow plus all flow from upstream; a missing flow makes everything downstream missing."""
+def accumulate(network: DataFrame, flow: str = "flow", output: str = "flow_out", values: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
+    """Own flow plus all flow from upstream; a missing flow makes everything downstream missing.
+
+    Flows of many months or members come in ``values`` (id, ``by`` columns, flow) and are accumulated in one pass; the result then has
+    the (id, by) with a row at the node or upstream of it, and a row that is absent counts as a missing flow.
+    """
     value = F.col(flow).cast("double")
-    sums = _upstream_sums(network, {"s": F.coalesce(value, F.lit(0.0)), "gaps": F.when(value.isNull(), 1).otherwise(0).cast("bigint")})
-    return sums.select("id", F.when(F.col("gaps") == 0, F.col("s")).alias(output))
+    sums = {"s": F.coalesce(value, F.lit(0.0)), "n": F.when(value.isNull(), 0).otherwise(1).cast("bigint")}
+    by = by or []
+    flows = network if values is None else values.join(network.select("id"), "id", "left_semi")
+    flows = flows.select("id", F.lit(False).alias("_node"), *by, *[c.alias(n) for n, c in sums.items()])
+    nodes = network.select("id", F.lit(True).alias("_node"), F.lit(0.0).alias("s"), F.lit(1).cast("bigint").alias("n"))
+    total = _upstream_sums(network, flows.unionByName(nodes, allowMissingColumns=True), ["_node", *by], ["s", "n"])
+    whole = total.where("_node").select("id", F.col("n").alias("_nodes"))
+    return total.where("NOT _node").join(whole, "id").select("id", *by, F.when(F.col("n") == F.col("_nodes"), F.col("s")).alias(output))
 
 
 def downstream_flow(network: DataFrame, flow: str = "flow", output: str = "flow_downstream") -> DataFrame:
@@ -141,7 +147,7 @@ def accumulate_grid(dirs: DataFrame, flows: DataFrame, rows: int, cols: int, fac
     net = d8_to_network(dirs.select("row_no", "col_no", direction), rows, cols, wrap_x, wrap_y, direction)
     net = cut_lineage(net.join(amounts, ["row_no", "col_no"], "left"))
     own = F.col(flow).cast("double")
-    sums = _upstream_sums(net, {"s": F.coalesce(own, F.lit(0.0))})
+    sums = _upstream_sums(net, net.select("id", F.coalesce(own, F.lit(0.0)).alias("s")), [], ["s"])
     fed = net.where(F.col("downstream_id") > 0).select(F.col("downstream_id").alias("id")).distinct().withColumn("_fed", F.lit(True))
     out = (net.join(sums, "id").join(fed, "id", "left")
            .withColumn(flow, F.when(own.isNotNull() | F.col("_fed"), F.col("s"))).drop("s", "_fed"))
@@ -151,7 +157,7 @@ def accumulate_grid(dirs: DataFrame, flows: DataFrame, rows: int, cols: int, fac
 
 
 def basin_results(values: DataFrame, coverage: DataFrame, network: DataFrame, runoff: str, by: list[str] | None = None) -> DataFrame:
-    """Runoff summed per basin, and accumulated along the network (one value per basin)."""
-    local = zonal_stats(values, coverage, [runoff], by, ("sum",)).withColumnRenamed(f"{runoff}_sum", runoff)
-    basins = network.select("id", "downstream_id").join(local.withColumnRenamed("zone_id", "id"), "id", "left")
-    return accumulate(basins, runoff, f"Bt_{runoff}").join(local.withColumnRenamed("zone_id", "id"), "id", "left")
+    """Runoff summed per basin, and accumulated along the network: one value per basin, or per basin and ``by`` (months, members)."""
+    local = cut_lineage(zonal_stats(values, coverage, [runoff], by, ("sum",)).withColumnRenamed(f"{runoff}_sum", runoff).withColumnRenamed("zone_id", "id"))
+    flows = local if by else network.select("id").join(local, "id", "left")
+    return accumulate(network.select("id", "downstream_id"), runoff, f"Bt_{runoff}", flows, by).join(local, ["id", *(by or [])], "left")

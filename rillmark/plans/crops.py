@@ -300,7 +300,7 @@ def g15(spark, sf_dir):
     return rounded(G.dominant_calendar(fraction, irrigated, rainfed, keys), "irrigated_fraction")
 
 
-_ANOM = {"T_sa": "(T - 5) / 2", "Pr_sa": "(Pr - 180) / 70", "Ws_sa": "(Ws - 42) / 6"}
+_ANOM = {"T_sa": "(T - 5) / 2", "RO_mm_sa": "(RO_mm - 38) / 8", "Ws_sa": "(Ws - 42) / 6", "Bt_RO_sa": "(Bt_RO * 1000 - 200) / 90", "Pr_sa": "(Pr - 180) / 70", "PETmE_sa": "(PETmE - 4) / 2"}
 
 
 def _anoms_sql():

@@ -187,10 +187,11 @@ def e13(spark, sf_dir):
 
 @query("e14_append_boundaries", with_lenses("coverage", """
 , c AS (SELECT cell_id, min(zone_id) AS z FROM coverage GROUP BY 1), p AS (SELECT cell_id, min(zone_id * 10 + cell_id % 3) AS z FROM coverage WHERE cell_id % 5 <> 0 GROUP BY 1)
-SELECT c_custkey AS plant_id, c.z AS country_id, p.z AS province_id, b.z AS basin_id FROM customer LEFT JOIN c ON c.cell_id = c_custkey % 120
-LEFT JOIN p ON p.cell_id = c_custkey % 120 LEFT JOIN (SELECT cell_id, min(zone_id + 100) AS z FROM coverage WHERE fraction > 0.3e0 GROUP BY 1) b ON b.cell_id = c_custkey % 120"""))
+SELECT c_custkey AS plant_id, c.z AS country_id, p.z AS province_id, b.z AS basin_id FROM customer LEFT JOIN c ON c.cell_id = c_custkey % (SELECT count(*) + 20 FROM supplier)
+LEFT JOIN p ON p.cell_id = c_custkey % (SELECT count(*) + 20 FROM supplier) LEFT JOIN (SELECT cell_id, min(zone_id + 100) AS z FROM coverage WHERE fraction > 0.3e0 GROUP BY 1) b ON b.cell_id = c_custkey % (SELECT count(*) + 20 FROM supplier)"""))
 def e14(spark, sf_dir):
-    plants = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("plant_id"), (F.col("c_custkey") % 120).alias("cell_id"))
+    places = table(spark, sf_dir, "supplier").agg((F.count("*") + 20).alias("n")).scalar()
+    plants = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("plant_id"), (F.col("c_custkey") % places).alias("cell_id"))
     cov = lens(spark, sf_dir, "coverage")
     sets = {"country_id": cov, "province_id": cov.where("cell_id % 5 <> 0").withColumn("zone_id", F.col("zone_id") * 10 + F.col("cell_id") % 3),
             "basin_id": cov.where("fraction > 0.3").withColumn("zone_id", F.col("zone_id") + 100)}

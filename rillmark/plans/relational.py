@@ -198,9 +198,11 @@ def j3(spark, sf_dir):
 
 
 @query("j4_attach_zone", with_lenses("coverage", """
-SELECT c_custkey, z AS zone_id FROM customer LEFT JOIN (SELECT cell_id, min(zone_id) AS z FROM coverage GROUP BY 1) ON cell_id = c_custkey % 130"""))
+SELECT c_custkey, z AS zone_id FROM customer LEFT JOIN (SELECT cell_id, min(zone_id) AS z FROM coverage GROUP BY 1) ON cell_id = c_custkey % (SELECT count(*) + 30 FROM supplier)"""))
 def j4(spark, sf_dir):
-    points = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 130).alias("cell_id"))
+    # as many places as cells, and 30 without a zone
+    places = table(spark, sf_dir, "supplier").agg((F.count("*") + 30).alias("n")).scalar()
+    points = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % places).alias("cell_id"))
     return J.attach_zone(points, lens(spark, sf_dir, "coverage")).select("c_custkey", "zone_id")
 
 
@@ -242,7 +244,7 @@ def j7(spark, sf_dir):
     return rounded(out.select("cell_id", "share", "total"), "share", "total")
 
 
-_TARGETS = ", t AS (SELECT DISTINCT cell_id, target FROM members WHERE target BETWEEN 199901 AND 200103)"
+_TARGETS = ", t AS (SELECT DISTINCT cell_id, target FROM members)"
 
 
 @query("j8b_synthetic_forecast", with_lenses("obs members", _TARGETS + f"""
@@ -251,7 +253,7 @@ SELECT t.cell_id, t.target, {rsql('Pr')} AS perfect, {rsql('norm')} AS norm FROM
 LEFT JOIN n ON n.cell_id = t.cell_id AND n.month = t.target % 100"""))
 def j8b(spark, sf_dir):
     obs = lens(spark, sf_dir, "obs")
-    targets = lens(spark, sf_dir, "members").where("target BETWEEN 199901 AND 200103").select("cell_id", "target").distinct()
+    targets = lens(spark, sf_dir, "members").select("cell_id", "target").distinct()
     out = J.synthetic_forecast(targets, obs.select("cell_id", "yearmon", F.col("Pr").alias("perfect")), ["cell_id"], "yearmon")
     norm = I.climate_norm(obs, ["cell_id"], ["Pr"]).withColumnRenamed("Pr", "norm")
     return rounded(J.synthetic_forecast(out, norm, ["cell_id"], "month"), "perfect", "norm")

@@ -179,14 +179,32 @@ def n5_fine(spark, sf_dir):
     return rounded(N.accumulate_grid(g, coarse, rows, cols, factor=5), "value")
 
 
-@query("n6_basin_results", _recursive(with_lenses("obs network", f"""
-, cov AS (SELECT c_custkey % 90 AS cell_id, CAST(c_custkey + 1 AS BIGINT) AS zone_id, 0.5e0 + (c_custkey % 2) / 2e0 AS fraction FROM customer)
-, ro AS (SELECT cell_id, sum(RO_mm) AS RO_mm FROM obs GROUP BY 1)
-, lo AS (SELECT zone_id AS id, sum(RO_mm * fraction) AS RO_mm FROM ro JOIN cov ON cov.cell_id = ro.cell_id GROUP BY 1)
-, net AS (SELECT id, downstream_id FROM network)""" + _UP.format(net="net") + f"""
-SELECT root AS id, {rsql('sum(lo.RO_mm)', 4)} AS Bt_RO_mm, {rsql('any_value(me.RO_mm)', 4)} AS RO_mm FROM up JOIN lo ON lo.id = up.id JOIN lo me ON me.id = up.root GROUP BY root""")))
-def n6(spark, sf_dir):
-    runoff = lens(spark, sf_dir, "obs").groupBy("cell_id").agg(F.sum("RO_mm").alias("RO_mm"))
+_BASINS = """
+, cov AS (SELECT c_custkey % (SELECT count(*) FROM supplier) AS cell_id, CAST(c_custkey + 1 AS BIGINT) AS zone_id, 0.5e0 + (c_custkey % 2) / 2e0 AS fraction FROM customer)
+, ro AS (SELECT cell_id, {by} sum(RO_mm) AS RO_mm FROM obs GROUP BY ALL)
+, lo AS (SELECT zone_id AS id, {by} sum(RO_mm * fraction) AS RO_mm FROM ro JOIN cov ON cov.cell_id = ro.cell_id GROUP BY ALL)
+, net AS (SELECT id, downstream_id FROM network)""" + _UP.format(net="net")
+
+
+def _basins(spark, sf_dir, by):
+    runoff = lens(spark, sf_dir, "obs").groupBy("cell_id", *by).agg(F.sum("RO_mm").alias("RO_mm"))
+    cells = table(spark, sf_dir, "supplier").agg(F.count("*").alias("n")).scalar()
     k = F.col("c_custkey")
-    cov = table(spark, sf_dir, "customer").select((k % 90).alias("cell_id"), (k + 1).alias("zone_id"), (0.5 + (k % 2) / 2.0).alias("fraction"))
-    return rounded(N.basin_results(runoff, cov, lens(spark, sf_dir, "network"), "RO_mm"), "Bt_RO_mm", "RO_mm", digits=4)
+    cov = table(spark, sf_dir, "customer").select((k % cells).alias("cell_id"), (k + 1).alias("zone_id"), (0.5 + (k % 2) / 2.0).alias("fraction"))
+    return rounded(N.basin_results(runoff, cov, lens(spark, sf_dir, "network"), "RO_mm", by), "Bt_RO_mm", "RO_mm", digits=4)
+
+
+@query("n6_basin_results", _recursive(with_lenses("obs network", _BASINS.format(by="") + f"""
+, t AS (SELECT root, CASE WHEN count(*) = count(lo.RO_mm) THEN sum(lo.RO_mm) END AS total FROM up LEFT JOIN lo ON lo.id = up.id GROUP BY root)
+SELECT root AS id, {rsql('total', 4)} AS Bt_RO_mm, {rsql('me.RO_mm', 4)} AS RO_mm FROM t LEFT JOIN lo me ON me.id = root""")))
+def n6(spark, sf_dir):
+    return _basins(spark, sf_dir, [])
+
+
+@query("n6_basin_results_by_month", _recursive(with_lenses("obs network", _BASINS.format(by="month,") + f"""
+, nn AS (SELECT root, count(*) AS n FROM up GROUP BY root)
+, t AS (SELECT root, month, count(lo.RO_mm) AS n, sum(lo.RO_mm) AS total FROM up JOIN lo ON lo.id = up.id GROUP BY ALL)
+SELECT t.root AS id, t.month, {rsql('CASE WHEN t.n = nn.n THEN total END', 4)} AS Bt_RO_mm, {rsql('me.RO_mm', 4)} AS RO_mm
+FROM t JOIN nn ON nn.root = t.root LEFT JOIN lo me ON me.id = t.root AND me.month = t.month""")))
+def n6_by_month(spark, sf_dir):
+    return _basins(spark, sf_dir, ["month"])

@@ -338,17 +338,16 @@ def w3(spark, sf_dir):
     return rounded(out, *_PLAN_COLS, digits=9)
 
 
-# forecast lens: months after the issue month 200006 for each member, observed up to it
+# forecast lens: every half-year is forecast in the month before it, and observed up to then
 _FORECAST = """
-, fc AS (SELECT cell_id, 24005 AS issue_index, model, member,
-         CAST(floor(target / 100)*12 + target % 100 - 1 AS INT) AS month_index, Pr
-         FROM members WHERE target BETWEEN 200007 AND 200012)"""
+, fm AS (SELECT *, CAST(floor(target / 100)*12 + target % 100 - 1 AS INT) AS month_index FROM members)
+, fc AS (SELECT cell_id, CAST(floor(month_index / 6) * 6 - 1 AS INT) AS issue_index, model, member, month_index, Pr FROM fm)"""
 
 
 def forecast_lens(spark, sf_dir):
-    return lens(spark, sf_dir, "members").where(F.col("target").between(200007, 200012)).select(
-        "cell_id", F.lit(24005).alias("issue_index"), "model", "member",
-        (F.floor(F.col("target") / 100) * 12 + F.col("target") % 100 - 1).cast("int").alias("month_index"), "Pr")
+    month = (F.floor(F.col("target") / 100) * 12 + F.col("target") % 100 - 1).cast("int")
+    return lens(spark, sf_dir, "members").withColumn("month_index", month).select(
+        "cell_id", (F.floor(F.col("month_index") / 6) * 6 - 1).cast("int").alias("issue_index"), "model", "member", "month_index", "Pr")
 
 
 _J8 = _FORECAST + """
@@ -356,7 +355,7 @@ _J8 = _FORECAST + """
 , j AS (SELECT e.*, obs.month_index, obs.Pr FROM e JOIN obs ON obs.cell_id = e.cell_id
           AND obs.month_index BETWEEN end_index - 3 AND least(end_index, e.issue_index)
         UNION ALL
-        SELECT e.*, fc.month_index, fc.Pr FROM e JOIN fc ON fc.cell_id = e.cell_id AND fc.model = e.model AND fc.member = e.member
+        SELECT e.*, fc.month_index, fc.Pr FROM e JOIN fc ON fc.cell_id = e.cell_id AND fc.model = e.model AND fc.member = e.member AND fc.issue_index = e.issue_index
           AND fc.month_index BETWEEN greatest(end_index - 3, e.issue_index + 1) AND end_index)
 """
 
