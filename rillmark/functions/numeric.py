@@ -322,3 +322,9 @@ def with_quantile(df: DataFrame, distribution: str, p: str, params: list[str], o
     if distribution == "pe3":
         return _with_quantile_pe3(df, p, params, output)
     raise ValueError(f"unknown distribution: {distribution}")
+
+
+def noise(seed: int, *columns: str) -> Column:
+    """A standard normal number made of a seed and the values of columns, the same in every attempt and partitioning."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns])), 1, 12), 16, 10)
+    return norm_ppf((bits.cast("double") + 0.5) / float(1 << 48))

@@ -249,13 +249,14 @@ def yield_features(anomalies: DataFrame, calendar: DataFrame, yearmon: int, harv
     cal = calendar.where(F.col("plant_doy").isNotNull() & F.col("harvest_doy").isNotNull()).withColumns({"_plant": plant, "_end": end})
     months = cal.select("cell_id", "crop", F.explode(F.sequence(F.lit(0), F.lit(MODEL_MONTHS - 1))).alias("back"),
                         (F.lit(now - yearmon % 100 + ahead) + F.col("_end") - F.col("back")).alias("month_index"))
-    outside = F.lit(fill) if seed is None else F.randn(seed)
+    outside = F.lit(fill) if seed is None else N.noise(seed, "cell_id", "crop", "back")
     there = anomalies.select("cell_id", "month_index", *variables, F.lit(True).alias("_there"))
     rows = months.join(there, ["cell_id", "month_index"], "left").withColumns(
         {v: F.when(F.col("_there"), F.coalesce(F.col(v), F.lit(0.0))).otherwise(outside) for v in variables})
     rows = rows.withColumns({v: N.norm_cdf(F.col(v)) for v in variables})
-    wide = rows.groupBy("cell_id", "crop").agg(*[
-        F.max(F.when(F.col("back") == b, F.col(v))).alias(f"{v}_{b}") for v in variables for b in range(MODEL_MONTHS - 1, -1, -1)])
+    # twelve rows by construction; two calendars of one cell and crop are an error
+    wide = rows.groupBy("cell_id", "crop").agg(F.map_from_entries(F.collect_list(F.struct("back", F.struct(*variables)))).alias("_m"))
+    wide = wide.select("cell_id", "crop", *[F.col("_m")[b][v].alias(f"{v}_{b}") for v in variables for b in range(MODEL_MONTHS - 1, -1, -1)])
     # months are counted back from the harvest without wrapping, so a season over the year's end is always on
     season = {f"in_season_{b}": G.is_growing_season(F.col("_end") - b, F.col("_plant"), F.col("_end")).cast("int") for b in range(MODEL_MONTHS - 1, -1, -1)}
     flags = cal.select("cell_id", "crop", "irrigated_fraction", *[c.alias(n) for n, c in season.items()])

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import numeric as N
 from . import ordered
 
 # fixed values: standard windows in months and the statistics computed for each variable
@@ -70,32 +71,39 @@ def quantile_of(stat: str) -> float | None:
 def parse_stat(spec: str) -> tuple[str, list[str]]:
     """``stat::var1,var2`` restricts a statistic to variables, ``stat`` alone means all."""
     stat, _, names = spec.partition("::")
-    if not stat or (plain_stat(stat, F.lit(1.0)) is None and quantile_of(stat) is None
+    if not stat or (plain_stat(stat, F.lit(1.0)) is None and quantile_of(stat.lower().removeprefix("weighted_")) is None
                     and stat.lower() not in ("which_min", "which_max")):
         raise ValueError(f"unknown statistic: {spec}")
     return stat, [n.strip() for n in names.split(",") if n.strip()]
 
 
 def integrate(df: DataFrame, keys: list[str], stats: list[str], variables: list[str], layer: str | None = None,
-              keep_names: bool = False, bounded: bool = False) -> DataFrame:
-    """Several statistics of several variables per key, columns ``<var>_<stat>``.
+              keep_names: bool = False, bounded: bool = False, weight: str | None = None) -> DataFrame:
+    """Several statistics of several variables per key, columns ``<var>_<stat>`` in lower case of the statistic.
+
+    ``weighted_q<N>`` and ``weighted_median`` take the column ``weight``.
 
     Everything Spark can combine map-side is one pass; quantiles of all variables add one ordered
     pass. To repeat per value of a further dimension, add it to ``keys``.
     """
-    plain, tails = {}, []
+    plain, tails, weighted, asked = {}, [], {}, []
     for spec in stats:
         stat, names = parse_stat(spec)
         for v in names or variables:
-            name = v if keep_names else f"{v}_{stat}"
+            name = v if keep_names else f"{v}_{stat.lower()}"
+            asked.append(name)
             agg = plain_stat(stat, F.col(v))
             if agg is None and stat.lower().startswith("which_"):
                 agg = extreme_position(F.col(v), F.col(layer), stat.lower() == "which_max")
             if agg is not None:
                 plain[name] = agg
+            elif stat.lower().startswith("weighted_"):
+                if weight is None:
+                    raise ValueError(f"{stat} needs a column of weights")
+                weighted.setdefault(v, {})[name] = quantile_of(stat.lower().removeprefix("weighted_"))
             else:
                 tails.append((v, name, quantile_of(stat)))
-    if keep_names and len(plain) + len(tails) > len(set(plain) | {n for _, n, _ in tails}):
+    if keep_names and len(asked) > len(set(asked)):
         raise ValueError("only one statistic per variable when names are kept")
     per_var: dict[str, dict[str, float]] = {}
     for v, name, p in tails:
@@ -103,6 +111,7 @@ def integrate(df: DataFrame, keys: list[str], stats: list[str], variables: list[
     parts = [df.groupBy(*keys).agg(*[a.alias(n) for n, a in plain.items()])] if plain else []
     if per_var:
         parts.append(ordered.quantiles_of_many(df, keys, per_var, bounded))
+    parts += [weighted_quantiles(df, keys, v, weight, ps, bounded) for v, ps in weighted.items()]
     return reduce(lambda a, b: a.join(b, keys, "left"), parts)
 
 
@@ -164,11 +173,11 @@ def ranks(df: DataFrame, history: DataFrame, keys: list[str], value: str, observ
 
 def layer_slice(df: DataFrame, starts: DataFrame, keys: list[str], layer: str, value: str, start: str, n: int,
                 fill: float | None = None, seed: int | None = None) -> DataFrame:
-    """``n`` layers from a start given per key; layers that do not exist take ``fill``, or normal noise with a seed."""
+    """``n`` layers from a start given per key; layers that do not exist take ``fill``, or normal noise made of seed, key and position (from 0)."""
     wanted = starts.select(*keys, F.posexplode(F.sequence(F.col(start), F.col(start) + n - 1)).alias("position", layer))
     present = df.select(*keys, layer, value, F.lit(True).alias("_inside"))
     out = wanted.join(present, [*keys, layer], "left")
-    outside = F.lit(fill).cast("double") if seed is None else F.randn(seed)
+    outside = F.lit(fill).cast("double") if seed is None else N.noise(seed, *keys, "position")
     return out.select(*keys, (F.col("position") + 1).alias("position"),
                       F.when(F.col("_inside"), F.col(value)).otherwise(outside).alias(value))
 

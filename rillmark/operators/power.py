@@ -85,11 +85,14 @@ def summarize_losses(plants: DataFrame, losses: DataFrame, by: str, hours: int |
     joined = plants.join(losses.withColumnRenamed("id", "basin_id"), "basin_id").where(F.col(by).isNotNull())
     hydro = F.col("fuel") == "Hydro"
     lost = F.when(hydro, F.col("generation_mw") * F.col("hydropower_loss")).otherwise(0.0)
-    # a missing loss of a hydropower plant makes the sums missing rather than too small
-    known = F.bool_and(lost.isNotNull())
+
+    def whole(x: Column) -> Column:
+        # a missing term makes the sum missing rather than too small
+        return F.when(F.bool_and(x.isNotNull()), F.sum(x))
+
     sums = joined.groupBy(by, *keys).agg(
-        F.sum("capacity_mw").alias("capacity_tot_mw"), F.sum("generation_mw").alias("_gen"),
-        F.when(known, F.sum(lost)).alias("_lost"), F.sum(F.when(hydro, F.col("generation_mw")).otherwise(0.0)).alias("_hydro"))
+        whole(F.col("capacity_mw")).alias("capacity_tot_mw"), whole(F.col("generation_mw")).alias("_gen"),
+        whole(lost).alias("_lost"), whole(F.when(hydro, F.col("generation_mw")).otherwise(0.0)).alias("_hydro"))
     return sums.select(
         by, *keys, "capacity_tot_mw", (F.col("_gen") * hours).alias("generation_tot_mwh"),
         (F.col("_lost") * hours).alias("gross_loss_mwh"), (F.col("_lost") * hours).alias("hydro_loss_mwh"),

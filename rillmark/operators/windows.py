@@ -12,6 +12,10 @@ from .integrate import INTEGRATION_PLAN, plain_stat, quantile_of
 def _over(stat: str, x: Column, w) -> Column:
     if quantile_of(stat) is not None:
         return F.percentile(x, F.lit(quantile_of(stat))).over(w)
+    if stat.lower() == "fraction_defined":
+        return F.count(x).over(w) / F.count(F.lit(1)).over(w)
+    if stat.lower() == "fraction_defined_above_zero":
+        return F.try_divide(F.count(F.when(x > 0, 1)).over(w), F.count(x).over(w))
     agg = {"sum": F.sum, "ave": F.avg, "min": F.min, "max": F.max, "num_defined": F.count}[stat.lower()]
     out = agg(x).over(w)
     return F.coalesce(out, F.lit(0.0)) if stat.lower() == "sum" else out
@@ -34,7 +38,7 @@ def rolling_integrate_many(df: DataFrame, keys: list[str], windows: list[int], p
         w = by.rangeBetween(-(n - 1), 0)
         per_window.append(F.struct(
             F.lit(n).alias("window"), F.count(F.lit(1)).over(w).alias("_months"),
-            *[_over(s, F.col(v), w).alias(f"{v}_{s}") for v, stats in plan.items() for s in stats],
+            *[_over(s, F.col(v), w).alias(f"{v}_{s.lower()}") for v, stats in plan.items() for s in stats],
         ))
     wide = df.select(*keys, checked.alias("month_index"), *[p.alias(f"_w{n}") for n, p in zip(windows, per_window)])
     rows = wide.select(*keys, "month_index", F.explode(F.array(*[f"_w{n}" for n in windows])).alias("_w"))
@@ -73,6 +77,6 @@ def rolling_forecast(obs: DataFrame, forecast: DataFrame, issue: str, window: in
     for v, stats in plan.items():
         for s in stats:
             agg = plain_stat(s, F.col(v))
-            aggs.append((F.percentile(F.col(v), F.lit(quantile_of(s))) if agg is None else agg).alias(f"{v}_{s}"))
+            aggs.append((F.percentile(F.col(v), F.lit(quantile_of(s))) if agg is None else agg).alias(f"{v}_{s.lower()}"))
     return (joined.groupBy(*by).agg(F.count("*").alias("_months"), *aggs)
             .where(F.col("_months") == window).drop("_months"))

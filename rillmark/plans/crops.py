@@ -9,6 +9,7 @@ from ..functions import crops as X
 from ..lenses import lens, table, with_lenses
 from ..operators import crops as G
 from ..operators import joins as J
+from ..session import cut_lineage
 from . import sqltext as S
 from .registry import query, r, rounded, rsql
 
@@ -335,6 +336,7 @@ def g16(spark, sf_dir):
 def g17(spark, sf_dir):
     # yields to learn from are made of the features, so the forest has something to find
     now = _features(spark, sf_dir, "current_year").withColumn("truth", F.col("Pr_sa_0") - 0.5 * F.col("T_sa_2") + 0.1 * F.col("irrigated_fraction"))
+    now = cut_lineage(now)  # read by every level of every tree
     inputs = [f"{n}_{b}" for n in _ANOM for b in range(12)] + [f"in_season_{b}" for b in range(12)] + ["irrigated_fraction"]
     models = {c: G.fit_yield_model(now.where(F.col("crop") == c), inputs, "truth", trees=5) for c in ("maize", "wheat", "cotton")}
     return G.score_yield(_features(spark, sf_dir, "next_year"), models).select("cell_id", "crop", "harvest", r("yield").alias("yield"))

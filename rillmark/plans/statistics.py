@@ -97,6 +97,14 @@ def a10(spark, sf_dir):
                    "value_q70", digits=4)
 
 
+@query("a14_weighted", with_lenses("layers", _WQ.format(k="cell_id", x="value", w="weight", tie="layer", t="layers", p="0.3e0") + f"""
+, s1 AS (SELECT cell_id, coalesce(sum(value), 0) AS total, count(value) AS n FROM layers GROUP BY 1)
+SELECT s1.cell_id, {rsql('total')} AS value_sum, n AS value_num_defined, {rsql('v', 4)} AS value_weighted_q30 FROM s1 LEFT JOIN q ON q.cell_id = s1.cell_id"""))
+def a14_weighted(spark, sf_dir):
+    out = I.integrate(lens(spark, sf_dir, "layers"), ["cell_id"], ["SUM", "num_defined", "weighted_Q30"], ["value"], weight="weight")
+    return rounded(rounded(out, "value_sum"), "value_weighted_q30", digits=4)
+
+
 @query("a11_sorted_values", with_lenses("layers", f"""
 SELECT cell_id, row_number() OVER (PARTITION BY cell_id ORDER BY value ASC NULLS LAST) AS position, {rsql('value')} AS value FROM layers"""))
 def a11(spark, sf_dir):
@@ -321,6 +329,19 @@ def w1(spark, sf_dir):
     return rounded(out, "Pr_sum", "T_ave", "Ws_max", "RO_mm_median", digits=9)
 
 
+_SEEN = "(CASE WHEN b.month <> 4 THEN b.T - 5 END)"
+_ALL_STATS = {"sum": f"coalesce(sum({_SEEN}), 0)", "ave": f"avg({_SEEN})", "min": f"min({_SEEN})", "max": f"max({_SEEN})", "median": f"quantile_cont({_SEEN}, 0.5e0)",
+              "q25": f"quantile_cont({_SEEN}, 0.25e0)", "num_defined": f"count({_SEEN})", "fraction_defined": f"count({_SEEN}) / count(*)",
+              "fraction_defined_above_zero": f"count(*) FILTER ({_SEEN} > 0) / nullif(count({_SEEN}), 0)"}
+
+
+@query("w1_all_stats", with_lenses("obs", _window_sql(3, {f"x_{n}": e for n, e in _ALL_STATS.items()})))
+def w1_all(spark, sf_dir):
+    obs = lens(spark, sf_dir, "obs").withColumn("x", F.when(F.col("month") != 4, F.col("T") - 5))
+    out = W.rolling_integrate(obs, ["cell_id"], 3, {"x": tuple(_ALL_STATS)})
+    return out.select("cell_id", "month_index", *[r(F.col(f"x_{n}").cast("double"), 9).alias(f"x_{n}") for n in _ALL_STATS])
+
+
 _PLAN_COLS = {"Bt_RO_min": "min(b.Bt_RO)", "Bt_RO_max": "max(b.Bt_RO)", "Bt_RO_sum": "sum(b.Bt_RO)", "PETmE_sum": "sum(b.PETmE)",
               "Pr_sum": "sum(b.Pr)", "RO_mm_sum": "sum(b.RO_mm)", "T_ave": "avg(b.T)", "Ws_ave": "avg(b.Ws)"}
 

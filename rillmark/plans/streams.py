@@ -85,7 +85,11 @@ def u3(spark, sf_dir):
     return U.cell_apply_with_parameters(obs, params, ["cell_id"], "Pr", "month_index", above, "above BIGINT")
 
 
-@query("u4_random_fill")
+@query("u4_random_fill", with_lenses("layers", f"""
+, w AS (SELECT s.cell_id, CAST(p AS INT) AS position, ((cell_id % 9 - 4) + p - 1 + 23939) AS at, (CAST('0x' || substr(md5('11|' || cell_id || '|' || (p - 1)), 1, 12) AS BIGINT) + 0.5e0) / 281474976710656e0 AS u
+        FROM (SELECT DISTINCT cell_id FROM layers) s CROSS JOIN range(1, 13) t(p))
+SELECT w.cell_id, position, {rsql('CASE WHEN l.cell_id IS NOT NULL THEN l.value ELSE ' + S.ppf('u') + ' END')} AS value
+FROM w LEFT JOIN layers l ON l.cell_id = w.cell_id AND l.layer = w.at"""))
 def u4(spark, sf_dir):
     df = lens(spark, sf_dir, "layers").withColumn("pos", F.col("layer") - 23939)
     starts = df.select("cell_id").distinct().withColumn("start", F.col("cell_id").cast("int") % 9 - 4)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rillmark.functions import numeric as N
 from rillmark.operators import anomaly as A
 from rillmark.operators import composite as K
+from rillmark.operators import fit as D
 
 FITS = "cell_id INT, location DOUBLE, scale DOUBLE, shape DOUBLE"
 
@@ -102,3 +103,20 @@ def test_composites(spark):
     assert masked[2].surplus is None and masked[2].surplus_cause is None and masked[2].surplus_cause_name is None
     surplus, deficit = K.composite_spec("return_period", 12, 50)
     assert [s.name for s in surplus] == ["RO_mm_sum_rp_q50", "Bt_RO_sum_rp_q50"] and deficit[0].transforms == ("fill0", "negate")
+
+
+def test_fits_carry_their_distribution(spark):
+    rows = [(c, float(v)) for c in (1, 2) for v in (1, 2, 4, 7, 11, 16, 22, 29, 37, 46, 56, 90)]
+    df = spark.createDataFrame(rows, "cell_id int, x double")
+    gev, pe3 = D.fit(df, ["cell_id"], "x", "gev"), D.fit(df, ["cell_id"], "x", "pe3")
+    for wrong in (lambda: A.standard_anomaly(df, pe3, ["cell_id"], "x"), lambda: A.value_at(pe3, rp=10.0), lambda: A.bias_correct(df, gev, pe3, ["cell_id"], "x"),
+                  lambda: A.raw_to_quantile(df, pe3, ["cell_id"], "x", "p"), lambda: A.standard_anomaly(df, gev, ["cell_id"], "x", "pe3")):
+        with pytest.raises(Exception, match="is used as"):
+            wrong().collect()
+    mixed = gev.where("cell_id = 1").unionByName(pe3.where("cell_id = 2"))
+    got = {(r.cell_id, r.x): r.x_sa for r in A.standard_anomaly(df, mixed, ["cell_id"], "x", None).collect()}
+    for cell, fits, name in ((1, gev, "gev"), (2, pe3, "pe3")):
+        for r in A.standard_anomaly(df.where(f"cell_id = {cell}"), fits, ["cell_id"], "x", name).collect():
+            assert got[cell, r.x] == pytest.approx(r.x_sa)
+    with pytest.raises(Exception, match="unknown distribution"):
+        A.standard_anomaly(df, gev.withColumn("distribution", F.lit("gamma")), ["cell_id"], "x", None).collect()

@@ -152,3 +152,14 @@ def test_loss_summary_without_hydropower_is_missing(spark):
     assert set(out) == {1, 2}
     assert out[1].gross_loss_mwh == 20.0 and out[1].gross_loss_pct == pytest.approx(2 / 13) and out[1].hydro_loss_pct == pytest.approx(0.4)
     assert out[2].gross_loss_mwh == 0.0 and out[2].hydro_loss_pct is None
+
+
+def test_flow_of_many_months_is_that_of_each(spark):
+    net = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 3), (5, 0)], "id long, downstream_id long")
+    flows = [(i, m, float(10 * i + m)) for i in (1, 2, 3, 4, 5) for m in (1, 2, 3) if (i, m) not in ((4, 2), (9, 9))]
+    values = spark.createDataFrame(flows, "id long, month int, flow double")
+    got = {(r.id, r.month): r.flow_out for r in N.accumulate(net, values=values, by=["month"]).collect()}
+    for m in (1, 2, 3):
+        own = net.join(values.where(f"month = {m}"), "id", "left")
+        for r in N.accumulate(own).collect():
+            assert got.get((r.id, m)) == r.flow_out

@@ -195,3 +195,18 @@ def test_l_moments_match_direct_formula(spark):
     assert out.l1 == pytest.approx(b[0]) and out.l2 == pytest.approx(l2)
     assert out.t3 == pytest.approx((6 * b[2] - 6 * b[1] + b[0]) / l2)
     assert out.t4 == pytest.approx((20 * b[3] - 30 * b[2] + 12 * b[1] - b[0]) / l2)
+
+
+def test_weighted_statistic_needs_weights(spark):
+    df = spark.createDataFrame([(1, 2.0, 1.0), (1, 4.0, 3.0), (1, None, 5.0)], "cell_id int, x double, w double")
+    with pytest.raises(ValueError, match="weights"):
+        I.integrate(df, ["cell_id"], ["weighted_q50"], ["x"])
+    out = I.integrate(df, ["cell_id"], ["weighted_median::x", "SUM"], ["x"], weight="w").first()
+    assert out.x_sum == 6.0 and 2.0 < out.x_weighted_median <= 4.0
+
+
+def test_noise_does_not_depend_on_partitions(spark):
+    df = spark.range(40).selectExpr("cast(id % 4 as int) cell_id", "cast(id as int) layer", "cast(id as double) value")
+    starts = df.select("cell_id").distinct().withColumn("start", F.lit(-3))
+    one, two = ({(r.cell_id, r.position): r.value for r in I.layer_slice(df.repartition(n), starts.repartition(n), ["cell_id"], "layer", "value", "start", 8, seed=3).collect()} for n in (1, 7))
+    assert one == two and len(set(one.values())) > 20
