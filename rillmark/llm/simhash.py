@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import itertools
 import random
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.llm.common import fields, plain, set_aside, stored, text_key
@@ -18,8 +19,12 @@ from rillmark.llm.common import fields, plain, set_aside, stored, text_key
 SEED = 42
 #: Blocks a fingerprint is split into for exact links within 2 bits, and the largest bucket whose pairs are compared one by one.
 BLOCKS, PAIRWISE = 8, 64
-#: Links by similarity: bits of the fingerprint, tables of sampled bits, bits of a table's key.
-WIDE_BITS, TABLES, KEY_BITS = 256, 40, 22
+#: Links by similarity: bits of the fingerprint, tables of sampled bits, bits of a table's key and further bits to sort its buckets by.
+WIDE_BITS, TABLES, KEY_BITS, SORT_BITS = 256, 64, 20, 24
+#: Buckets of this size or less have all their pairs among a text's first and three previous ones in the bucket.
+WHOLE = 5
+#: Places of the filter that keeps texts without need of an exact comparison from being shuffled.
+SLOTS = 1 << 20
 #: Shingles handled at a time.
 PART = 1 << 15
 
@@ -34,16 +39,30 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def fingerprint(text: bytes, words: int, lanes: int) -> tuple[int, ...]:
-    """``lanes`` signed 64-bit numbers. A bit is 1 if it is set in over half of the hashes of the shingles, repeats included."""
+def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
+    """The hashes of the shingles of a text, repeats included, PART at a time; a text of fewer words is one shingle."""
     # split() and lower() of bytes know just the white space and the letters of the contract
     w = text.lower().split()
-    if not w:
-        return (0,) * lanes
-    rows = (w[i:] for i in range(words)) if len(w) >= words else ([x] for x in w)
-    shingles = map(b" ".join, zip(*rows))
+    if w:
+        rows = (w[i:] for i in range(words)) if len(w) >= words else ([x] for x in w)
+        shingles = map(b" ".join, zip(*rows))
+        while len(h := np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in itertools.islice(shingles, PART)), np.uint64)):
+            yield h
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The different hashes of a text's shingles in order."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words)]))
+
+
+def fingerprint(text: bytes, words: int, lanes: int, distinct: bool = False) -> tuple[int, ...]:
+    """``lanes`` signed 64-bit numbers. A bit is 1 if it is set in over half of the hashes of the shingles (``distinct``: of different ones)."""
     total, votes = 0, np.zeros((lanes, 64), np.int64)
-    while len(h := np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in itertools.islice(shingles, PART)), np.uint64)):
+    parts = shingle_hashes(text, words)
+    if distinct:
+        every = shingle_set(text, words)
+        parts = (every[i : i + PART] for i in range(0, len(every), PART))
+    for h in parts:
         total += len(h)
         for k in range(lanes):
             bits = np.unpackbits(_mixed(h, k).astype(">u8").view(np.uint8)).reshape(-1, 64)
@@ -51,7 +70,7 @@ def fingerprint(text: bytes, words: int, lanes: int) -> tuple[int, ...]:
     return tuple(int(x) for x in np.packbits(2 * votes > total, axis=1).view(">i8").ravel())
 
 
-def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64, distinct: bool = False) -> DataFrame:
     """doc_id, key (of the text) and f0, f1, ...: 64 bits each. Texts without words, missing ones too, have all bits 0."""
     rows = fields(docs, "doc_id", "text").select("doc_id", text_key(plain("text")).alias("key"), plain("text").cast("binary").alias("text"))
     lanes = bits // 64
@@ -59,7 +78,7 @@ def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            made = np.array([fingerprint(t.as_py(), words, lanes) for t in batch.column("text")], np.int64).reshape(-1, lanes)
+            made = np.array([fingerprint(t.as_py(), words, lanes, distinct) for t in batch.column("text")], np.int64).reshape(-1, lanes)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *(pa.array(made[:, k]) for k in range(lanes))], ["doc_id", "key", *names])
 
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key {rows.schema['key'].dataType.simpleString()}, " + ", ".join(f"{n} long" for n in names)
@@ -148,49 +167,124 @@ def near_classes(docs: DataFrame, words: int = 3) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _table_keys(lanes: list[str]):
-    """A row for each fingerprint and table: the table's number t, its key k of KEY_BITS sampled bits, and 24 further bits to sort by."""
+def _table_keys(lanes: list[str], tables: int, key_bits: int):
+    """A row for each fingerprint and table: its bucket (the table's number before the sampled bits) and SORT_BITS further bits."""
     rng = random.Random(SEED)
-    samples = [rng.sample(range(64 * len(lanes)), KEY_BITS + 24) for _ in range(TABLES)]
+    samples = [rng.sample(range(64 * len(lanes)), key_bits + SORT_BITS) for _ in range(tables)]
 
-    def number(bits: np.ndarray) -> pa.Array:
-        return pa.array(bits.astype(np.int64) @ (1 << np.arange(bits.shape[1], dtype=np.int64)))
+    def number(bits: np.ndarray) -> np.ndarray:
+        return bits.astype(np.int64) @ (1 << np.arange(bits.shape[1], dtype=np.int64))
 
     def run(batches):
         for batch in batches:
             values = np.stack([batch.column(x).to_numpy() for x in lanes], axis=1).astype(">i8")
             bits = np.unpackbits(values.view(np.uint8).reshape(len(values), -1), axis=1)
             for t, sample in enumerate(samples):
-                keys = [pa.array(np.full(len(values), t, np.int64)), number(bits[:, sample[:KEY_BITS]]), number(bits[:, sample[KEY_BITS:]])]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *keys], [*lanes, "t", "k", "then"])
+                bucket = (t << key_bits) + number(bits[:, sample[:key_bits]])
+                keys = [pa.array(bucket), pa.array(number(bits[:, sample[key_bits:]]))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *keys], [*batch.schema.names, "bucket", "then"])
 
     return run
 
 
-def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(key, least, root) for every distinct text of documents: its key, smallest doc_id and class, linking texts of about this similarity.
+def _distance(lanes: list[str], left, right) -> Column:
+    return reduce(lambda x, y: x + y, (F.bit_count(left(x).bitwiseXOR(right(x))) for x in lanes))
+
+
+def band(similarity: float) -> tuple[int, int]:
+    """Distances of WIDE_BITS bits: up to the first a pair has the similarity for sure, beyond the second it has not (3 deviations each).
+
+    Sets of Jaccard similarity s have angle arccos(2s / (1 + s)) at most, and that share of their fingerprints' bits differs.
+    """
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    slack = 3 * np.sqrt(WIDE_BITS * p * (1 - p))
+    return int(WIDE_BITS * p - slack), int(WIDE_BITS * p + slack)
+
+
+def alike(docs: DataFrame, prints: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The links (a, b, ...) whose texts' sets of shingles have the Jaccard similarity, compared exactly."""
+    ids = stored(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(prints.select("id", "key"), "id"))
+    slot = F.pmod(F.col("key.h1"), F.lit(SLOTS))
+    rows = fields(docs, "doc_id", "text").select(text_key(plain("text")).alias("key"), plain("text").cast("binary").alias("text")).withColumn("slot", slot)
+    rows = rows.join(F.broadcast(ids.select(slot.alias("slot")).distinct()), "slot", "left_semi")  # SLOTS rows at most
+    rows = rows.groupBy("key").agg(F.first("text").alias("text")).join(ids, "key").select("id", "text")
+
+    def run(batches):
+        for batch in batches:
+            for k, t in zip(batch.column("id"), batch.column("text")):
+                sets = pa.array([shingle_set(t.as_py(), words).view(np.int64)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], pa.int64()), sets], ["id", "shingles"])
+
+    sets = stored(rows.mapInArrow(run, "id long, shingles array<long>"))
+    both = links.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
+    common = F.size(F.array_intersect("_sa", "_sb"))
+    return both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common) - 1e-9).drop("_sa", "_sb")
+
+
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The links (a, b, d) between different classes of labels (id, root), with the classes as ra and rb."""
+    return links.join(labels.toDF("a", "ra"), "a").join(labels.toDF("b", "rb"), "b").filter("ra <> rb")
+
+
+def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels (id, root) with the classes joined that edges (a, b) of roots connect."""
+    classes = components(edges).toDF("node", "_root")
+    return stored(labels.join(classes, labels.root == classes.node, "left").select("id", F.coalesce("_root", "root").alias("root")))
+
+
+def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = TABLES, key_bits: int = KEY_BITS) -> DataFrame:
+    """(key, least, root) for every distinct text of documents: its key, smallest doc_id and class, linking texts of this similarity or more.
 
-    Shingle sets of Jaccard similarity s have angle arccos(2s / (1 + s)) at least where they are equally large, and that share of the bits
-    of their fingerprints differs; with 256 bits the measured distance has a deviation of 6 bits, which is allowed on top. Pairs are found in tables keyed by
-    sampled bits: within a bucket, texts sorted by further bits are compared with the bucket's first and with the three before them, so
-    that a crowded bucket stays linear.
+    Fingerprints of the different shingles meet in the buckets of tables keyed by sampled bits and are verified by Hamming distance:
+    links of small distance hold, those of a doubtful one (``band``) are compared exactly by their shingles, and only where they would join
+    two classes. A bucket's texts are first compared with its first one and the three before them, sorted by further bits. That leaves no
+    pair of a bucket of WHOLE texts; in larger ones, after those links have joined their classes, the texts outside the bucket's largest
+    class are compared with all texts of other classes. So no pair of a bucket is missed, and a crowded bucket of near copies stays linear.
+    Texts without words are one class; of texts with equal fingerprints one stands for all.
     """
-    rows = fingerprints(docs, words, WIDE_BITS)
+    rows = fingerprints(docs, words, WIDE_BITS, distinct=True)
     lanes = [f"f{k}" for k in range(WIDE_BITS // 64)]
     texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least"), *(F.first(x).alias(x) for x in lanes)))
-    most = int(WIDE_BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + 6
-    prints = texts.select(*lanes).distinct()
-    ident = F.xxhash64(*lanes).alias("id")
-    keyed = prints.mapInArrow(_table_keys(lanes), ", ".join(f"{x} long" for x in [*lanes, "t", "k", "then"]))
-    w = Window.partitionBy("t", "k").orderBy("then", *lanes)
-    me = F.struct(*lanes)
-    others = F.array(F.first(me).over(w), F.lag(me, 1).over(w), F.lag(me, 2).over(w), F.lag(me, 3).over(w))
-    pairs = keyed.withColumn("o", others).select(*lanes, F.explode(F.array_distinct("o")).alias("o")).filter("o is not null")
-    distance = reduce(lambda x, y: x + y, (F.bit_count(F.col(x).bitwiseXOR(F.col(f"o.{x}"))) for x in lanes))
-    links = pairs.filter(distance <= most).select(ident.alias("a"), F.xxhash64(*(F.col(f"o.{x}") for x in lanes)).alias("b")).filter("a <> b").distinct()
-    classes = components(links)
-    named = texts.select("key", "least", ident)
-    return named.join(classes, named.id == classes.node, "left").select("key", "least", F.coalesce("root", "id").alias("root"))
+    prints = stored(texts.groupBy(*lanes).agg(F.min("key").alias("key")).withColumn("id", F.xxhash64(*lanes)))
+    sure, most = band(similarity)
+    slim = prints.select("id", *lanes)
+    keyed = slim.mapInArrow(_table_keys(lanes, tables, key_bits), ", ".join(f"{x} long" for x in ["id", *lanes, "bucket", "then"]))
+    w = Window.partitionBy("bucket").orderBy("then", "id")
+    me = F.struct("id", *lanes)
+    others = F.array(F.first(me).over(w), *(F.lag(me, i).over(w) for i in (1, 2, 3)))
+    near = F.transform(F.filter("o", lambda o: o.isNotNull() & (o["id"] != F.col("id"))),
+                       lambda o: F.struct(o["id"].alias("id"), _distance(lanes, F.col, lambda x: o[x]).alias("d")))
+    met = keyed.select("id", "bucket", *lanes, others.alias("o"), F.count(F.lit(1)).over(Window.partitionBy("bucket")).alias("n")).filter("n > 1")
+    met = met.select("id", "bucket", "n", F.array_distinct(F.filter(near, lambda o: o["d"] <= most)).alias("near"))
+    met = stored(met.filter((F.size("near") > 0) | (F.col("n") > WHOLE)))
+
+    def ordered(a: Column, b: Column, d: Column) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), d.alias("d")]
+
+    links = met.select("id", F.explode("near").alias("o")).select(*ordered(F.col("id"), F.col("o.id"), F.col("o.d"))).distinct()
+    links = stored(links)
+    labels = _joined(prints.select("id", F.col("id").alias("root")), links.filter(F.col("d") <= sure).select("a", "b"))
+    doubtful = links.filter(F.col("d") > sure)
+    best = doubtful.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("m.a").alias("a"), "b", F.col("m.d").alias("d"))
+    done = None
+    for wave in (best, doubtful, None):
+        if wave is None:
+            crowded = met.filter(F.col("n") > WHOLE).select("id", "bucket").join(labels, "id")
+            sizes = crowded.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", "count").alias("main"), F.count(F.lit(1)).alias("kinds"))
+            members = stored(crowded.join(sizes.filter("kinds > 1").drop("kinds"), "bucket").join(slim, "id"))
+            x, y = members.filter("root <> main").alias("x"), members.alias("y")
+            d = _distance(lanes, lambda f: F.col(f"x.{f}"), lambda f: F.col(f"y.{f}"))
+            pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & (d <= most))
+            wave = pairs.select(*ordered(F.col("x.id"), F.col("y.id"), d)).distinct()
+        open_ = _between(wave, labels)
+        open_ = stored(open_.join(done, ["a", "b"], "left_anti") if done is not None else open_)
+        if open_.isEmpty():
+            continue
+        done = open_.select("a", "b") if done is None else done.unionByName(open_.select("a", "b"))
+        good = alike(docs, prints, open_.filter(F.col("d") > sure), words, similarity).unionByName(open_.filter(F.col("d") <= sure))
+        labels = _joined(labels, good.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    named = texts.select("key", "least", F.xxhash64(*lanes).alias("id"))
+    return named.join(labels, "id").select("key", "least", "root")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:

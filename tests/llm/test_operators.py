@@ -153,6 +153,35 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5]
 
 
+def test_similar_classes_are_exact_within_crowded_buckets(spark, none):
+    draw = np.random.default_rng(11)
+    texts = []
+    for _ in range(6):
+        base = [f"w{x}" for x in draw.integers(0, 10**6, 120)]
+        for share in (0.0, 0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.2):
+            texts.append(" ".join(f"z{draw.integers(0, 10**6)}" if draw.random() < share else x for x in base))
+    hot = [f"h{x}" for x in range(200)]
+    texts += [" ".join([*hot[:i], f"k{i}", *hot[i + 1 :]]) for i in range(60)] + ["a b c d e f g", "a b c d e f g h", "same words " * 300, "same words " * 200]
+    texts = list(dict.fromkeys(texts))
+    sets = [simhash.shingle_set(t.encode(), 5) for t in texts]
+    own = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if common >= 0.8 * (len(sets[i]) + len(sets[j]) - common) - 1e-9:
+                a, b = sorted((own[i], own[j]))
+                own = [a if x == b else x for x in own]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    rows = simhash.similar_classes(docs, tables=6, key_bits=1).collect()
+    groups, want = collections.defaultdict(set), collections.defaultdict(set)
+    for r in rows:
+        groups[r.root].add(r.least)
+    for i, root in enumerate(own):
+        want[root].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values())) and len(want) < len(texts) - 60
+    assert simhash.keep_one(none).count() == 0
+
+
 def test_line_dedup(docs, none):
     strip = " \t\n\x0b\x0c\r"
     low = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(strip))
