@@ -168,7 +168,7 @@ def near_classes(docs: DataFrame, words: int = 3) -> DataFrame:
 
 
 def _table_keys(lanes: list[str], tables: int, key_bits: int):
-    """A row for each fingerprint and table: its bucket (the table's number before the sampled bits) and SORT_BITS further bits."""
+    """A row for each fingerprint and table: ``at`` is its bucket (the table's number before the sampled bits) before SORT_BITS further bits."""
     rng = random.Random(SEED)
     samples = [rng.sample(range(64 * len(lanes)), key_bits + SORT_BITS) for _ in range(tables)]
 
@@ -180,9 +180,8 @@ def _table_keys(lanes: list[str], tables: int, key_bits: int):
             values = np.stack([batch.column(x).to_numpy() for x in lanes], axis=1).astype(">i8")
             bits = np.unpackbits(values.view(np.uint8).reshape(len(values), -1), axis=1)
             for t, sample in enumerate(samples):
-                bucket = (t << key_bits) + number(bits[:, sample[:key_bits]])
-                keys = [pa.array(bucket), pa.array(number(bits[:, sample[key_bits:]]))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *keys], [*batch.schema.names, "bucket", "then"])
+                at = (((t << key_bits) + number(bits[:, sample[:key_bits]])) << SORT_BITS) + number(bits[:, sample[key_bits:]])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], [*batch.schema.names, "at"])
 
     return run
 
@@ -248,8 +247,11 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
     prints = stored(texts.groupBy(*lanes).agg(F.min("key").alias("key")).withColumn("id", F.xxhash64(*lanes)))
     sure, most = band(similarity)
     slim = prints.select("id", *lanes)
-    keyed = slim.mapInArrow(_table_keys(lanes, tables, key_bits), ", ".join(f"{x} long" for x in ["id", *lanes, "bucket", "then"]))
-    w = Window.partitionBy("bucket").orderBy("then", "id")
+    bucket = F.shiftright("at", SORT_BITS).alias("bucket")
+    keyed = slim.drop("id").mapInArrow(_table_keys(lanes, tables, key_bits), ", ".join(f"{x} long" for x in [*lanes, "at"]))
+    # the narrowest rows cross the shuffle; what follows from them is added behind it
+    keyed = keyed.repartition(bucket).select("at", *lanes, bucket, F.xxhash64(*lanes).alias("id"))
+    w = Window.partitionBy("bucket").orderBy("at", "id")
     me = F.struct("id", *lanes)
     others = F.array(F.first(me).over(w), *(F.lag(me, i).over(w) for i in (1, 2, 3)))
     near = F.transform(F.filter("o", lambda o: o.isNotNull() & (o["id"] != F.col("id"))),
@@ -291,8 +293,9 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFr
     """The documents with one row of each class of ``similar_classes``: that of the smallest doc_id (ties: by the text's key)."""
     classes = stored(similar_classes(docs, words, similarity))
     first = classes.groupBy("root").agg(F.min(F.struct(F.coalesce("least", F.lit(2**63 - 1)).alias("i"), F.col("least").alias("least"), "key")).alias("s"))
-    keep = first.select(F.col("s.least").alias("_id"), F.col("s.key").alias("_key"))
+    keep = first.select(F.struct(F.col("s.least").alias("i"), F.col("s.key").alias("key")).alias("_keep"))
     rows, own = set_aside(docs, "doc_id", "text")
-    rows = rows.withColumn("_k", text_key(plain("text")))
-    kept = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_k"]).select(*own)
+    # one column of the same type on both sides, so that the join's partitions serve the removal of repeated rows too
+    key = F.struct(F.col("doc_id").alias("i"), text_key(plain("text")).alias("key"))
+    rows = rows.withColumn("_k", key.cast(keep.schema["_keep"].dataType))
+    return rows.join(keep, F.col("_k") == F.col("_keep"), "left_semi").dropDuplicates(["_k"]).select(*own)
