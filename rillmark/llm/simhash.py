@@ -27,6 +27,8 @@ WHOLE = 5
 SLOTS = 1 << 20
 #: Shingles handled at a time.
 PART = 1 << 15
+#: One in so many texts tells which shingles are common, and the common ones that are kept: both order the work and leave results as they are.
+COMMON_SHARE, MOST_COMMON = 16, 1 << 20
 
 
 def _mixed(h: np.ndarray, k: int) -> np.ndarray:
@@ -220,8 +222,66 @@ def alike(docs: DataFrame, prints: DataFrame, links: DataFrame, words: int, simi
     return both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common) - 1e-9).drop("_sa", "_sb")
 
 
+def common_shingles(rows: DataFrame, words: int) -> DataFrame:
+    """(token, n): shingles of the texts (h1, text) that two or more of a sample have, MOST_COMMON of them at most."""
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, len(batch), 256):
+                sets = [shingle_set(t.as_py(), words) for t in batch.column("text")[begin : begin + 256]]
+                found, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["token", "n"])
+
+    drawn = rows.filter(F.pmod(F.xxhash64("h1"), F.lit(COMMON_SHARE)) == 0)
+    counts = drawn.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1")
+    return counts.orderBy(F.desc("n"), "token").limit(MOST_COMMON)
+
+
+def prefix_pairs(docs: DataFrame, ids: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of ids (h1, id, root) of different roots: a superset of the pairs whose texts have the Jaccard similarity.
+
+    In any one order of all shingles, two such texts share one of their first n - ceil(similarity * n) + 1 of n shingles. The order is rare
+    before common, as far as a sample tells, so unrelated texts hardly meet. Pairs whose sizes or places leave too few shingles to share are out.
+    """
+    rows = fields(docs, "doc_id", "text").select(text_key(plain("text"))["h1"].alias("h1"), plain("text").cast("binary").alias("text"))
+    common = common_shingles(rows, words).toPandas().sort_values("token")  # MOST_COMMON rows at most
+    sent = docs.sparkSession.sparkContext.broadcast((common["token"].to_numpy(np.int64), common["n"].to_numpy(np.int64)))
+
+    def run(batches):
+        known, often = sent.value
+        for batch in batches:
+            for h, t in zip(batch.column("h1").to_pylist(), batch.column("text")):
+                every = shingle_set(t.as_py(), words).view(np.int64)
+                size = len(every)
+                if not size:
+                    continue
+                n = np.zeros(size, np.int64)
+                if len(known):
+                    at = np.searchsorted(known, every).clip(max=len(known) - 1)
+                    n = np.where(known[at] == every, often[at], 0)
+                first = every[np.lexsort((every, n))[: size - int(np.ceil(similarity * size - 1e-6)) + 1]]
+                place = (size << 32) + np.arange(len(first), dtype=np.int64)
+                for begin in range(0, len(first), PART):
+                    part = slice(begin, begin + PART)
+                    yield pa.RecordBatch.from_arrays([pa.array(first[part]), pa.array(np.full(len(first[part]), h, np.int64)), pa.array(place[part])], ["token", "h1", "place"])
+
+    tokens = rows.mapInArrow(run, "token long, h1 long, place long").repartition("token").dropDuplicates(["token", "h1"])
+    tokens = tokens.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("n > 1").drop("n")
+    met = stored(stored(tokens).join(ids, "h1").select("token", "id", "root", "place"))
+    sizes = met.groupBy("token", "root").count().groupBy("token").agg(F.max_by("root", "count").alias("main"), F.count(F.lit(1)).alias("kinds"))
+    met = stored(met.join(sizes.filter("kinds > 1").drop("kinds"), "token"))
+    x, y = met.filter("root <> main").alias("x"), met.alias("y")
+    size, at = (lambda f: F.shiftright(f"{f}.place", 32)), (lambda f: F.col(f"{f}.place").bitwiseAND(F.lit(2**32 - 1)))
+    shared = F.least(at("x"), at("y")) + F.least(size("x") - at("x"), size("y") - at("y"))
+    enough = shared * (1 + similarity) >= similarity * (size("x") + size("y")) - 1e-6
+    # of two texts outside the main class, one order will do
+    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & enough)
+    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
 def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """The links (a, b, d) between different classes of labels (id, root), with the classes as ra and rb."""
+    """The links (a, b, ...) between different classes of labels (id, root), with the classes as ra and rb."""
     return links.join(labels.toDF("a", "ra"), "a").join(labels.toDF("b", "rb"), "b").filter("ra <> rb")
 
 
@@ -239,6 +299,7 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
     two classes. A bucket's texts are first compared with its first one and the three before them, sorted by further bits. That leaves no
     pair of a bucket of WHOLE texts; in larger ones, after those links have joined their classes, the texts outside the bucket's largest
     class are compared with all texts of other classes. So no pair of a bucket is missed, and a crowded bucket of near copies stays linear.
+    What shares no bucket or lies beyond the doubtful distances is found by ``prefix_pairs`` and compared exactly, so no pair at all is missed.
     Texts without words are one class; of texts with equal fingerprints one stands for all.
     """
     rows = fingerprints(docs, words, WIDE_BITS, distinct=True)
@@ -286,6 +347,12 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
         good = alike(docs, prints, open_.filter(F.col("d") > sure), words, similarity).unionByName(open_.filter(F.col("d") <= sure))
         labels = _joined(labels, good.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     named = texts.select("key", "least", F.xxhash64(*lanes).alias("id"))
+    known = stored(named.select(F.col("key.h1").alias("h1"), "id").distinct().join(labels, "id"))
+    rest = prefix_pairs(docs, known, words, similarity)
+    open_ = stored(_between(rest.join(done, ["a", "b"], "left_anti") if done is not None else rest, labels))
+    if not open_.isEmpty():
+        good = alike(docs, prints, open_, words, similarity)
+        labels = _joined(labels, good.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     return named.join(labels, "id").select("key", "least", "root")
 
 

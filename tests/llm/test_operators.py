@@ -182,6 +182,21 @@ def test_similar_classes_are_exact_within_crowded_buckets(spark, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_similar_classes_miss_no_pair(spark):
+    draw, texts = np.random.default_rng(12), []
+    for n, pairs in ((9, 60), (20, 120), (60, 120), (400, 120)):
+        for similarity in np.linspace(0.8, 0.95, pairs):
+            base = [f"w{x}" for x in draw.integers(0, 10**9, n + 4)]
+            changed = int(n * (1 - similarity) / (1 + similarity) + 1e-9)  # of n shingles, at the end
+            texts += [" ".join(base), " ".join(base[: n + 4 - changed] + [f"z{x}" for x in draw.integers(0, 10**9, changed)])]
+    sets = [set(simhash.shingle_set(t.encode(), 5).tolist()) for t in texts]
+    want = {i for i in range(0, len(texts), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]) - 1e-9}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    root = {r.least: r.root for r in simhash.similar_classes(docs).collect()}
+    assert {i for i in range(0, len(texts), 2) if root[i] == root.get(i + 1, root[i])} == want and len(want) > 400  # equal texts are one row
+    assert len(set(root.values())) == len(texts) - len(want)
+
+
 def test_line_dedup(docs, none):
     strip = " \t\n\x0b\x0c\r"
     low = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(strip))
