@@ -336,10 +336,11 @@ def store_texts(docs: DataFrame) -> DataFrame:
 
 
 def media_columns(media: DataFrame, *keys: str) -> DataFrame:
-    """The columns ``keys`` and media of a table of JPEG bytes, with width, height (of the first picture), pictures, thumbnail and thumb_hash.
+    """The columns ``keys`` and media of a table of JPEG bytes, with width, height, pictures, thumbnail and thumb_hash.
 
-    ``thumbnail`` holds the grey values row by row, picture after picture; ``thumb_hash`` is that of the first picture. Missing or empty
-    media give missing columns; bytes that are not baseline JPEG are an error.
+    ``thumbnail`` holds the grey values row by row, picture after picture. ``width`` and ``height`` are those of all pictures below each other,
+    and ``thumb_hash`` is the hashes of all pictures in their order. Missing or empty media give missing columns; bytes that are not baseline
+    JPEG are an error.
     """
     rows = fields(media, *keys, "media")
 
@@ -347,11 +348,10 @@ def media_columns(media: DataFrame, *keys: str) -> DataFrame:
         for batch in batches:
             for begun, streams in _parts(batch.set_column(batch.schema.get_field_index("media"), "media", batch.column("media").fill_null(b"")), "media", 2 * PART_BYTES):
                 grids = thumbnails(streams)
-                one = [g[0] if g else None for g in grids]
                 columns = [
-                    pa.array([None if g is None else 8 * g.shape[1] for g in one], pa.int32()), pa.array([None if g is None else 8 * g.shape[0] for g in one], pa.int32()),
+                    pa.array([8 * max(x.shape[1] for x in g) if g else None for g in grids], pa.int32()), pa.array([8 * sum(x.shape[0] for x in g) if g else None for g in grids], pa.int32()),
                     pa.array([len(g) or None for g in grids], pa.int32()), pa.array([b"".join(x.tobytes() for x in g) if g else None for g in grids], pa.binary()),
-                    pa.array([None if g is None else thumbnail_hash(g) for g in one], pa.string())]
+                    pa.array(["".join(map(thumbnail_hash, g)) if g else None for g in grids], pa.string())]
                 yield pa.RecordBatch.from_arrays([*(c.slice(begun, len(streams)) for c in batch.columns), *columns], [*batch.schema.names, "width", "height", "pictures", "thumbnail", "thumb_hash"])
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

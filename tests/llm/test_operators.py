@@ -299,6 +299,15 @@ def test_media_round_trip(docs, none):
     assert b"".join(g.tobytes() for g in grids[0]) == big and len(grids[0]) == 2 and grids[1][0].sum() == 0
 
 
+def test_media_columns_cover_all_pictures(spark):
+    first = "ab" * (32 * jpeg.MAX_ROWS)
+    rows = [(0, first + "abcd" * 900), (1, first + "dacb" * 900), (2, first + "abcd" * 1900)]
+    got = {r.doc_id: r for r in jpeg.media_columns(jpeg.store_texts(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id").collect()}
+    assert {r.pictures for r in got.values()} == {2} and {r.width for r in got.values()} == {8 * jpeg.ROW}
+    assert got[0].thumb_hash != got[1].thumb_hash and got[0].height == got[1].height < got[2].height
+    assert all(8 * 8 * len(r.thumbnail) == r.width * r.height for r in got.values())
+
+
 def test_media_of_another_coder():
     image = pytest.importorskip("PIL.Image")
     grey = np.kron(rng.integers(0, 256, (5, 7)), np.ones((8, 8))).astype(np.uint8) + 0
