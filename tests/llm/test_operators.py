@@ -238,6 +238,24 @@ def test_pii(docs, none):
     assert pii.summary(none).count() == 0
 
 
+def test_pii_adds_wide_forms(spark):
+    draw = np.random.default_rng(3)
+
+    def card():
+        d = [int(x) for x in draw.integers(0, 10, 15)]
+        d.append(-sum(x if i % 2 else sum(divmod(2 * x, 10)) for i, x in enumerate(d)) % 10)
+        return " ".join("".join(map(str, d[i : i + 4])) for i in range(0, 16, 4))
+
+    rows = [(i, f"Please write to user{i}@site{i % 7}.org today. The server {'.'.join(map(str, draw.integers(1, 255, 4)))} is up. My card {card()} is new. "
+                f"Then call +1 {draw.integers(200, 999)} 555 {draw.integers(1000, 9999)} now. See order {draw.integers(10**9, 10**10)} or 1, 2, 3, 4 there.") for i in range(300)]
+    wanted = {"email": "bob.ray (at) example dot com", "card": "4111.1111.1111.1111", "phone": "202 555 0143", "ip": "10,20,130,41"}
+    text = "Please write to {email}. Thanks. My card {card} is old. Then call {phone} now. The server {ip} is up.".format(**wanted)
+    rows += [(1000, text), (1001, "My card 4111.1111.1111.1112 is old. Look at this. And see order 2025550143 then. The server 10,0,0,999 is up, or 1, 2, 3, 4 there. Call 2025 now.")]
+    got = {r.doc_id: r for r in pii.summary(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got[1000].base_spans == "" and got[1001].spans == ""
+    assert set(got[1000].spans.split(",")) == {f"{k}:{text.index(v)}:{text.index(v) + len(v)}" for k, v in wanted.items()}
+
+
 def test_toxicity(spark, docs, none):
     rows = []
     for i in range(600):
