@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import bpe, jpeg, line_dedup, lm_scoring, mixing, pii, sharding, simhash, token_counts, topk, toxicity
+from rillmark.llm import bpe, jpeg, line_dedup, lm_scoring, mixing, pii, sharding, simhash, token_counts, topk, toxicity, vector_codes
 from rillmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op1_mixing"] = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                   md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
@@ -128,3 +133,33 @@ WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOU
 p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def _codes_sql(rounds: int) -> str:
+    """Rounds of assignment and floored means, one after the other; all numbers stay exact in doubles and 64 bits."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT p.r, p.part, min((p.xx - 2 * list_inner_product(p.x, c.x) + c.xx)::BIGINT * 256 + c.entry) AS best
+           FROM p JOIN c{i} c ON p.part = c.part GROUP BY p.r, p.part)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT p.part, a.best % 256 AS entry, generate_subscripts(p.x, 1) AS pos, unnest(p.x)::BIGINT AS x
+           FROM p JOIN a{i} a ON p.r = a.r AND p.part = a.part),
+m{i} AS (SELECT part, entry, pos, sum(x)::BIGINT AS s, count(*) AS n FROM s{i} GROUP BY part, entry, pos),
+l{i} AS (SELECT part, entry, list(((s - (s % n + n) % n) // n)::DOUBLE ORDER BY pos) AS x FROM m{i} GROUP BY part, entry),
+c{i + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(l.x, c.x) AS x, list_inner_product(coalesce(l.x, c.x), coalesce(l.x, c.x)) AS xx
+           FROM c{i} c LEFT JOIN l{i} l ON c.part = l.part AND c.entry = l.entry)""")
+    return f"""
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+n AS (SELECT *, row_number() OVER (ORDER BY vec_id, v) AS r FROM e),
+q AS (SELECT r, part, list_slice(v, part * len(v) // 4 + 1, (part + 1) * len(v) // 4) AS x FROM n, range(4) t(part)),
+p AS MATERIALIZED (SELECT *, list_inner_product(x, x) AS xx FROM q),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x, xx FROM p WHERE r <= 256),
+{(chr(44) + chr(10)).join(steps)},
+k AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: y::BIGINT::VARCHAR), ','), ',' ORDER BY part, entry)) AS sha FROM c{rounds}),
+f AS (SELECT r, string_agg(printf('%02x', (best % 256)::INTEGER), '' ORDER BY part) AS code, sum(best // 256)::BIGINT AS error FROM a{rounds} GROUP BY r),
+j AS (SELECT n.vec_id, n.label, f.code, f.error FROM n JOIN f ON n.r = f.r)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, (SELECT sha FROM k) AS codebooks_sha256 FROM j"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql(vector_codes.ROUNDS)
