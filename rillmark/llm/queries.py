@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import bpe, jpeg, line_dedup, lm_scoring, mixing, pii, sharding, simhash, token_counts, topk, toxicity, vector_codes
+from rillmark.llm import bpe, jpeg, line_dedup, lm_scoring, mixing, pii, ranked_search, sharding, simhash, token_counts, topk, toxicity, vector_codes
 from rillmark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -134,6 +139,21 @@ p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
+ORACLES["op11_ranked_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+c AS (SELECT count(*) FILTER (len(ts) > 0) AS docs, sum(len(ts))::BIGINT AS terms FROM d),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+i AS (SELECT item_id, t, count(*) AS times FROM q GROUP BY item_id, t),
+p AS (SELECT r, doc_id, 25 + (75 * len(ts) * docs) // terms AS m, unnest(ts) AS t FROM d, c),
+f AS (SELECT r, doc_id, m, t, count(*) AS tf FROM p WHERE t IN (SELECT t FROM i) GROUP BY r, doc_id, m, t),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, c GROUP BY t),
+s AS (SELECT item_id, doc_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM i JOIN w ON i.t = w.t JOIN f ON f.t = i.t GROUP BY item_id, doc_id, r),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 10"""
+
 
 def _codes_sql(rounds: int) -> str:
     """Rounds of assignment and floored means, one after the other; all numbers stay exact in doubles and 64 bits."""
