@@ -120,7 +120,7 @@ def weighted_mean(x: Column, w: Column) -> Column:
 
 
 def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str, ps: dict[str, float],
-                       bounded: bool = False, hot_rows: int | None = None) -> DataFrame:
+                       bounded: bool = False, ranges: int | None = None) -> DataFrame:
     """Weighted quantiles per key; a key without defined values gives NULL, a bad weight is an error."""
     w = F.when(F.col(weight).isNull() | (F.col(weight) < 0),
                F.raise_error(F.lit("weights must be defined and not negative")).cast("double")).otherwise(F.col(weight))
@@ -129,7 +129,7 @@ def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str,
         .groupBy(*keys, value, "_w").agg(F.count("*").alias("m"))
         .withColumn("mass", F.col("m") * F.col("_w"))
     )
-    runs = ordered.running_totals(base, keys, [value, "_w"], ["m", "mass"], bounded, hot_rows)
+    runs = ordered.running_totals(base, keys, [value, "_w"], ["m", "mass"], bounded, ranges)
     n1 = F.col("all_m") - 1
     first = F.col("below_m") * F.col("_w") + n1 * F.col("below_mass")
     last = (F.col("below_m") + F.col("m") - 1) * F.col("_w") + n1 * (F.col("below_mass") + (F.col("m") - 1) * F.col("_w"))
@@ -147,10 +147,10 @@ def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str,
     return df.select(*keys).distinct().join(found, keys, "left")
 
 
-def sorted_values(df: DataFrame, keys: list[str], value: str, bounded: bool = False, hot_rows: int | None = None) -> DataFrame:
+def sorted_values(df: DataFrame, keys: list[str], value: str, bounded: bool = False, ranges: int | None = None) -> DataFrame:
     """Values in ascending order as rows (keys, position from 1, value), missing ones last."""
     base = df.groupBy(*keys, value).agg(F.count("*").alias("m"))
-    runs = ordered.running_totals(base, keys, [value], ["m"], bounded, hot_rows)
+    runs = ordered.running_totals(base, keys, [value], ["m"], bounded, ranges)
     return runs.select(*keys, F.explode(F.sequence(F.col("below_m") + 1, F.col("below_m") + F.col("m"))).alias("position"), value)
 
 

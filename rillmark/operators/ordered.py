@@ -1,11 +1,12 @@
-"""Running totals in value order, safe when one key holds much of the table.
+"""Running totals in value order by a distributed prefix scan, whatever the sizes of the keys.
 
 All order statistics (quantiles, ranks, L-moments, weighted quantiles) rest on one primitive: for
 every distinct (key, value) the totals of all smaller values of that key. Equal rows are first
-merged by a partial aggregation. A key with more rows than an average partition is then cut into
-value ranges, each sorted by its own task, and the totals of earlier ranges are added. Which
-ranges are used depends only on the data (hashes of its values), so a recomputed task gives the
-same answer.
+merged by a partial aggregation. The merged rows are then cut into ranges of about equal size by
+(key, value), without regard to where keys begin or end; each range is sorted and summed by itself,
+and a key that goes on from range to range gets one more row in each, which carries the totals of
+its earlier ranges. A key with most of the table is thus no different from many small ones. The cut
+points depend only on the data (hashes of its rows), so a recomputed task gives the same answer.
 """
 
 from __future__ import annotations
@@ -13,97 +14,78 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it has more rows than HOT_ROWS and more than one part in HOT_KEYS of all rows.
-# Hence there are fewer than HOT_KEYS hot keys whatever the data, and their cut points (some SLICES
-# values each, so about two million at most) are bounded by construction: small enough to broadcast.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 4096
-SLICES = 512
-# steps of the search for a value among up to 4095 sorted cut points
-SEARCH_STEPS = (2048, 1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1)
+# As many ranges as shuffle partitions, within these bounds; rows looked at for each cut point.
+FEWEST_RANGES, MOST_RANGES, DRAWN = 16, 2048, 32
 
 
-def _cuts_up_to(cuts: str, order: list[str]) -> Column:
-    """How many of the sorted cut points are not above the row, found in twelve comparisons."""
+def _cuts_up_to(cuts: Column, point: Column, most: int) -> Column:
+    """How many of the sorted cut points (``most`` at most) are not above the row, by binary search."""
     def step(at: Column, n: Column) -> Column:
-        return F.when(F.get(cuts, at + n - 1) <= F.struct(*order), at + n).otherwise(at)
+        return F.when(F.get(cuts, at + n - 1) <= point, at + n).otherwise(at)
 
-    return F.aggregate(F.array(*[F.lit(n) for n in SEARCH_STEPS]), F.lit(0), step)
+    return F.aggregate(F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))]), F.lit(0), step)
 
 
-def _with_slices(base: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> DataFrame:
-    """Add ``_slice``, the value range of a row of a hot key (0 for all other keys), and ``_cuts``, NULL unless hot.
+def with_ranges(base: DataFrame, keys: list[str], order: list[str], ranges: int) -> DataFrame:
+    """Add ``_range``, the number of a row's range: (keys, order) do not fall from one range to the next, missing values of a key last.
 
-    The cut points of a key are those of its values whose hash falls into one residue class: spread
-    like the values, and the same in every attempt of a task.
+    The cut points are evenly spaced among rows drawn by their hash, about DRAWN for each, in a subquery of the plan. The hash is of whole
+    rows, so that no subquery prunes columns and all read the same shuffle.
     """
-    sizes = base.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    share = sizes.agg((F.sum("_rows") / F.lit(HOT_KEYS)).alias("share")).scalar()
-    hot = sizes.where((F.col("_rows") > hot_rows) & (F.col("_rows") > share))
-    stride = F.greatest(F.lit(1), F.floor(F.col("_rows") / SLICES))
-    cuts = (
-        base.join(F.broadcast(hot.withColumnsRenamed({k: f"_h_{k}" for k in keys})),
-                  [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-        .where(F.col(order[0]).isNotNull() & (F.pmod(F.xxhash64(*order), stride) == 0))
-        .groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct(*order))).alias("_cuts"))
-    )
-    sliced = base.join(
-        F.broadcast(cuts.withColumnsRenamed({k: f"_c_{k}" for k in keys})),
-        [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys], "left",
-    ).drop(*[f"_c_{k}" for k in keys])
-    # missing values come last, so they make a range of their own after all others
-    number = (F.when(F.col("_cuts").isNull(), F.lit(0)).when(F.col(order[0]).isNull(), F.size("_cuts") + 1)
-              .otherwise(_cuts_up_to("_cuts", order)))
-    return sliced.withColumn("_slice", number)
+    # the flag puts missing values behind the others
+    point = F.struct(*keys, *[c for o in order for c in (F.col(o).isNull().alias(f"_no_{o}"), F.col(o))])
+    mark = F.pmod(F.xxhash64(*base.columns), F.lit(2**40))
+    rows = base.agg(F.count_if(mark % 2 == 0) * 2 + 1).scalar()  # nearly
+    drawn = base.select(point.alias("p"), mark.alias("mark")).where(F.col("mark") * rows < F.lit(float(2**40 * DRAWN * ranges)))
+    sorted_ = drawn.agg(F.sort_array(F.collect_list("p")).alias("a"))
+    n = F.size("a")
+    places = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.floor(i * n / ranges)))
+    cuts = sorted_.select(F.when(n == 0, F.col("a")).otherwise(F.transform(places, lambda i: F.get("a", i)))).scalar()
+    return base.withColumn("_cuts", cuts).withColumn("_range", _cuts_up_to(F.col("_cuts"), point, ranges - 1)).drop("_cuts")
 
 
 def running_totals(base: DataFrame, keys: list[str], order: list[str], measures: list[str],
-                   bounded: bool = False, hot_rows: int | None = None) -> DataFrame:
+                   bounded: bool = False, ranges: int | None = None) -> DataFrame:
     """Add ``below_<m>`` (total of strictly earlier rows) and ``all_<m>`` (total of the key) per measure.
 
     ``base`` has one row per (keys, order). Pass ``bounded`` only where the construction of ``base``
-    bounds the rows of every key (say, one row per year): it saves the search for hot keys.
+    bounds the rows of every key (say, one row per year): it saves the cut into ranges.
     """
-    def before(cols: list[str]):
-        w = Window.partitionBy(*cols).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-        return w.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*cols)
+    by_order = [F.col(c).asc_nulls_last() for c in order]
+
+    def earlier(cols: list[str], *first: str):
+        return Window.partitionBy(*cols).orderBy(*first, *by_order).rowsBetween(Window.unboundedPreceding, -1)
 
     if bounded:
-        earlier, whole = before(keys)
+        whole = Window.partitionBy(*keys)
         return base.withColumns(
-            {f"below_{m}": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures}
+            {f"below_{m}": F.coalesce(F.sum(m).over(earlier(keys)), F.lit(0)) for m in measures}
             | {f"all_{m}": F.sum(m).over(whole) for m in measures}
         )
 
-    sliced = _with_slices(base, keys, order, HOT_ROWS if hot_rows is None else hot_rows)
-    earlier, whole = before(keys + ["_slice"])
-    per_slice = sliced.where(F.col("_cuts").isNotNull()).groupBy(*keys, "_slice").agg(
-        *[F.sum(m).alias(m) for m in measures]
-    )
-    by_key = Window.partitionBy(*keys)
-    ahead = by_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_slice").alias("_o_slice"),
-        *[F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"_ahead_{m}") for m in measures],
-        *[F.sum(m).over(by_key).alias(f"_all_{m}") for m in measures],
-    )
-    local = sliced.drop("_cuts").withColumns(
-        {f"below_{m}": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures}
-        | {f"all_{m}": F.sum(m).over(whole) for m in measures}
-    )
-    joined = local.join(
-        F.broadcast(offsets),
-        [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys] + [F.col("_slice") == F.col("_o_slice")], "left",
-    )
-    return joined.withColumns(
-        {f"below_{m}": F.col(f"below_{m}") + F.coalesce(f"_ahead_{m}", F.lit(0)) for m in measures}
-        | {f"all_{m}": F.coalesce(f"_all_{m}", f"all_{m}") for m in measures}
-    ).drop("_slice", "_o_slice", *[f"_o_{k}" for k in keys],
-           *[f"_ahead_{m}" for m in measures], *[f"_all_{m}" for m in measures])
+    if ranges is None:
+        ranges = max(FEWEST_RANGES, min(MOST_RANGES, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    cut = with_ranges(base, keys, order, ranges)
+    parts = cut.groupBy(*keys, "_range").agg(*[F.sum(m).alias(m) for m in measures])
+    run = Window.partitionBy(*keys).orderBy("_range")
+    before, after = run.rowsBetween(Window.unboundedPreceding, -1), run.rowsBetween(1, Window.unboundedFollowing)
+    carried = parts.select(
+        *keys, "_range", F.count("*").over(Window.partitionBy(*keys)).alias("_parts"),
+        *[F.sum(m).over(before).alias(f"_before_{m}") for m in measures], *[F.sum(m).over(after).alias(f"_after_{m}") for m in measures],
+    ).where(F.col("_parts") > 1)
+    # one row for each range of a key that has several: it comes first and brings what the other ranges hold
+    carry = carried.select(*keys, "_range", F.lit(0).alias("_own"), *[F.coalesce(f"_before_{m}", F.lit(0)).alias(m) for m in measures],
+                           *[F.coalesce(f"_after_{m}", F.lit(0)).alias(f"_after_{m}") for m in measures])
+    every = cut.withColumn("_own", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    here = [*keys, "_range"]
+    return every.withColumns(
+        {f"below_{m}": F.coalesce(F.sum(m).over(earlier(here, "_own")), F.lit(0)) for m in measures}
+        | {f"all_{m}": F.sum(F.col(m) + F.coalesce(f"_after_{m}", F.lit(0))).over(Window.partitionBy(*here)) for m in measures}
+    ).where("_own = 1").drop("_own", "_range", *[f"_after_{m}" for m in measures])
 
 
 def ordered_counts(df: DataFrame, keys: list[str], value: str, bounded: bool = False,
-                   hot_rows: int | None = None) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """(keys, value, m, below_m, all_m): runs of equal values of each key in order.
 
     Missing values form a run of multiplicity 0 at the end, so a key without values keeps a row.
@@ -113,7 +95,7 @@ def ordered_counts(df: DataFrame, keys: list[str], value: str, bounded: bool = F
         # one shuffle serves the merge of equal values and the window
         base = base.repartition(*keys)
     base = base.groupBy(*keys, value).agg(F.count(value).alias("m"))
-    return running_totals(base, keys, [value], ["m"], bounded, hot_rows)
+    return running_totals(base, keys, [value], ["m"], bounded, ranges)
 
 
 def value_at_rank(value: str, rank: Column, where: Column | None = None) -> Column:
@@ -133,9 +115,9 @@ def quantile_column(value: str, p: float, where: Column | None = None) -> Column
 
 
 def quantiles(df: DataFrame, keys: list[str], value: str, ps: dict[str, float], bounded: bool = False,
-              hot_rows: int | None = None) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """Exact quantiles per key, one output column per entry of ``ps``."""
-    oc = ordered_counts(df, keys, value, bounded, hot_rows)
+    oc = ordered_counts(df, keys, value, bounded, ranges)
     return oc.groupBy(*keys).agg(*[quantile_column(value, p).alias(name) for name, p in ps.items()])
 
 

@@ -58,6 +58,18 @@ def a4_raw(spark, sf_dir):
     return rounded(I.integrate(df, ["l_returnflag", "l_linestatus"], ["median", "q90"], ["price"]), "price_median", "price_q90")
 
 
+_HOT = "CASE WHEN l_suppkey % 5 < 3 THEN 0 ELSE l_suppkey END"
+
+
+@query("a4_quantiles_of_a_hot_key", f"""
+SELECT {_HOT} AS supplier, {rsql('quantile_cont(l_extendedprice, 0.25e0)')} AS price_q25, {rsql('quantile_cont(l_extendedprice, 0.5e0)')} AS price_median,
+       {rsql('quantile_cont(l_extendedprice, 0.9e0)')} AS price_q90 FROM lineitem GROUP BY 1""")
+def a4_hot(spark, sf_dir):
+    # one key holds three fifths of all rows, the others little each
+    df = table(spark, sf_dir, "lineitem").select(F.expr(_HOT).alias("supplier"), F.col("l_extendedprice").alias("price"))
+    return rounded(I.integrate(df, ["supplier"], ["q25", "median", "q90"], ["price"]), "price_q25", "price_median", "price_q90")
+
+
 @query("a8_which_extreme", with_lenses("layers", """
 , n AS (SELECT *, layer - min(layer) OVER (PARTITION BY cell_id) + 1 AS pos FROM layers)
 SELECT cell_id, CAST(arg_min(pos, (value, pos)) FILTER (value IS NOT NULL) AS INT) AS value_which_min,

@@ -53,48 +53,63 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k INT, x DOUBLE, w DOUBLE").repartition(5), rows
 
 
-def test_hot_keys_are_cut_into_ranges_with_the_same_result(skewed, monkeypatch):
+def test_hot_keys_are_cut_into_ranges_with_the_same_result(skewed):
     df, rows = skewed
-    monkeypatch.setattr(O, "HOT_KEYS", 10)
     by_key = {}
     for k, x, _ in rows:
         if x is not None:
             by_key.setdefault(k, []).append(x)
     ps = {"a": 0.03, "b": 0.5, "c": 0.9, "d": 1.0}
-    out = as_dict(O.quantiles(df, ["k"], "x", ps, hot_rows=50), "k")
-    assert len(out) == len(by_key)
-    for k, xs in by_key.items():
-        for name, p in ps.items():
-            assert out[k][name] == pytest.approx(np.quantile(xs, p), abs=1e-12)
-    runs = O.ordered_counts(df, ["k"], "x", hot_rows=50)
+    for ranges in (2, 16, 300):
+        out = as_dict(O.quantiles(df, ["k"], "x", ps, ranges=ranges), "k")
+        assert len(out) == len(by_key)
+        for k, xs in by_key.items():
+            for name, p in ps.items():
+                assert out[k][name] == pytest.approx(np.quantile(xs, p), abs=1e-12)
+    runs = O.ordered_counts(df, ["k"], "x", ranges=300)
     assert runs.where("k = 0 AND m > 0").agg(F.sum("m")).first()[0] == len(by_key[0])
-    # the hot key really is spread over many ranges
+
+
+def test_ranges_are_even_and_in_order(skewed):
+    df, _ = skewed
     base = df.groupBy("k", "x").agg(F.count("x").alias("m"))
-    slices = O._with_slices(base, ["k"], ["x"], 50).where("k = 0")
-    assert slices.select("_slice").distinct().count() > 200
-    # the search finds the same range as counting does
-    counted = slices.withColumn("n", F.size(F.filter("_cuts", lambda c: c <= F.struct("x"))))
-    assert counted.where("n <> _slice").isEmpty()
+    rows = [(r._range, r.k, r.x is None, r.x or 0.0) for r in O.with_ranges(base, ["k"], ["x"], 50).collect()]
+    assert [r[0] for r in sorted(rows, key=lambda r: r[1:])] == sorted(r[0] for r in rows)
+    sizes = np.bincount([r[0] for r in rows])
+    assert len(sizes) == 50 and sizes.max() < 2.5 * sizes.mean()  # the hot key is no exception
+    assert len({r[0] for r in rows if r[1] == 0}) > 20
 
 
-def test_missing_values_come_last_in_hot_keys(skewed, spark, monkeypatch):
+def test_one_plan_for_hot_and_even_keys(skewed, spark):
+    def operators(df):
+        plan = O.quantiles(df, ["k"], "x", {"a": 0.5})._jdf.queryExecution().executedPlan().toString()
+        return sorted(w for w in plan.replace("(", " ").split() if w.endswith("Exec") or w in ("Window", "Exchange", "Sort", "BroadcastExchange", "BroadcastHashJoin"))
+
+    df, _ = skewed
+    even = df.withColumn("k", F.col("k") + F.pmod(F.xxhash64("x"), F.lit(50)).cast("int"))
+    assert operators(df) == operators(even) and "BroadcastExchange" not in operators(df)
+
+
+def test_missing_values_come_last_in_hot_keys(skewed, spark):
     df, rows = skewed
-    monkeypatch.setattr(O, "HOT_KEYS", 10)
     gaps = df.unionByName(spark.createDataFrame([(0, None, 1.0)] * 7, df.schema))
-    out = sorted((r.position, r.x) for r in I.sorted_values(gaps, ["k"], "x", hot_rows=50).where("k = 0").collect())
+    out = sorted((r.position, r.x) for r in I.sorted_values(gaps, ["k"], "x", ranges=100).where("k = 0").collect())
     xs = sorted(x for k, x, _ in rows if k == 0)
     assert [x for _, x in out] == xs + [None] * 7 and [p for p, _ in out] == list(range(1, len(xs) + 8))
 
 
-def test_hot_keys_in_weighted_quantiles(skewed, monkeypatch):
+def test_hot_keys_in_weighted_quantiles(skewed):
     df, _ = skewed
     plain = as_dict(I.weighted_quantiles(df, ["k"], "x", "w", {"q": 0.3}, bounded=True), "k")
-    monkeypatch.setattr(O, "HOT_KEYS", 10)
-    cut = as_dict(I.weighted_quantiles(df, ["k"], "x", "w", {"q": 0.3}, hot_rows=100), "k")
+    cut = as_dict(I.weighted_quantiles(df, ["k"], "x", "w", {"q": 0.3}, ranges=100), "k")
     assert plain.keys() == cut.keys()
     assert all(cut[k]["q"] == pytest.approx(plain[k]["q"], rel=1e-9) for k in plain)
 
 
+def test_order_statistics_of_an_empty_table(skewed):
+    assert O.quantiles(skewed[0].where("false"), ["k"], "x", {"a": 0.5}).count() == 0
+
+
 def test_weighted_quantile_equals_plain_for_equal_weights_and_ignores_scale(spark):
     rows = [(1, float(x), 2.5, 25.0) for x in (5, 3, 8, 1, 9, 9, 4)]
     df = spark.createDataFrame(rows, "cell_id INT, x DOUBLE, w DOUBLE, w10 DOUBLE")
