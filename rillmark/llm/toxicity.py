@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import log1p
@@ -16,30 +17,64 @@ from pyspark.sql import functions as F
 
 from rillmark.llm.common import fields, plain, stored
 
-#: Labelled rows learned from, at most (drawn by hash), and the words of the learned lexicon, at most.
-MAX_LABELLED, MAX_WORDS = 40_000, 64
-#: A lexicon word is in this share of the toxic texts and this many times as often in them as in the others.
-MIN_SHARE, MIN_RATIO = 0.06, 8.0
+#: Labelled rows learned from, at most (drawn by hash).
+MAX_LABELLED = 40_000
+#: Letters of a stem, the begin of a word; longer words are stems of their own as a whole, too. A text counts each stem this often at most.
+STEM, OFTEN = range(3, 9), 4
+#: A lexicon stem is in so many toxic texts, so many times as often in a toxic text as in another, and further from chance than this
+#: (logarithm of a Poisson probability).
+MIN_TEXTS, MIN_RATIO, MIN_EVIDENCE = 4, 8.0, 8.0
+#: A longer stem is kept beside a shorter one that it begins with if its ratio is so many times as high.
+BETTER = 1.5
+#: Words whose stem a worker remembers.
+REMEMBERED = 1 << 17
 THRESHOLD = 0.7
 SECOND_PERSON = frozenset("you your yours yourself ur u du dich dir dein deine ihr euch euer tu toi te ton ta tes vous votre vos tú tus usted ustedes ti".split())
 #: Characters that stand for letters.
 LEET = str.maketrans("0134578@$!", "oieastbasi", "*._-'\",;:?()[]")
 MARKS = str.maketrans(dict.fromkeys(".,;:!?\"'()[]{}|/\\«»¿¡", " "))
 REACH = 5
-FEATURES = ["words", "lexicon", "hits", "kinds", "near_you", "you", "capitals", "shouts", "questions", "marks", "digits", "hidden", "obfuscated", "other_bytes"]
+FEATURES = ["words", "lexicon", "hits", "kinds", "strength", "near_you", "you", "capitals", "shouts", "questions", "marks", "digits", "hidden", "obfuscated", "other_bytes"]
 
 
-def features(text: str, lexicon: frozenset[str], masked: frozenset[str]) -> list[float]:
+def stems(word: str) -> list[str]:
+    return [word[:k] for k in STEM if k < len(word)] + [word]
+
+
+class Lexicon:
+    """Stems with the logarithm of how much more often toxic texts have them."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        self.masked = frozenset(w[:i] + "*" + w[i + 1 :] for w in weights for i in range(len(w)))
+        self.known: dict[str, str | None] = {}
+
+    def find(self, word: str) -> str | None:
+        """The shortest stem of the lexicon that the word begins with."""
+        if word not in self.known:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[word] = next((s for s in stems(word) if s in self.weights), None)
+        return self.known[word]
+
+    def hides(self, word: str) -> bool:
+        """Whether the word is one of the lexicon with other characters for some letters."""
+        return self.find(word) is None and (self.find(word.translate(LEET)) is not None or any(s in self.masked for s in stems(word)))
+
+
+def features(text: str, lexicon: Lexicon) -> list[float]:
     low = text.lower()
     words = low.translate(MARKS).split()
     n = max(1, len(words))
     known = set(words)
-    hits, kinds, near = 0, 0, 0
-    found = known & lexicon
+    hits, kinds, near, strength = 0, 0, 0, 0.0
+    found = {w: s for w in known if (s := lexicon.find(w)) is not None}
     you = [i for i, w in enumerate(words) if w in SECOND_PERSON] if known & SECOND_PERSON else []
     if found:
         at = [i for i, w in enumerate(words) if w in found]
-        hits, kinds = len(at), len(found)
+        counts = Counter(found[words[i]] for i in at)
+        hits, kinds = len(at), len(counts)
+        strength = sum(lexicon.weights[s] * min(c, OFTEN) for s, c in counts.items())
         if you:
             places = np.array(you)
             left = np.searchsorted(places, at)
@@ -51,47 +86,79 @@ def features(text: str, lexicon: frozenset[str], masked: frozenset[str]) -> list
             core = w.strip(".,;:!?\"'()|")
             if core and not core.isalpha() and not core.isdigit() and any(map(str.isalpha, core)):
                 odd += 1
-                if core not in lexicon and (core.translate(LEET) in lexicon or core in masked):
-                    hidden += 1
+                hidden += lexicon.hides(core)
     bytes_ = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)
     size = max(1, int(bytes_.sum()))
     upper, lower = int(bytes_[65:91].sum()), int(bytes_[97:123].sum())
     marks = int(bytes_[33:48].sum() + bytes_[58:65].sum() + bytes_[91:97].sum() + bytes_[123:127].sum())
-    return [log1p(len(words)), hits / n, log1p(hits), float(kinds), near / n, len(you) / n, upper / max(1, upper + lower), float(bytes_[33]) / n,
+    return [log1p(len(words)), hits / n, log1p(hits), float(kinds), strength, near / n, len(you) / n, upper / max(1, upper + lower), float(bytes_[33]) / n,
             float(bytes_[63]) / n, marks / size, float(bytes_[48:58].sum()) / size, float(hidden), odd / n, float(bytes_[128:].sum()) / size]
 
 
-def with_features(docs: DataFrame, lexicon: list[str], *keep: str) -> DataFrame:
+def with_features(docs: DataFrame, weights: dict[str, float], *keep: str) -> DataFrame:
     """The columns ``keep`` with an array of FEATURES for each text (missing: empty)."""
     rows = docs.select(*keep, plain("text").alias("text"))
-    words = frozenset(lexicon)
-    masked = frozenset(w[:i] + "*" + w[i + 1 :] for w in lexicon for i in range(len(w)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(weights)
         for batch in batches:
-            made = [features(t.as_py(), words, masked) for t in batch.column("text")]
+            made = [features(t.as_py(), lexicon) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(made, pa.list_(pa.float64()))], [*keep, "features"])
 
     types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(run, f"{types}, features array<double>")
 
 
-def learn_lexicon(train: DataFrame) -> list[str]:
-    """Words that mark the toxic ones of (text, toxic), most frequent first; MAX_WORDS at most."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(plain("text")), F.lit(r"\p{L}{3,}"), F.lit(0)))
-    counts = train.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all"))
+def stem_counts(train: DataFrame) -> DataFrame:
+    """(stem, bad, bad_texts, every): how often toxic texts have a stem, how many of them do, and how often all texts of (text, toxic) have it;
+    a text counts a stem OFTEN times at most. Each task adds up its own texts first."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bad, bad_texts, every = Counter(), Counter(), Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column("text"), batch.column("toxic")):
+                own = Counter()
+                for word, n in Counter(w for w in text.as_py().lower().translate(MARKS).split() if len(w) >= STEM[0] and w.isalpha()).items():
+                    for s in stems(word):
+                        own[s] += n
+                own = {s: min(n, OFTEN) for s, n in own.items()}
+                every.update(own)
+                if toxic.as_py():
+                    bad.update(own)
+                    bad_texts.update(own.keys())
+        names = list(every)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[s] for s in names], pa.int64()) for c in (bad, bad_texts, every))],
+                                         ["stem", "bad", "bad_texts", "every"])
+
+    counts = train.select(plain("text").alias("text"), "toxic").mapInArrow(run, "stem string, bad long, bad_texts long, every long")
+    return counts.groupBy("stem").agg(*(F.sum(c).alias(c) for c in ("bad", "bad_texts", "every")))
+
+
+def learn_lexicon(train: DataFrame) -> dict[str, float]:
+    """Stems that mark the toxic ones of (text, toxic), with the logarithms of their ratios.
+
+    Toxic words may be compounds, each of them rare, of a few stems that are not; so the begins of words are counted as well as words. A stem
+    is taken for its ratio and its distance from chance, however small its share of all toxic texts is, as there may be many languages.
+    """
     sums = train.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     bad, good = sums[0] or 0, (sums[1] or 0) - (sums[0] or 0)
     if not bad or not good:
-        return []
-    ratio = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("all") - F.col("bad") + 0.5) / (good + 1))
-    top = counts.filter((F.col("bad") >= max(2, MIN_SHARE * bad)) & (ratio >= MIN_RATIO)).orderBy(F.desc("bad"), "word").limit(MAX_WORDS)
-    return [r.word for r in top.collect()]
+        return {}
+    ratio = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("every") - F.col("bad") + 0.5) / (good + 1))
+    chance = F.col("every") * (bad / (bad + good))
+    evidence = (F.col("bad") * F.log(F.col("bad") / chance) - F.col("bad") + chance) * F.col("bad_texts") / F.col("bad")
+    marks = stem_counts(train).filter((F.col("bad_texts") >= MIN_TEXTS) & (ratio >= MIN_RATIO) & (evidence >= MIN_EVIDENCE))
+    found = {r.stem: r.ratio for r in marks.select("stem", ratio.alias("ratio")).collect()}
+    kept: dict[str, float] = {}
+    for stem in sorted(found, key=lambda s: (len(s), s)):
+        if found[stem] > BETTER * max((kept[s] for s in stems(stem)[:-1] if s in kept), default=0.0):
+            kept[stem] = found[stem]
+    return {s: float(np.log(r)) for s, r in kept.items()}
 
 
 @dataclass
 class Model:
-    lexicon: list[str]
+    lexicon: dict[str, float]
     trees: object | None
     calibration: object | None
     prior: float

@@ -272,6 +272,30 @@ def test_toxicity(spark, docs, none):
     assert toxicity.toxicity(docs, labels).count() == len(ROWS) and toxicity.toxicity(none, labels).count() == 0
 
 
+def test_toxicity_finds_compounds_of_few_stems(spark):
+    """Toxic texts of four made-up languages; the marks of three are compounds, each of them rare."""
+    draw, rows = np.random.default_rng(6), []
+    syllables = {k: [a + b for a in p for b in "aeiou"] for k, p in {"a": "bdg", "b": "klm", "c": "nrt", "d": "svz"}.items()}
+    stems = {"a": ["idiot", "moron", "loser"], "b": ["scheus", "dreck"], "c": ["imbec", "ordur"], "d": ["estup", "basur"]}
+    word = lambda k: "".join(draw.choice(syllables[k], draw.integers(2, 5)))
+    for i in range(2400):
+        k = "abcd"[min(3, i % 7)] if i % 7 else "d"
+        toxic = draw.random() < 0.15
+        text = [word(k) for _ in range(60)]
+        if toxic:
+            for place in draw.choice(60, 5, replace=False):
+                text[place] = str(draw.choice(stems[k])) + (word(k) if k != "a" else "")
+        rows.append((i, " ".join(text), k, int(toxic)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").repartition(3)
+    truth = {i: (k, t) for i, _, k, t in rows}
+    held = [(truth[r.doc_id], r.predicted) for r in toxicity.toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic")).collect() if r.held_out]
+    for k in "abcd":
+        bad = [p for (lang, t), p in held if lang == k and t]
+        assert sum(bad) >= 0.9 * len(bad) and len(bad) > 5
+    clean = [p for (_, t), p in held if not t]
+    assert sum(clean) <= 0.02 * len(clean)
+
+
 def test_sharding(docs, none):
     got = {r.doc_id: r for r in sharding.shard(docs, 3).collect()}
     loads, by_text = [(0, s) for s in range(3)], collections.Counter()
