@@ -8,6 +8,7 @@ import struct
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -15,8 +16,14 @@ from pyspark.sql import functions as F
 
 from rillmark.llm.common import fields, plain
 
-#: Pieces, pairs and states a worker remembers; when full, the memory starts anew (results do not depend on it).
-MAX_PIECES, MAX_PAIRS, MAX_STATES = 2**19, 2**18, 2**16
+#: Parts of texts, pairs and states a worker remembers; when full, the memory starts anew (results do not depend on it).
+MAX_PARTS, MAX_PAIRS, MAX_STATES = 2**19, 2**19, 2**19
+#: Bytes of a part that are remembered, and bytes of a piece after which tokens are given out that no further byte can change.
+LONGEST, SETTLE = 48, 1 << 12
+#: A pattern that begins a match at the last white space of every run of it that a visible character follows, so that a text may be cut
+#: there (fixed value), and where it is cut.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BORDER = regex.compile(r"(?=[ \n][!-~\p{L}\p{N}])", regex.V1)
 #: Bytes of results handed over at a time, and ids decoded at a time.
 OUT_BYTES, CHUNK_IDS = 16 << 20, 1 << 16
 
@@ -34,31 +41,36 @@ class Transducer:
     """Merges as a transducer over bytes.
 
     Two facts carry it: a sequence of tokens is what the merges make of its bytes exactly if every two neighbours are (``fits``), and every
-    prefix of the input has one such sequence. A hypothesis is (trie node of an unfinished token, the token before it, tokens not yet
-    emitted); a state is the set of hypotheses alive after a prefix. The tokens that all hypotheses share are emitted, so no token waits
-    for more bytes than the longest token has. States and their moves are made when first needed.
+    prefix of the input has one such sequence. A hypothesis is an unfinished token (a node of the trie of tokens) with the token before it;
+    a state is the hypotheses alive after a prefix, the longest first. A move reads a byte and puts out the one token that can end there;
+    what is put out at the end, and before the token found there, and so on, is the sequence. Where the sequences before all hypotheses meet,
+    nothing before can change, so tokens can be given out while a long piece is read. As a state knows nothing of the tokens before its
+    hypotheses, pieces share states. States and moves are made when first needed.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.token = ranks, array("i", [-1])
+        self.ranks, self.token, self.depth = ranks, array("i", [-1]), array("i", [0])
         #: node * 256 + byte -> node, and the nodes that have children
         self.child: dict[int, int] = {}
         self.bytes_of = {r: t for t, r in ranks.items()}
+        self.length = {r: len(t) for t, r in ranks.items()}
         for token, rank in ranks.items():
             node = 0
-            for byte in token:
+            for depth, byte in enumerate(token, start=1):
                 node = self.child.setdefault(node << 8 | byte, len(self.token))
                 if node == len(self.token):
                     self.token.append(-1)
+                    self.depth.append(depth)
             self.token[node] = rank
         self.inner = {key >> 8 for key in self.child}
         self.pairs: dict[int, bool] = {}
         self.spines: dict[int, list[int] | None] = {}
+        self.forgot = self.made = 0
         self.forget()
 
     def forget(self) -> None:
-        self.number = {((0, -1, ()),): 0}
-        self.states, self.moves = [((0, -1, ()),)], [{}]
+        """Start with no states but the first: no token unfinished, none before."""
+        self.number, self.states, self.moves = {((0, -1),): 0}, [((0, -1),)], {}
 
     def merge(self, data: bytes, parts_left: int = 1) -> list[bytes]:
         """The plain definition: join the neighbours of lowest rank until none can be joined or ``parts_left`` remain."""
@@ -115,58 +127,94 @@ class Transducer:
             else:
                 j += 1
 
-    def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        alive, done = [], None
-        for node, last, waiting in self.states[state]:
+    def move(self, state: int, byte: int) -> tuple[int, int]:
+        """The state after a byte and the token that ends with it."""
+        alive, token_here = [], -1
+        for node, last in self.states[state]:
             child = self.child.get(node << 8 | byte)
             if child is not None:
-                alive.append((child, last, waiting))
+                if child in self.inner:
+                    alive.append((child, last))
                 token = self.token[child]
-                if done is None and token >= 0 and self.fits(last, token):
-                    done = (0, token, (*waiting, token))
-        alive = [h for h in alive if h[0] in self.inner] + [done]
-        shared = 0
-        shortest = min(len(h[2]) for h in alive)
-        while shared < shortest and len({h[2][shared] for h in alive}) == 1:
-            shared += 1
-        out = done[2][:shared]
-        after = tuple(sorted((n, t, w[shared:]) for n, t, w in alive))
-        if after not in self.number:
-            self.number[after] = len(self.states)
+                if token_here < 0 <= token and self.fits(last, token):
+                    token_here = token
+        after = (*alive, (0, token_here))
+        number = self.number.get(after)
+        if number is None:
+            number = self.number[after] = len(self.states)
             self.states.append(after)
-            self.moves.append({})
-        self.moves[state][byte] = found = (self.number[after], out)
+        self.made += 1
+        found = self.moves[state << 8 | byte] = number, token_here
         return found
 
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
         if len(self.states) > MAX_STATES:
+            self.forgot += 1
             self.forget()
-        state, ids, moves = 0, [], self.moves
+        state, ends, out, known, full = 0, [], [], self.moves.get, SETTLE
         for byte in piece:
-            state, out = moves[state].get(byte) or self.move(state, byte)
-            if out:
-                ids.extend(out)
-        ids.extend(next(w for n, _, w in self.states[state] if n == 0))
-        return ids
-
-
-class Pieces(dict):
-    """Packed ids (little-endian, 32 bits) of pieces of text."""
-
-    def __init__(self, transducer: Transducer):
-        self.transducer = transducer
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.transducer.encode(piece.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) < 64:
-            if len(self) >= MAX_PIECES:
+            state, token = known(state << 8 | byte) or self.move(state, byte)
+            ends.append(token)
+            if len(ends) >= full:
+                settled = self._settled(state, ends)
+                out += self._back(ends[:settled])
+                del ends[:settled]
+                full = max(SETTLE, 2 * len(ends))
+        return out + self._back(ends)
+
+    def _settled(self, state: int, ends: list[int]) -> int:
+        """The last place at which the sequences before all hypotheses of a state have a border."""
+        common = None
+        for node, _ in self.states[state]:
+            at = len(ends) - self.depth[node]
+            borders = {at}
+            while at:
+                at -= self.length[ends[at - 1]]
+                borders.add(at)
+            common = borders if common is None else common & borders
+        return max(common)
+
+    def _back(self, ends: list[int]) -> list[int]:
+        """The tokens of bytes each of which has the token that would end with it, from the last one back."""
+        out, at = [], len(ends)
+        while at:
+            out.append(ends[at - 1])
+            at -= self.length[out[-1]]
+        return out[::-1]
+
+
+class Parts(dict):
+    """Packed ids (little-endian, 32 bits) of parts of texts that matches do not reach over; a part is kept without the space before it."""
+
+    def __init__(self, transducer: Transducer, pattern: str):
+        self.transducer, self.find, self.cut = transducer, regex.compile(pattern).findall, pattern == BYTE_LEVEL
+
+    def pieces(self, text: str) -> bytes:
+        ids = [i for piece in self.find(text) for i in self.transducer.encode(piece.encode())]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, part: str) -> bytes | None:
+        """None for a part that may not be cut off before it."""
+        text = part if part[:1] == "\n" else " " + part
+        packed = self.pieces(text) if BORDER.match(text) else None
+        if len(part) < LONGEST:
+            if len(self) >= MAX_PARTS:
                 self.clear()
-            self[piece] = packed
+            self[part] = packed
         return packed
 
+    def of_text(self, text: str) -> bytes:
+        if not self.cut:
+            return self.pieces(text)
+        head, *rest = text.replace("\n", " \n").split(" ")
+        found = list(map(self.__getitem__, rest))
+        if None in found:
+            head, *rest = BORDER.split(text)
+            found = [self[p.removeprefix(" ")] for p in rest]
+        return self.pieces(head) + b"".join(found)
+
 
 class Utf8Stream:
     """Bytes in, text out: a character is given out when its last byte has come; broken bytes become U+FFFD."""
@@ -196,20 +244,38 @@ class Utf8Stream:
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str, pattern: str):
-    pieces, find = Pieces(Transducer(read_ranks(path))), regex.compile(pattern).findall
-    return lambda text: b"".join(map(pieces.__getitem__, find(text)))
+    return Parts(Transducer(read_ranks(path)), pattern).of_text
+
+
+class Vocabulary:
+    """All tokens' bytes end to end, so that ids become bytes by gathering."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        self.bytes = np.frombuffer(b"".join(ranks), np.uint8)
+        lengths = np.array([len(t) for t in ranks], np.int64)
+        ids = np.array(list(ranks.values()), np.int64)
+        self.begin, self.length = np.full(ids.max() + 1, -1, np.int64), np.zeros(ids.max() + 1, np.int64)
+        self.begin[ids], self.length[ids] = np.cumsum(lengths) - lengths, lengths
+
+    def join(self, ids: np.ndarray) -> bytes:
+        length = self.length[np.minimum(ids, len(self.length) - 1)]
+        if (length == 0).any() or (ids >= len(self.length)).any():
+            raise ValueError("an id that is not in the vocabulary")
+        ends = np.cumsum(length)
+        return self.bytes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[ids] - ends + length, length)].tobytes()
 
 
 @functools.lru_cache(maxsize=4)
-def _vocabulary(path: str) -> dict[int, bytes]:
-    return {r: t for t, r in read_ranks(path).items()}
+def _vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
-def decode(ids: bytes, vocabulary: dict[int, bytes]) -> Iterator[str]:
+def decode(ids: bytes, vocabulary: Vocabulary) -> Iterator[str]:
     """The text of packed ids, in parts."""
     stream, size = Utf8Stream(), 4 * CHUNK_IDS
     for at in range(0, len(ids), size):
-        yield stream.feed(b"".join(map(vocabulary.__getitem__, array("I", ids[at : at + size]))))
+        yield stream.feed(vocabulary.join(np.frombuffer(ids[at : at + size], "<u4")))
     yield stream.close()
 
 

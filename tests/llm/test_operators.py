@@ -372,6 +372,37 @@ def test_bpe(docs, none):
     assert bpe.round_trip(none, PATH, PATTERN).count() == 0
 
 
+def test_bpe_of_many_kinds_of_text(monkeypatch):
+    tiktoken = pytest.importorskip("tiktoken")
+    ranks = bpe.read_ranks(PATH)
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    draw = np.random.default_rng(8)
+    parts = [" ", "  ", "\n", "\n\n", " \n", "\t", "\xa0", "\u3000", "\x1c", "\x85", "a", "b", "é", "日本", "🙂", "1", "²", "'s", "!", "<|", "ab", " the", "x" * 60, "\r\n", "\u200b"]
+    texts = ["".join(parts[i] for i in draw.integers(0, len(parts), n)) for n in draw.integers(0, 40, 3000)]
+    texts += [c * n for c in ("a", "é", " ", "!", "1", "ab", "日本語", "\n", "aaab", "🙂") for n in (1, 7, 300, 9000)] + [" " * 5000 + "x"]
+    texts += ["".join(chr(c) for c in draw.integers(0x20, 0x3000, 50)) for _ in range(300)]
+    vocabulary = bpe.Vocabulary(PATH)
+    for states in (bpe.MAX_STATES, 50):  # with forgetting, too
+        monkeypatch.setattr(bpe, "MAX_STATES", states)
+        own = bpe.Parts(bpe.Transducer(ranks), PATTERN)
+        for text in texts:
+            ids = np.array(library.encode_ordinary(text), "<u4").tobytes()
+            assert own.of_text(text) == ids and "".join(bpe.decode(ids, vocabulary)) == text
+        assert (own.transducer.forgot > 0) == (states == 50)
+
+
+def test_bpe_states_repeat(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    own = bpe.Parts(bpe.Transducer(bpe.read_ranks(PATH)), PATTERN)
+    for text in texts:
+        own.of_text(text)
+    size = sum(len(t.encode()) for t in texts)
+    print(f"{size} bytes, {len(own.transducer.states)} states, {own.transducer.made} moves made")
+    assert own.transducer.forgot == 0 and own.transducer.made < size / 10
+    with pytest.raises(ValueError, match="not in the vocabulary"):
+        bpe.Vocabulary(PATH).join(np.array([50256]))
+
+
 def test_utf8_stream():
     stream, data = bpe.Utf8Stream(), "aé€🙂".encode()
     assert [stream.feed(data[i : i + 1]) for i in range(len(data))] == ["a", "", "é", "", "", "€", "", "", "", "🙂"]
