@@ -40,6 +40,16 @@ def stored(df: DataFrame, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these tables. What was made of them must have been written itself."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/table-" in folder and scratch_path(df.sparkSession).rsplit("/", 1)[-1] in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
+
 def plain(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import random
 from collections.abc import Iterator
 from functools import reduce
 
@@ -13,16 +12,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import fields, plain, set_aside, stored, text_key
+from rillmark.llm.common import discard, fields, plain, set_aside, stored, text_key
 
 #: Seed of the shingles' hash (fixed value of the contract).
 SEED = 42
 #: Blocks a fingerprint is split into for exact links within 2 bits, and the largest bucket whose pairs are compared one by one.
 BLOCKS, PAIRWISE = 8, 64
-#: Links by similarity: bits of the fingerprint, tables of sampled bits, bits of a table's key and further bits to sort its buckets by.
-WIDE_BITS, TABLES, KEY_BITS, SORT_BITS = 256, 64, 20, 24
-#: Buckets of this size or less have all their pairs among a text's first and three previous ones in the bucket.
-WHOLE = 5
+#: Bits of the fingerprint for links by similarity; the first 64 meet in blocks, all of them are compared.
+WIDE_BITS = 256
 #: Places of the filter that keeps texts without need of an exact comparison from being shuffled.
 SLOTS = 1 << 20
 #: Shingles handled at a time.
@@ -105,8 +102,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     mark = _mark(now)
     while True:
-        now = stored(stars(now))
+        before, now = now, stored(stars(now))
         new = _mark(now)
+        discard(before)
         if new == mark:
             break
         mark = new
@@ -169,37 +167,27 @@ def near_classes(docs: DataFrame, words: int = 3) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _table_keys(lanes: list[str], tables: int, key_bits: int):
-    """A row for each fingerprint and table: ``at`` is its bucket (the table's number before the sampled bits) before SORT_BITS further bits."""
-    rng = random.Random(SEED)
-    samples = [rng.sample(range(64 * len(lanes)), key_bits + SORT_BITS) for _ in range(tables)]
-
-    def number(bits: np.ndarray) -> np.ndarray:
-        return bits.astype(np.int64) @ (1 << np.arange(bits.shape[1], dtype=np.int64))
-
-    def run(batches):
-        for batch in batches:
-            values = np.stack([batch.column(x).to_numpy() for x in lanes], axis=1).astype(">i8")
-            bits = np.unpackbits(values.view(np.uint8).reshape(len(values), -1), axis=1)
-            for t, sample in enumerate(samples):
-                at = (((t << key_bits) + number(bits[:, sample[:key_bits]])) << SORT_BITS) + number(bits[:, sample[key_bits:]])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], [*batch.schema.names, "at"])
-
-    return run
-
-
 def _distance(lanes: list[str], left, right) -> Column:
     return reduce(lambda x, y: x + y, (F.bit_count(left(x).bitwiseXOR(right(x))) for x in lanes))
 
 
-def band(similarity: float) -> tuple[int, int]:
-    """Distances of WIDE_BITS bits: up to the first a pair has the similarity for sure, beyond the second it has not (3 deviations each).
+def sure_distance(similarity: float) -> int:
+    """The number of WIDE_BITS bits up to which a pair that differs has the similarity for sure (3 deviations).
 
     Sets of Jaccard similarity s have angle arccos(2s / (1 + s)) at most, and that share of their fingerprints' bits differs.
     """
     p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    slack = 3 * np.sqrt(WIDE_BITS * p * (1 - p))
-    return int(WIDE_BITS * p - slack), int(WIDE_BITS * p + slack)
+    return int(WIDE_BITS * p - 3 * np.sqrt(WIDE_BITS * p * (1 - p)))
+
+
+def block_links(prints: DataFrame, lanes: list[str], most: int) -> DataFrame:
+    """Links (a, b) of ids of prints (id, lanes) whose first 64 bits meet in ``close_pairs`` and that differ in ``most`` bits at most in all."""
+    firsts = stored(prints.groupBy(F.col(lanes[0]).alias("f")).agg(F.min(F.struct("id", *lanes)).alias("o")))
+    pairs = close_pairs(firsts.select("f"))
+    near = pairs.join(firsts.toDF("a", "x"), "a").join(firsts.toDF("b", "y"), "b").select("x", "y")
+    same = prints.select(F.struct("id", *lanes).alias("x"), F.col(lanes[0]).alias("f")).join(firsts.toDF("f", "y"), "f").filter("x.id <> y.id").select("x", "y")
+    verified = near.unionByName(same).filter(_distance(lanes, lambda f: F.col(f"x.{f}"), lambda f: F.col(f"y.{f}")) <= most)
+    return verified.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
 def alike(docs: DataFrame, prints: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -219,7 +207,9 @@ def alike(docs: DataFrame, prints: DataFrame, links: DataFrame, words: int, simi
     sets = stored(rows.mapInArrow(run, "id long, shingles array<long>"))
     both = links.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
     common = F.size(F.array_intersect("_sa", "_sb"))
-    return both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common) - 1e-9).drop("_sa", "_sb")
+    found = stored(both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common) - 1e-9).drop("_sa", "_sb"))
+    discard(ids, sets)
+    return found
 
 
 def common_shingles(rows: DataFrame, words: int) -> DataFrame:
@@ -237,11 +227,11 @@ def common_shingles(rows: DataFrame, words: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), "token").limit(MOST_COMMON)
 
 
-def prefix_pairs(docs: DataFrame, ids: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of ids (h1, id, root) of different roots: a superset of the pairs whose texts have the Jaccard similarity.
+def prefixes(docs: DataFrame, ids: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(token, id, place): the first shingles of each text of ids (h1, id), as far as another id has them among its first ones.
 
-    In any one order of all shingles, two such texts share one of their first n - ceil(similarity * n) + 1 of n shingles. The order is rare
-    before common, as far as a sample tells, so unrelated texts hardly meet. Pairs whose sizes or places leave too few shingles to share are out.
+    In any one order of all shingles, two texts of the Jaccard similarity share one of their first n - ceil(similarity * n) + 1 of n shingles.
+    The order is rare before common, as far as a sample tells, so unrelated texts hardly meet. ``place`` holds n and the shingle's place.
     """
     rows = fields(docs, "doc_id", "text").select(text_key(plain("text"))["h1"].alias("h1"), plain("text").cast("binary").alias("text"))
     common = common_shingles(rows, words).toPandas().sort_values("token")  # MOST_COMMON rows at most
@@ -266,18 +256,46 @@ def prefix_pairs(docs: DataFrame, ids: DataFrame, words: int, similarity: float)
                     yield pa.RecordBatch.from_arrays([pa.array(first[part]), pa.array(np.full(len(first[part]), h, np.int64)), pa.array(place[part])], ["token", "h1", "place"])
 
     tokens = rows.mapInArrow(run, "token long, h1 long, place long").repartition("token").dropDuplicates(["token", "h1"])
-    tokens = tokens.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("n > 1").drop("n")
-    met = stored(stored(tokens).join(ids, "h1").select("token", "id", "root", "place"))
-    sizes = met.groupBy("token", "root").count().groupBy("token").agg(F.max_by("root", "count").alias("main"), F.count(F.lit(1)).alias("kinds"))
-    met = stored(met.join(sizes.filter("kinds > 1").drop("kinds"), "token"))
-    x, y = met.filter("root <> main").alias("x"), met.alias("y")
-    size, at = (lambda f: F.shiftright(f"{f}.place", 32)), (lambda f: F.col(f"{f}.place").bitwiseAND(F.lit(2**32 - 1)))
-    shared = F.least(at("x"), at("y")) + F.least(size("x") - at("x"), size("y") - at("y"))
-    enough = shared * (1 + similarity) >= similarity * (size("x") + size("y")) - 1e-6
+    shared = tokens.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("n > 1").drop("n")
+    return shared.join(ids, "h1").groupBy("token", "id").agg(F.min("place").alias("place"))
+
+
+def _met(places: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``prefixes`` whose token several classes of labels (id, root) have, with the token's largest class (``main``) and the
+    first text of it (``pivot``: id and place)."""
+    rows = places.join(labels, "id")
+    sizes = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("first"))
+    largest = F.min(F.struct(-F.col("n"), F.col("first.id"), "root", "first"))
+    tops = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("kinds"), largest.alias("t")).filter("kinds > 1")
+    return rows.join(tops.select("token", F.col("t.root").alias("main"), F.col("t.first").alias("pivot")), "token")
+
+
+def _enough(x: Column, y: Column, similarity: float) -> Column:
+    """Whether texts that share a shingle at these places can share enough of those that follow."""
+    size, at = (lambda p: F.shiftright(p, 32)), (lambda p: p.bitwiseAND(F.lit(2**32 - 1)))
+    shared = F.least(at(x), at(y)) + F.least(size(x) - at(x), size(y) - at(y))
+    return shared * (1 + similarity) >= similarity * (size(x) + size(y)) - 1e-6
+
+
+def _pairs_of(x: Column, y: Column) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def pivot_pairs(met: DataFrame, similarity: float) -> DataFrame:
+    """Of every token, the pairs (a, b) of its pivot with the texts of other classes that can have the similarity."""
+    rows = met.filter((F.col("root") != F.col("main")) & _enough(F.col("place"), F.col("pivot.place"), similarity))
+    return rows.select(*_pairs_of(F.col("id"), F.col("pivot.id"))).distinct()
+
+
+def every_pair(met: DataFrame, similarity: float) -> DataFrame:
+    """Of every token, all pairs (a, b) of texts of different classes that can have the similarity."""
+    rows = met.select("token", "id", "root", "main", "place")
+    x, y = rows.filter("root <> main").alias("x"), rows.alias("y")
     # of two texts outside the main class, one order will do
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
+    enough = _enough(F.col("x.place"), F.col("y.place"), similarity)
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & enough)
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    return pairs.select(*_pairs_of(F.col("x.id"), F.col("y.id"))).distinct()
 
 
 def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -291,68 +309,42 @@ def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(labels.join(classes, labels.root == classes.node, "left").select("id", F.coalesce("_root", "root").alias("root")))
 
 
-def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = TABLES, key_bits: int = KEY_BITS) -> DataFrame:
+def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(key, least, root) for every distinct text of documents: its key, smallest doc_id and class, linking texts of this similarity or more.
 
-    Fingerprints of the different shingles meet in the buckets of tables keyed by sampled bits and are verified by Hamming distance:
-    links of small distance hold, those of a doubtful one (``band``) are compared exactly by their shingles, and only where they would join
-    two classes. A bucket's texts are first compared with its first one and the three before them, sorted by further bits. That leaves no
-    pair of a bucket of WHOLE texts; in larger ones, after those links have joined their classes, the texts outside the bucket's largest
-    class are compared with all texts of other classes. So no pair of a bucket is missed, and a crowded bucket of near copies stays linear.
-    What shares no bucket or lies beyond the doubtful distances is found by ``prefix_pairs`` and compared exactly, so no pair at all is missed.
-    Texts without words are one class; of texts with equal fingerprints one stands for all.
+    Fingerprints of the different shingles meet in pigeonhole blocks of their first 64 bits and are linked where all bits' Hamming distance
+    leaves no doubt. Pairs that differ more are found by their rarest shingles (``prefixes``), which no pair of the similarity fails to
+    share, and are compared exactly where they would join two classes: first, as long as that joins any, each token's texts with one of its
+    largest class, so that a large group of near copies becomes one class without its pairs; then all pairs of a token that still are of
+    different classes. So no pair is missed. Texts without words are one class; of texts with equal fingerprints one stands for all. Missing
+    texts count as empty; tables without rows give none.
     """
     rows = fingerprints(docs, words, WIDE_BITS, distinct=True)
     lanes = [f"f{k}" for k in range(WIDE_BITS // 64)]
     texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least"), *(F.first(x).alias(x) for x in lanes)))
     prints = stored(texts.groupBy(*lanes).agg(F.min("key").alias("key")).withColumn("id", F.xxhash64(*lanes)))
-    sure, most = band(similarity)
-    slim = prints.select("id", *lanes)
-    bucket = F.shiftright("at", SORT_BITS).alias("bucket")
-    keyed = slim.drop("id").mapInArrow(_table_keys(lanes, tables, key_bits), ", ".join(f"{x} long" for x in [*lanes, "at"]))
-    # the narrowest rows cross the shuffle; what follows from them is added behind it
-    keyed = keyed.repartition(bucket).select("at", *lanes, bucket, F.xxhash64(*lanes).alias("id"))
-    w = Window.partitionBy("bucket").orderBy("at", "id")
-    me = F.struct("id", *lanes)
-    others = F.array(F.first(me).over(w), *(F.lag(me, i).over(w) for i in (1, 2, 3)))
-    near = F.transform(F.filter("o", lambda o: o.isNotNull() & (o["id"] != F.col("id"))),
-                       lambda o: F.struct(o["id"].alias("id"), _distance(lanes, F.col, lambda x: o[x]).alias("d")))
-    met = keyed.select("id", "bucket", *lanes, others.alias("o"), F.count(F.lit(1)).over(Window.partitionBy("bucket")).alias("n")).filter("n > 1")
-    met = met.select("id", "bucket", "n", F.array_distinct(F.filter(near, lambda o: o["d"] <= most)).alias("near"))
-    met = stored(met.filter((F.size("near") > 0) | (F.col("n") > WHOLE)))
-
-    def ordered(a: Column, b: Column, d: Column) -> list[Column]:
-        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), d.alias("d")]
-
-    links = met.select("id", F.explode("near").alias("o")).select(*ordered(F.col("id"), F.col("o.id"), F.col("o.d"))).distinct()
-    links = stored(links)
-    labels = _joined(prints.select("id", F.col("id").alias("root")), links.filter(F.col("d") <= sure).select("a", "b"))
-    doubtful = links.filter(F.col("d") > sure)
-    best = doubtful.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("m.a").alias("a"), "b", F.col("m.d").alias("d"))
-    done = None
-    for wave in (best, doubtful, None):
-        if wave is None:
-            crowded = met.filter(F.col("n") > WHOLE).select("id", "bucket").join(labels, "id")
-            sizes = crowded.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", "count").alias("main"), F.count(F.lit(1)).alias("kinds"))
-            members = stored(crowded.join(sizes.filter("kinds > 1").drop("kinds"), "bucket").join(slim, "id"))
-            x, y = members.filter("root <> main").alias("x"), members.alias("y")
-            d = _distance(lanes, lambda f: F.col(f"x.{f}"), lambda f: F.col(f"y.{f}"))
-            pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & (d <= most))
-            wave = pairs.select(*ordered(F.col("x.id"), F.col("y.id"), d)).distinct()
-        open_ = _between(wave, labels)
-        open_ = stored(open_.join(done, ["a", "b"], "left_anti") if done is not None else open_)
-        if open_.isEmpty():
-            continue
-        done = open_.select("a", "b") if done is None else done.unionByName(open_.select("a", "b"))
-        good = alike(docs, prints, open_.filter(F.col("d") > sure), words, similarity).unionByName(open_.filter(F.col("d") <= sure))
-        labels = _joined(labels, good.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    labels = _joined(prints.select("id", F.col("id").alias("root")), block_links(prints, lanes, sure_distance(similarity)))
     named = texts.select("key", "least", F.xxhash64(*lanes).alias("id"))
-    known = stored(named.select(F.col("key.h1").alias("h1"), "id").distinct().join(labels, "id"))
-    rest = prefix_pairs(docs, known, words, similarity)
-    open_ = stored(_between(rest.join(done, ["a", "b"], "left_anti") if done is not None else rest, labels))
-    if not open_.isEmpty():
-        good = alike(docs, prints, open_, words, similarity)
-        labels = _joined(labels, good.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    places = stored(prefixes(docs, named.select(F.col("key.h1").alias("h1"), "id").distinct(), words, similarity))
+    done, every = None, False
+    while True:
+        met = stored(_met(places, labels))
+        discard(places)
+        places = met.select("token", "id", "place")
+        pairs = every_pair(met, similarity) if every else pivot_pairs(met, similarity)
+        new = pairs if done is None else pairs.join(done, ["a", "b"], "left_anti")
+        open_ = stored(_between(new, labels))
+        if not open_.isEmpty():
+            good = alike(docs, prints, open_, words, similarity)
+            before, labels = labels, _joined(labels, good.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+            every_next = good.isEmpty()
+            discard(before, good)
+            done = open_.select("a", "b") if done is None else done.unionByName(open_.select("a", "b"))
+        else:
+            every_next = True
+        if every:
+            break
+        every = every_next
     return named.join(labels, "id").select("key", "least", "root")
 
 

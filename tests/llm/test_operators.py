@@ -172,7 +172,7 @@ def test_similar_classes_are_exact_within_crowded_buckets(spark, none):
                 a, b = sorted((own[i], own[j]))
                 own = [a if x == b else x for x in own]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    rows = simhash.similar_classes(docs, tables=6, key_bits=1).collect()
+    rows = simhash.similar_classes(docs).collect()
     groups, want = collections.defaultdict(set), collections.defaultdict(set)
     for r in rows:
         groups[r.root].add(r.least)
