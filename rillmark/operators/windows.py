@@ -1,52 +1,194 @@
-"""Trailing windows over months."""
+"""Trailing windows over months, at a cost per month that does not grow with the window.
+
+Sums, averages and counts are differences of running totals. Minima and maxima follow van Herk: months are cut into blocks as
+long as the window, so that every window is the end of one block and the begin of the next, and the extremes of all begins and
+ends are running ones. Quantiles come from a sorted run which takes in a month and lets one go.
+"""
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
+from collections import deque
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from .integrate import INTEGRATION_PLAN, quantile_of
+
+ADDITIVE = ("sum", "ave", "num_defined", "fraction_defined", "fraction_defined_above_zero")
+EXTREMES = ("min", "max")
+
+
+def _kind(stat: str) -> str:
+    stat = stat.lower()
+    if stat in ADDITIVE:
+        return "additive"
+    if stat in EXTREMES:
+        return "extreme"
+    if quantile_of(stat.removeprefix("weighted_")) is not None:
+        return "weighted" if stat.startswith("weighted_") else "quantile"
+    raise ValueError(f"unknown statistic of a window: {stat}")
+
+
+def _additive(stat: str, total: Column, defined: Column, positive: Column, months: Column) -> Column:
+    """A statistic from the sum, the number of defined values, of those above zero, and of months."""
+    return {"sum": F.coalesce(total.cast("double"), F.lit(0.0)), "ave": F.try_divide(total, defined), "num_defined": defined,
+            "fraction_defined": defined / months, "fraction_defined_above_zero": F.try_divide(positive, defined)}[stat.lower()]
+
+
+def _totals(x: Column, over) -> dict[str, Column]:
+    return {"s": F.sum(F.coalesce(x.cast("double"), F.lit(0.0))).over(over), "d": F.count(x).over(over), "p": F.count(F.when(x > 0, 1)).over(over)}
+
+
+class SortedRun:
+    """The values of a window in order, each with a weight (1 for plain quantiles)."""
+
+    def __init__(self, weighted: bool):
+        self.rows, self.weighted = [], weighted
+
+    def add(self, row) -> None:
+        insort(self.rows, row)
+
+    def remove(self, row) -> None:
+        del self.rows[bisect_left(self.rows, row)]
+
+    def quantile(self, p: float) -> float | None:
+        last = len(self.rows) - 1
+        if last < 0:
+            return None
+        if not self.weighted:
+            at = last * p
+            low = int(at)
+            return self.rows[low] + (self.rows[min(low + 1, last)] - self.rows[low]) * (at - low)
+        # the k-th of n values stands at k times its weight plus n - 1 times the weights before it
+        before = list(accumulate((w for _, w in self.rows), initial=0.0))
+        places = [k * w + last * before[k] for k, (_, w) in enumerate(self.rows)]
+        goal = last * before[-1] * p
+        high = bisect_right(places, goal)
+        if high > last:
+            return self.rows[-1][0]
+        low = max(high - 1, 0)
+        x, y = self.rows[low][0], self.rows[high][0]
+        return x + (y - x) * (goal - places[low]) / (places[high] - places[low])
 
-from . import ordered
-from .integrate import INTEGRATION_PLAN, plain_stat, quantile_of
 
+def _with_quantiles(df: DataFrame, keys: list[str], windows: list[int], wanted: list[tuple[str, float, bool]], weight: str | None) -> DataFrame:
+    """Add ``_q``: for each window the quantiles (variable, probability, weighted) of the months up to a row's, where the window is full.
 
-def _over(stat: str, x: Column, w) -> Column:
-    if quantile_of(stat) is not None:
-        return F.percentile(x, F.lit(quantile_of(stat))).over(w)
-    if stat.lower() == "fraction_defined":
-        return F.count(x).over(w) / F.count(F.lit(1)).over(w)
-    if stat.lower() == "fraction_defined_above_zero":
-        return F.try_divide(F.count(F.when(x > 0, 1)).over(w), F.count(x).over(w))
-    agg = {"sum": F.sum, "ave": F.avg, "min": F.min, "max": F.max, "num_defined": F.count}[stat.lower()]
-    out = agg(x).over(w)
-    return F.coalesce(out, F.lit(0.0)) if stat.lower() == "sum" else out
+    ``df`` has a key's months in one partition, in order; only the last months of one key are held.
+    """
+    runs_of = sorted({(v, weighted) for v, _, weighted in wanted})
+    schema = T.StructType([*df.schema.fields, T.StructField("_q", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, month, months, runs = None, None, 0, []
+        for batch in batches:
+            columns = {n: batch.column(n).to_pylist() for n in {*keys, "month_index", *(v for v, _ in runs_of), *([weight] if weight else [])}}
+            found = []
+            for i in range(batch.num_rows):
+                here, now = tuple(columns[k][i] for k in keys), columns["month_index"][i]
+                if here != key or now != month + 1:
+                    months, runs = 0, [(deque(maxlen=max(windows)), {n: SortedRun(weighted) for n in windows}) for _, weighted in runs_of]
+                key, month, months = here, now, months + 1
+                for (v, weighted), (held, by_length) in zip(runs_of, runs):
+                    x = columns[v][i]
+                    row = None if x is None else (float(x), float(columns[weight][i])) if weighted else float(x)
+                    for n, sorted_run in by_length.items():
+                        if len(held) >= n and held[-n] is not None:
+                            sorted_run.remove(held[-n])
+                        if row is not None:
+                            sorted_run.add(row)
+                    held.append(row)
+                place = {r: by_length for r, (_, by_length) in zip(runs_of, runs)}
+                found.append([[place[v, weighted][n].quantile(p) for v, p, weighted in wanted] if months >= n else None for n in windows])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, arrow.field("_q").type)], schema=arrow)
 
+    return df.mapInArrow(run, schema)
 
-def rolling_integrate_many(df: DataFrame, keys: list[str], windows: list[int], plan: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+
+def rolling_integrate_many(df: DataFrame, keys: list[str], windows: list[int], plan: dict[str, tuple[str, ...]] | None = None,
+                           weight: str | None = None) -> DataFrame:
     """Statistics over the last n months for several n, long with a ``window`` column.
 
     Rows need ``month_index``, one row per key and month, which also bounds a window partition by
-    the length of the calendar. All windows share one shuffle and one sort. Only windows with every
-    month present give a row. ``plan`` maps variables to statistics; its default is the standard plan
-    restricted to the columns present.
+    the length of the calendar. All windows share one shuffle. Only windows with every month present
+    give a row. ``plan`` maps variables to statistics; its default is the standard plan restricted to
+    the columns present. ``weighted_q<N>`` and ``weighted_median`` take the column ``weight``. Sums are
+    differences of a key's running totals, so their rounding is that of the totals.
     """
     plan = plan or {v: s for v, s in INTEGRATION_PLAN.items() if v in df.columns}
-    by = Window.partitionBy(*keys).orderBy("month_index")
-    twice = F.lag("month_index").over(by) == F.col("month_index")
-    checked = F.when(twice, F.raise_error(F.lit("two rows for one key and month")).cast("int")).otherwise(F.col("month_index"))
-    per_window = []
-    for n in windows:
-        w = by.rangeBetween(-(n - 1), 0)
-        per_window.append(F.struct(
-            F.lit(n).alias("window"), F.count(F.lit(1)).over(w).alias("_months"),
-            *[_over(s, F.col(v), w).alias(f"{v}_{s.lower()}") for v, stats in plan.items() for s in stats],
-        ))
-    wide = df.select(*keys, checked.alias("month_index"), *[p.alias(f"_w{n}") for n, p in zip(windows, per_window)])
-    rows = wide.select(*keys, "month_index", F.explode(F.array(*[f"_w{n}" for n in windows])).alias("_w"))
-    return rows.select(*keys, "month_index", "_w.*").where(F.col("_months") == F.col("window")).drop("_months")
+    kinds = {v: {_kind(s) for s in stats} for v, stats in plan.items()}
+    if weight is None and any("weighted" in k for k in kinds.values()):
+        raise ValueError("weighted statistics need a column of weights")
+    up = Window.partitionBy(*keys).orderBy("month_index")
+    down = Window.partitionBy(*keys).orderBy(F.desc("month_index"))
+    so_far = up.rowsBetween(Window.unboundedPreceding, 0)
+    twice = F.lag("month_index").over(up) == F.col("month_index")
+    month = F.when(twice, F.raise_error(F.lit("two rows for one key and month")).cast("int")).otherwise(F.col("month_index"))
+    variables = list(dict.fromkeys([*plan, *([weight] if weight else [])]))
+    rows = df.select(*keys, "month_index", *variables).repartition(*keys)
+    block = {n: F.floor(F.col("month_index") / n) for n in windows}
+
+    # the extremes of the rest of a row's block, then those of its begin: running ones, as a struct's first field keeps to the latest block
+    extremes = [(v, s.lower(), n) for v, stats in plan.items() for s in stats if _kind(s) == "extreme" for n in windows]
+
+    def running(v: str, stat: str, b: Column, best, over) -> Column:
+        found = best(F.when(F.col(v).isNotNull(), F.struct(b.alias("b"), F.col(v).alias("v")))).over(over)
+        return F.when(found["b"] == b, found["v"])
+
+    def signed(v: str, stat: str, n: int, backward: bool) -> Column:
+        # min() of structs must meet the block at hand first: its number grows forward and falls backward
+        best = F.min if stat == "min" else F.max
+        return running(v, stat, block[n] if (stat == "max") != backward else -block[n], best, down.rowsBetween(Window.unboundedPreceding, 0) if backward else so_far)
+
+    if extremes:
+        rows = rows.select("*", *[signed(v, s, n, True).alias(f"_end_{v}_{s}_{n}") for v, s, n in extremes])
+    totals = {v: _totals(F.col(v), so_far) for v in plan if "additive" in kinds[v]}
+    rows = rows.select(*rows.columns, month.alias("_checked"), *[c.alias(f"_{t}_{v}") for v, cs in totals.items() for t, c in cs.items()],
+                       *[signed(v, s, n, False).alias(f"_begin_{v}_{s}_{n}") for v, s, n in extremes])
+
+    def window_of(n: int) -> Column:
+        def since(name: str) -> Column:
+            return F.col(name) - F.coalesce(F.lag(name, n).over(up), F.lit(0))
 
+        found = {}
+        for v, stats in plan.items():
+            for s in stats:
+                if _kind(s) == "additive":
+                    found[f"{v}_{s.lower()}"] = _additive(s, *[since(f"_{t}_{v}") for t in "sdp"], F.lit(n))
+                elif _kind(s) == "extreme":
+                    ends, begins = F.lag(f"_end_{v}_{s.lower()}_{n}", n - 1).over(up), F.col(f"_begin_{v}_{s.lower()}_{n}")
+                    found[f"{v}_{s.lower()}"] = (F.least if s.lower() == "min" else F.greatest)(ends, begins)
+        full = F.lag("_checked", n - 1).over(up) == F.col("_checked") - (n - 1)
+        return F.when(full, F.struct(F.lit(n).alias("window"), *[c.alias(name) for name, c in found.items()]))
 
-def rolling_integrate(df: DataFrame, keys: list[str], n: int, plan: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    return rolling_integrate_many(df, keys, [n], plan).drop("window")
+    wanted = [(v, quantile_of(s.lower().removeprefix("weighted_")), _kind(s) == "weighted") for v, stats in plan.items() for s in stats
+              if _kind(s) in ("quantile", "weighted")]
+    names = [f"{v}_{s.lower()}" for v, stats in plan.items() for s in stats if _kind(s) in ("quantile", "weighted")]
+    order = [f"{v}_{s.lower()}" for v, stats in plan.items() for s in stats]
+    wide = rows.select(*keys, F.col("_checked").alias("month_index"), *(variables if wanted else []), F.array(*map(window_of, windows)).alias("_w"))
+    if not wanted:
+        long = wide.select(*keys, "month_index", F.explode("_w").alias("_w")).where("_w IS NOT NULL")
+        return long.select(*keys, "month_index", "_w.window", *[F.col(f"_w.{n}") for n in order])
+    if weight:
+        any_value = F.coalesce(*[F.col(v).cast("double") for v, _, weighted in wanted if weighted])
+        bad = any_value.isNotNull() & (F.col(weight).isNull() | (F.col(weight) < 0))
+        wide = wide.withColumn(weight, F.when(bad, F.raise_error(F.lit("weights must be defined and not negative")).cast("double")).otherwise(F.col(weight)))
+    # the windows' partitions hold whole keys
+    made = _with_quantiles(wide.sortWithinPartitions(*keys, "month_index"), keys, windows, wanted, weight)
+    long = made.select(*keys, "month_index", F.explode(F.arrays_zip("_w", "_q")).alias("_z")).where("_z._w IS NOT NULL")
+    return long.select(*keys, "month_index", "_z._w.window", *[
+        F.col("_z._q")[names.index(n)].alias(n) if n in names else F.col(f"_z._w.{n}") for n in order])
+
+
+def rolling_integrate(df: DataFrame, keys: list[str], n: int, plan: dict[str, tuple[str, ...]] | None = None, weight: str | None = None) -> DataFrame:
+    return rolling_integrate_many(df, keys, [n], plan, weight).drop("window")
 
 
 def observed_plus_forecast(obs: DataFrame, forecast: DataFrame, issue: str, window: int, keys: list[str], values: list[str]) -> DataFrame:
@@ -64,19 +206,69 @@ def observed_plus_forecast(obs: DataFrame, forecast: DataFrame, issue: str, wind
     return from_obs.unionByName(from_fcst)
 
 
+def _of_values(stat: str, values: Column) -> Column:
+    """An extreme or quantile of an array of structs (v)."""
+    numbers = F.array_sort(F.transform(F.filter(values, lambda x: x["v"].isNotNull()), lambda x: x["v"].cast("double")))
+    if stat.lower() in EXTREMES:
+        return F.array_min(numbers) if stat.lower() == "min" else F.array_max(numbers)
+    at = (F.size(numbers) - 1) * F.lit(quantile_of(stat))
+    low, high = F.get(numbers, F.floor(at).cast("int")), F.get(numbers, F.ceil(at).cast("int"))
+    return low + (high - low) * (at - F.floor(at))
+
+
 def rolling_forecast(obs: DataFrame, forecast: DataFrame, issue: str, window: int, keys: list[str],
                      plan: dict[str, tuple[str, ...]]) -> DataFrame:
     """Window statistics ending at each forecast target, per member; full windows only.
 
-    A group holds at most ``window`` months.
+    Nothing is paired month by month: of the observed months a window takes the difference of the running totals at its issue month and
+    before its first month, of the forecast ones the totals since the issue month. Extremes and quantiles take the observed values up to the
+    issue month as one array, shared by all members, and the member's own as another. Keys have one row for a month, members one for a target.
     """
-    values = list(plan)
-    joined = observed_plus_forecast(obs, forecast, issue, window, keys, values)
-    by = [*keys, issue, "model", "member", "end_index"]
-    aggs = []
+    who = ["model", "member"]
+    additive = [v for v, stats in plan.items() if any(_kind(s) == "additive" for s in stats)]
+    listed = [v for v, stats in plan.items() if any(_kind(s) != "additive" for s in stats)]
+
+    def measured(df: DataFrame, by: list[str], pre: str) -> DataFrame:
+        """Add the row's number, totals of its variables and arrays of the last ``window`` ones, in order of the months of ``by``."""
+        up = Window.partitionBy(*by).orderBy("month_index")
+        so_far, last = up.rowsBetween(Window.unboundedPreceding, 0), up.rowsBetween(-(window - 1), 0)
+        found = {f"{pre}n": F.row_number().over(up)}
+        found |= {f"{pre}{t}_{v}": c for v in additive for t, c in _totals(F.col(v), so_far).items()}
+        found |= {f"{pre}l_{v}": F.collect_list(F.struct(F.col(v).alias("v"))).over(last) for v in listed}
+        return df.select(*by, "month_index", *plan, *[c.alias(n) for n, c in found.items()])
+
+    seen = measured(obs.select(*keys, "month_index", *plan), keys, "_o")
+    head = seen.drop(*plan).withColumnRenamed("month_index", "_last")
+    own = {"s": lambda v: F.coalesce(F.col(v).cast("double"), F.lit(0.0)), "d": lambda v: F.when(F.col(v).isNotNull(), 1).otherwise(0),
+           "p": lambda v: F.when(F.col(v) > 0, 1).otherwise(0)}
+    tail = seen.select(*keys, F.col("month_index").alias("_first"), F.col("_on").alias("_bn"),
+                       *[(F.col(f"_o{t}_{v}") - own[t](v)).alias(f"_b{t}_{v}") for v in additive for t in "sdp"])
+
+    by = [*keys, issue, *who, "_late"]
+    rows = measured(forecast.withColumn("_late", F.col("month_index") > F.col(issue)), by, "_f")
+    up = Window.partitionBy(*by).orderBy("month_index")
+    end, ahead = F.col("month_index"), F.col("month_index") - F.col(issue)
+    whole = ahead >= window  # all months of the window are forecast ones
+    months = F.when(~F.col("_late"), 0).when(~whole, F.when(F.col("_fn") == ahead, ahead)).when(F.lag("month_index", window - 1).over(up) == end - (window - 1), window)
+    # observed targets have nothing of their own forecast
+    since = lambda c: F.when(~F.col("_late"), 0).when(whole, F.col(c) - F.coalesce(F.lag(c, window).over(up), F.lit(0))).otherwise(F.col(c))
+    rows = rows.select(
+        *keys, issue, *who, end.alias("end_index"), months.alias("_fm"), *[since(f"_f{t}_{v}").alias(f"_f{t}_{v}") for v in additive for t in "sdp"],
+        *[F.when(F.col("_late"), F.col(f"_fl_{v}")).otherwise(F.slice(f"_fl_{v}", 1, 0)).alias(f"_fl_{v}") for v in listed],
+        F.when(~whole, F.least(end, F.col(issue))).alias("_last"), F.when(~whole, end - (window - 1)).alias("_first"),
+    ).where("_fm IS NOT NULL")
+    rows = rows.join(head, [*keys, "_last"], "left").join(tail, [*keys, "_first"], "left")
+    observed = F.coalesce(F.when(F.col("_on") - F.col("_bn") == F.col("_last") - F.col("_first"), F.col("_last") - F.col("_first") + 1), F.lit(0))
+    rows = rows.where(observed + F.col("_fm") == window)
+    out = []
     for v, stats in plan.items():
         for s in stats:
-            agg = plain_stat(s, F.col(v))
-            aggs.append((F.percentile(F.col(v), F.lit(quantile_of(s))) if agg is None else agg).alias(f"{v}_{s.lower()}"))
-    return (joined.groupBy(*by).agg(F.count("*").alias("_months"), *aggs)
-            .where(F.col("_months") == window).drop("_months"))
+            if _kind(s) == "additive":
+                parts = [F.col(f"_f{t}_{v}") + F.coalesce(F.col(f"_o{t}_{v}") - F.col(f"_b{t}_{v}"), F.lit(0)) for t in "sdp"]
+                c = _additive(s, *parts, F.lit(window))
+            else:
+                n = F.size(f"_ol_{v}")
+                taken = F.when(observed > 0, F.slice(f"_ol_{v}", n - observed + 1, observed)).otherwise(F.slice(f"_fl_{v}", 1, 0))
+                c = _of_values(s, F.concat(taken, F.col(f"_fl_{v}")))
+            out.append(c.alias(f"{v}_{s.lower()}"))
+    return rows.select(*keys, issue, *who, "end_index", *out)

@@ -354,6 +354,28 @@ def w1_all(spark, sf_dir):
     return out.select("cell_id", "month_index", *[r(F.col(f"x_{n}").cast("double"), 9).alias(f"x_{n}") for n in _ALL_STATS])
 
 
+def _rolled(n: int, p: str, name: str) -> str:
+    """Weighted quantile of the last n months: months paired with the windows they are in, then the formula of the whole series."""
+    base = f"""
+, b{n} AS (SELECT a.cell_id * 100000 + a.month_index AS k, b.month_index AS layer, CASE WHEN b.month <> 4 THEN b.T END AS x, b.Ws AS w
+          FROM obs a JOIN obs b ON b.cell_id = a.cell_id AND b.month_index BETWEEN a.month_index - {n - 1} AND a.month_index
+          WHERE EXISTS (SELECT 1 FROM obs c WHERE c.cell_id = a.cell_id AND c.month_index BETWEEN a.month_index - {n - 1} AND a.month_index
+                        HAVING count(*) = {n}))"""
+    steps = _WQ.format(k="k", x="x", w="w", tie="layer", t=f"b{n}", p=p)
+    for cte in ("i", "s", "nx", "q"):
+        steps = steps.replace(f", {cte} AS (", f", {cte}{n} AS (").replace(f"FROM {cte} ", f"FROM {cte}{n} ").replace(f"FROM {cte})", f"FROM {cte}{n})")
+    return base + steps + f""", {name} AS (SELECT DISTINCT b.k, q.v FROM b{n} b LEFT JOIN q{n} q ON q.k = b.k)"""
+
+
+@query("w1_weighted_quantiles", with_lenses("obs", _rolled(12, "0.3e0", "r12") + _rolled(5, "0.3e0", "r5") + f"""
+SELECT 12 AS "window", k // 100000 AS cell_id, CAST(k % 100000 AS INT) AS month_index, {rsql('v', 4)} AS x_weighted_q30 FROM r12
+UNION ALL SELECT 5, k // 100000, CAST(k % 100000 AS INT), {rsql('v', 4)} FROM r5"""))
+def w1_weighted(spark, sf_dir):
+    obs = lens(spark, sf_dir, "obs").withColumn("x", F.when(F.col("month") != 4, F.col("T")))
+    out = W.rolling_integrate_many(obs, ["cell_id"], [12, 5], {"x": ("weighted_q30",)}, weight="Ws")
+    return rounded(out, "x_weighted_q30", digits=4)
+
+
 _PLAN_COLS = {"Bt_RO_min": "min(b.Bt_RO)", "Bt_RO_max": "max(b.Bt_RO)", "Bt_RO_sum": "sum(b.Bt_RO)", "PETmE_sum": "sum(b.PETmE)",
               "Pr_sum": "sum(b.Pr)", "RO_mm_sum": "sum(b.RO_mm)", "T_ave": "avg(b.T)", "Ws_ave": "avg(b.Ws)"}
 
@@ -405,3 +427,17 @@ FROM j GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = 4"""))
 def w4(spark, sf_dir):
     out = W.rolling_forecast(lens(spark, sf_dir, "obs"), forecast_lens(spark, sf_dir), "issue_index", 4, ["cell_id"], {"Pr": ("sum", "median")})
     return rounded(out, "Pr_sum", "Pr_median")
+
+
+def _w4_sql(n: int) -> str:
+    return _J8.replace("end_index - 3", f"end_index - {n - 1}") + f"""
+SELECT cell_id, issue_index, model, member, end_index, {rsql('sum(Pr)')} AS Pr_sum, {rsql('avg(Pr)')} AS Pr_ave, {rsql('max(Pr)')} AS Pr_max,
+       {rsql('quantile_cont(Pr, 0.9e0)')} AS Pr_q90, count(Pr) AS Pr_num_defined
+FROM j GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = {n}"""
+
+
+@query("w4_rolling_forecast_of_five_years", with_lenses("obs members", _w4_sql(60)))
+def w4_long(spark, sf_dir):
+    out = W.rolling_forecast(lens(spark, sf_dir, "obs"), forecast_lens(spark, sf_dir), "issue_index", 60, ["cell_id"],
+                             {"Pr": ("sum", "ave", "max", "q90", "num_defined")})
+    return rounded(out, "Pr_sum", "Pr_ave", "Pr_max", "Pr_q90")

@@ -166,6 +166,81 @@ def test_rolling_windows_need_every_month(spark):
         W.rolling_integrate(twice, ["cell_id"], 3, {"Pr": ("sum",)}).collect()
 
 
+def _months(spark, seed=4):
+    """Cells with gaps and missing values: rows, and a frame of them."""
+    rnd = random.Random(seed)
+    rows = [(c, m, None if rnd.random() < 0.2 else float(rnd.randint(-5, 9)), rnd.choice([0.5, 1.0, 2.0]))
+            for c in range(6) for m in range(100, 180) if c % 2 or rnd.random() > 0.05]
+    return rows, spark.createDataFrame(rows, "cell_id INT, month_index INT, x DOUBLE, w DOUBLE").repartition(4)
+
+
+def test_windows_of_many_lengths_against_numpy(spark):
+    rows, df = _months(spark)
+    stats = ("sum", "ave", "min", "max", "num_defined", "fraction_defined", "fraction_defined_above_zero", "median", "q90", "weighted_q30")
+    got = {(r.window, r.cell_id, r.month_index): r for r in W.rolling_integrate_many(df, ["cell_id"], [1, 3, 12, 60], {"x": stats}, weight="w").collect()}
+    values = {(c, m): (x, w) for c, m, x, w in rows}
+    want = 0
+    for c, m in values:
+        for n in (1, 3, 12, 60):
+            months = [values.get((c, i)) for i in range(m - n + 1, m + 1)]
+            if None in months:
+                assert (n, c, m) not in got
+                continue
+            want += 1
+            r, pairs = got[n, c, m], sorted((x, w) for x, w in months if x is not None)
+            xs = [x for x, _ in pairs]
+            assert (r.x_sum, r.x_num_defined, r.x_min, r.x_max) == (sum(xs), len(xs), min(xs, default=None), max(xs, default=None))
+            assert r.x_ave == (pytest.approx(np.mean(xs)) if xs else None) and r.x_fraction_defined == pytest.approx(len(xs) / n)
+            assert r.x_fraction_defined_above_zero == (pytest.approx(sum(x > 0 for x in xs) / len(xs)) if xs else None)
+            if not xs:
+                assert r.x_median is None and r.x_weighted_q30 is None
+                continue
+            assert r.x_median == pytest.approx(np.median(xs)) and r.x_q90 == pytest.approx(np.quantile(xs, 0.9))
+            places = [k * w + (len(xs) - 1) * sum(v for _, v in pairs[:k]) for k, (_, w) in enumerate(pairs)]
+            assert r.x_weighted_q30 == pytest.approx(np.interp(0.3 * (len(xs) - 1) * sum(w for _, w in pairs), places, xs))
+    assert len(got) == want > 300
+    with pytest.raises(ValueError, match="weights"):
+        W.rolling_integrate(df, ["cell_id"], 3, {"x": ("weighted_median",)})
+    with pytest.raises(ValueError, match="unknown"):
+        W.rolling_integrate(df, ["cell_id"], 3, {"x": ("which_min",)})
+
+
+def test_window_plans_do_not_grow_with_the_window(spark):
+    _, df = _months(spark)
+
+    def plan(n):
+        return W.rolling_integrate(df, ["cell_id"], n, {"x": ("sum", "ave", "min", "max", "num_defined")})._jdf.queryExecution().optimizedPlan().toString()
+
+    short, long = plan(12), plan(60)
+    assert short.count("windowexpression") == long.count("windowexpression") and short.count("windowspec") == long.count("windowspec")
+    # running frames and lags alone: no frame reaches back a number of months to be gone through for each row
+    assert not any(f"specifiedwindowframe({kind}, -{n}, currentrow" in p.lower() for p in (short, long) for kind in ("rowframe", "rangeframe") for n in (11, 59))
+
+
+def test_forecast_windows_against_their_months(spark):
+    rows, obs = _months(spark, 7)
+    rnd = random.Random(8)
+    fc = [(c, issue, "m", k, t, None if rnd.random() < 0.1 else float(rnd.randint(0, 9))) for c in range(6) for issue in (130, 150, 171) for k in range(2)
+          for t in range(issue - 2, issue + 15) if rnd.random() > 0.03]
+    forecast = spark.createDataFrame(fc, "cell_id INT, issue INT, model STRING, member INT, month_index INT, x DOUBLE").repartition(3)
+    seen = {(c, m): x for c, m, x, _ in rows}
+    own = {(c, i, k, t): x for c, i, _, k, t, x in fc}
+    for n in (1, 4, 12, 60):
+        stats = {"x": ("sum", "ave", "num_defined", "fraction_defined_above_zero", "min", "max", "median")}
+        got = {(r.cell_id, r.issue, r.member, r.end_index): r for r in W.rolling_forecast(obs, forecast, "issue", n, ["cell_id"], stats).collect()}
+        want = 0
+        for c, i, _, k, t, _ in fc:
+            months = [own.get((c, i, k, m), "gap") if m > i else seen.get((c, m), "gap") for m in range(t - n + 1, t + 1)]
+            if "gap" in months:
+                assert (c, i, k, t) not in got
+                continue
+            want += 1
+            r, xs = got[c, i, k, t], [x for x in months if x is not None]
+            assert (r.x_sum, r.x_num_defined, r.x_min, r.x_max) == (sum(xs), len(xs), min(xs, default=None), max(xs, default=None))
+            assert r.x_median == (pytest.approx(np.median(xs)) if xs else None) and r.x_ave == (pytest.approx(np.mean(xs)) if xs else None)
+        assert len(got) == want > 50
+
+
 def test_l_moments_and_extreme_value_fit(spark):
     from rillmark.functions import numeric as N
 
