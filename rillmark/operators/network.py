@@ -1,10 +1,11 @@
 """Flow along a forest of (id, downstream_id) links, and grids of flow directions.
 
-Both totals are computed by pointer doubling: after k rounds every node knows the node 2^k steps
-down the river, so the number of rounds grows with the logarithm of the longest river. Each round is
-an aggregation by pointer (partial sums first, so a node with very many tributaries is no hot spot)
-and equi-joins on ids, and is written to the checkpoint folder. Nodes whose pointer has reached a
-sink leave the joins; Spark's skew join splits a pointer shared by very many of the remaining ones.
+Both totals contract the forest. Leaves, nodes with no other upstream, are raked off: their own total is final, it is handed to the node
+downstream, and they leave all later rounds. As long as that takes a third of the nodes or more, it is repeated; most nodes of a river
+network go this way in few rounds. What is left, the long stems, goes by pointer doubling: after k rounds every node knows the node 2^k
+steps down the river, so the rounds grow with the logarithm of the longest river; nodes that neither hand on nor are handed anything any
+more leave. Each round is aggregations (partial sums first, so a node with very many tributaries is no hot spot) and equi-joins on ids; it
+is written to the scratch folder, and the round before it is deleted.
 """
 
 from __future__ import annotations
@@ -12,69 +13,162 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_round, write_round
 from .quality import check_links, require_empty
 from .spatial import disaggregate, zonal_stats
 
-MAX_ROUNDS = 32
+# A round of raking must take one in so many nodes.
+WORTH = 3
 
 
-def _start(network: DataFrame, columns: dict[str, Column]) -> DataFrame:
+def _links(network: DataFrame) -> DataFrame:
+    """(id, ptr): the node downstream, missing for sinks."""
     require_empty(check_links(network), "links to ids that do not exist")
-    pointer = F.when(F.col("downstream_id") > 0, F.col("downstream_id"))
-    return cut_lineage(network.select("id", pointer.alias("ptr"), *[c.alias(n) for n, c in columns.items()]))
-
-
-def _upstream_sums(network: DataFrame, values: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    return network.select("id", F.when(F.col("downstream_id") > 0, F.col("downstream_id")).alias("ptr"))
+
+
+def _rake(links: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """The layers of leaves (id, ptr) that come off one after the other, and the links of the nodes that stay."""
+    layers, rest, n = [], links, None
+    while n is None or n:
+        marked = write_round(rest.join(_fed(rest), "id", "left").select("id", "ptr", F.coalesce("_leaf", F.lit(True)).alias("leaf")), "leaf")
+        leaves, stay = marked.where("leaf").drop("leaf"), marked.where("NOT leaf").drop("leaf")
+        count = {r.leaf: r["count"] for r in marked.groupBy("leaf").count().collect()}
+        taken, left = count.get(True, 0), count.get(False, 0)
+        if taken * WORTH < taken + left:
+            if n is None:
+                return [], marked.drop("leaf")
+            drop_round(marked)
+            break
+        layers.append(leaves)
+        rest, n = stay, left
+    return layers, rest
+
+
+def _doubled(pointers: DataFrame) -> DataFrame:
+    """Pointers of twice the length; those that would lead past a sink are gone."""
+    ahead = pointers.select(F.col("id").alias("ptr"), F.col("ptr").alias("nptr"))
+    return pointers.join(ahead, "ptr").select("id", F.col("nptr").alias("ptr"))
+
+
+def _no_cycle(pointers: DataFrame, steps: int, nodes: int) -> None:
+    """After as many steps as there are nodes, what still points anywhere points to a cycle."""
+    if steps > nodes:
+        names = sorted(r.ptr for r in pointers.select("ptr").distinct().limit(10).collect())
+        raise ValueError(f"the network has a cycle through {names}")
+
+
+def _fed(links: DataFrame) -> DataFrame:
+    return links.where("ptr IS NOT NULL").select(F.col("ptr").alias("id"), F.lit(False).alias("_leaf")).distinct()
+
+
+def _rake_sums(network: DataFrame, names: list[str]) -> tuple[list[DataFrame], DataFrame]:
+    """For one row a node (id, ptr, names): the final rows (id, names) of each layer of leaves, and what stays, with their sums handed on."""
+    layers, state = [], network
+    while True:
+        marked = write_round(state.join(_fed(state), "id", "left").select("id", "ptr", *names, F.coalesce("_leaf", F.lit(True)).alias("leaf")), "leaf")
+        count = {r.leaf: r["count"] for r in marked.groupBy("leaf").count().collect()}
+        taken, left = count.get(True, 0), count.get(False, 0)
+        if taken * WORTH < taken + left or not left:
+            return layers, marked.drop("leaf")
+        leaves = marked.where("leaf")
+        layers.append(leaves.select("id", *names))
+        handed = leaves.where("ptr IS NOT NULL").groupBy(F.col("ptr").alias("id")).agg(*[F.sum(n).alias(f"_{n}") for n in names])
+        kept = marked.where("NOT leaf").join(handed, "id", "left")
+        state = kept.select("id", "ptr", *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in names])
+
+
+def _upstream_sums(links: DataFrame, values: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """(id, keys, names): each named column summed, per keys, over the node and everything upstream of it.
 
-    The pointers do not depend on the keys, so many months or members share them. Nodes that have reached a sink leave the pointers.
+    The links do not depend on the keys, so many months or members share them. Without keys, ``values`` has one row a node.
     """
-    active = _start(network, {}).where(F.col("ptr").isNotNull())
-    state = cut_lineage(values.select("id", *keys, *names))
-    for _ in range(MAX_ROUNDS):
-        if active.isEmpty():
-            return state
-        pushed = state.join(active, "id").drop("id").withColumnRenamed("ptr", "id")
-        state = cut_lineage(state.unionByName(pushed).groupBy("id", *keys).agg(*[F.sum(n).alias(n) for n in names]))
-        ahead = active.select(F.col("id").alias("ptr"), F.col("ptr").alias("nptr"))
-        active = cut_lineage(active.join(ahead, "ptr").select("id", F.col("nptr").alias("ptr")))
-    raise ValueError("the network has a cycle")
+    sums = [F.sum(n).alias(n) for n in names]
+    if not keys:
+        finals, rest = _rake_sums(links.join(values, "id").select("id", "ptr", *names), names)
+        state = rest.select("id", *names)
+        pointers = rest.where("ptr IS NOT NULL").select("id", "ptr")
+    else:
+        state, finals = values.select("id", *keys, *names), []
+        layers, rest = _rake(links)
+        for leaves in layers:
+            mine = leaves.select("id", "ptr", F.lit(True).alias("leaf"))
+            held = write_round(state.join(mine, "id", "left").withColumn("leaf", F.coalesce("leaf", F.lit(False))), "leaf")
+            finals.append(held.where("leaf").select("id", *keys, *names))
+            handed = held.where("leaf AND ptr IS NOT NULL").select(F.col("ptr").alias("id"), *keys, *names)
+            state = held.where("NOT leaf").select("id", *keys, *names).unionByName(handed).groupBy("id", *keys).agg(*sums)
+        pointers = rest.where("ptr IS NOT NULL")
+    nodes = left = pointers.count()
+    first, steps = True, 1
+    while left:
+        _no_cycle(pointers, steps, nodes)
+        pushed = state.join(pointers, "id").drop("id").withColumnRenamed("ptr", "id")
+        summed = state.unionByName(pushed).groupBy("id", *keys).agg(*sums)
+        ahead = write_round(_doubled(pointers))
+        left = ahead.count()
+        live = ahead.select(F.explode(F.array("id", "ptr")).alias("id")).distinct().withColumn("live", F.lit(True))
+        held = write_round(summed.join(live, "id", "left").withColumn("live", F.coalesce("live", F.lit(False))), "live")
+        finals.append(held.where("NOT live").select("id", *keys, *names))
+        state = held.where("live").select("id", *keys, *names)
+        if not first:
+            drop_round(pointers)
+        pointers, first, steps = ahead, False, 2 * steps
+    every = state
+    for part in finals:
+        every = every.unionByName(part)
+    return every
 
 
 def accumulate(network: DataFrame, flow: str = "flow", output: str = "flow_out", values: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
     """Own flow plus all flow from upstream; a missing flow makes everything downstream missing.
 
     Flows of many months or members come in ``values`` (id, ``by`` columns, flow) and are accumulated in one pass; the result then has
-    the (id, by) with a row at the node or upstream of it, and a row that is absent counts as a missing flow.
+    the (id, by) with a row at the node or upstream of it, and a row that is absent counts as a missing flow. A cycle is an error that
+    names nodes of it.
     """
-    value = F.col(flow).cast("double")
-    sums = {"s": F.coalesce(value, F.lit(0.0)), "n": F.when(value.isNull(), 0).otherwise(1).cast("bigint")}
-    by = by or []
-    flows = network if values is None else values.join(network.select("id"), "id", "left_semi")
-    flows = flows.select("id", F.lit(False).alias("_node"), *by, *[c.alias(n) for n, c in sums.items()])
+    value, by = F.col(flow).cast("double"), by or []
+    links = _links(network)
+    if values is None:
+        own = network.select("id", F.coalesce(value, F.lit(0.0)).alias("s"), F.when(value.isNull(), 1).otherwise(0).cast("bigint").alias("gaps"))
+        return _upstream_sums(links, own, [], ["s", "gaps"]).select("id", F.when(F.col("gaps") == 0, F.col("s")).alias(output))
+    flows = values.join(network.select("id"), "id", "left_semi").select(
+        "id", F.lit(False).alias("_node"), *by, F.coalesce(value, F.lit(0.0)).alias("s"), F.when(value.isNull(), 0).otherwise(1).cast("bigint").alias("n"))
     nodes = network.select("id", F.lit(True).alias("_node"), F.lit(0.0).alias("s"), F.lit(1).cast("bigint").alias("n"))
-    total = _upstream_sums(network, flows.unionByName(nodes, allowMissingColumns=True), ["_node", *by], ["s", "n"])
+    total = _upstream_sums(links, flows.unionByName(nodes, allowMissingColumns=True), ["_node", *by], ["s", "n"])
     whole = total.where("_node").select("id", F.col("n").alias("_nodes"))
     return total.where("NOT _node").join(whole, "id").select("id", *by, F.when(F.col("n") == F.col("_nodes"), F.col("s")).alias(output))
 
 
 def downstream_flow(network: DataFrame, flow: str = "flow", output: str = "flow_downstream") -> DataFrame:
-    """Flow of all nodes between a node (not counted) and the sea; missing if any is missing."""
+    """Flow of all nodes between a node (not counted) and the sea; missing if any is missing.
+
+    The stems that raking leaves are doubled first; the leaves then take over from the node below them, layer by layer from the sea.
+    """
     value = F.col(flow).cast("double")
-    own = {"v": F.coalesce(value, F.lit(0.0)), "g": F.when(value.isNull(), 1).otherwise(0).cast("bigint")}
-    first = _start(network, own)
-    below = first.select(F.col("id").alias("ptr"), F.col("v").alias("s"), F.col("g").alias("gaps"))
-    rooted = first.where(F.col("ptr").isNull()).select("id", "ptr", F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("gaps"))
-    state = cut_lineage(first.where(F.col("ptr").isNotNull()).select("id", "ptr").join(below, "ptr").select("id", "ptr", "s", "gaps").unionByName(rooted))
-    for _ in range(MAX_ROUNDS):
-        active = state.where(F.col("ptr").isNotNull())
-        if active.isEmpty():
-            return state.select("id", F.when(F.col("gaps") == 0, F.col("s")).alias(output))
-        ahead = state.select(F.col("id").alias("ptr"), F.col("ptr").alias("nptr"), F.col("s").alias("_s"), F.col("gaps").alias("_gaps"))
-        moved = active.join(ahead, "ptr").select("id", F.col("nptr").alias("ptr"), (F.col("s") + F.col("_s")).alias("s"), (F.col("gaps") + F.col("_gaps")).alias("gaps"))
-        state = cut_lineage(moved.unionByName(state.where(F.col("ptr").isNull())))
-    raise ValueError("the network has a cycle")
+    own = network.select(F.col("id").alias("ptr"), F.coalesce(value, F.lit(0.0)).alias("v"), F.when(value.isNull(), 1).otherwise(0).cast("bigint").alias("g"))
+    layers, rest = _rake(_links(network))
+    # the flow from the next node down to just before the pointer's goal, then to the sea
+    first = rest.join(own, "ptr", "left").select("id", "ptr", F.coalesce("v", F.lit(0.0)).alias("s"), F.coalesce("g", F.lit(0)).alias("gaps"))
+    state = write_round(first.withColumn("done", F.col("ptr").isNull()), "done")
+    finals, nodes, steps = [state.where("done").select("id", "s", "gaps")], state.count(), 1
+    active = state.where("NOT done").select("id", "ptr", "s", "gaps")
+    while not active.isEmpty():
+        _no_cycle(active, steps, nodes)
+        ahead = active.select(F.col("id").alias("ptr"), F.col("ptr").alias("nptr"), F.col("s").alias("_s"), F.col("gaps").alias("_g"))
+        for part in finals:
+            ahead = ahead.unionByName(part.select(F.col("id").alias("ptr"), F.lit(None).cast("bigint").alias("nptr"), F.col("s").alias("_s"), F.col("gaps").alias("_g")))
+        moved = active.join(ahead, "ptr").select("id", F.col("nptr").alias("ptr"), (F.col("s") + F.col("_s")).alias("s"), (F.col("gaps") + F.col("_g")).alias("gaps"))
+        held = write_round(moved.withColumn("done", F.col("ptr").isNull()), "done")
+        finals.append(held.where("done").select("id", "s", "gaps"))
+        active, steps = held.where("NOT done").select("id", "ptr", "s", "gaps"), 2 * steps
+    every = finals[0]
+    for part in finals[1:]:
+        every = every.unionByName(part)
+    for leaves in reversed(layers):
+        below = every.select(F.col("id").alias("ptr"), "s", "gaps").join(own, "ptr").select("ptr", (F.col("s") + F.col("v")).alias("s"), (F.col("gaps") + F.col("g")).alias("gaps"))
+        mine = leaves.join(below, "ptr", "left").select("id", F.coalesce("s", F.lit(0.0)).alias("s"), F.coalesce("gaps", F.lit(0)).alias("gaps"))
+        every = every.unionByName(mine)
+    return every.select("id", F.when(F.col("gaps") == 0, F.col("s")).alias(output))
 
 
 # fixed values: direction codes and their steps (rows, columns)
@@ -147,7 +241,7 @@ def accumulate_grid(dirs: DataFrame, flows: DataFrame, rows: int, cols: int, fac
     net = d8_to_network(dirs.select("row_no", "col_no", direction), rows, cols, wrap_x, wrap_y, direction)
     net = cut_lineage(net.join(amounts, ["row_no", "col_no"], "left"))
     own = F.col(flow).cast("double")
-    sums = _upstream_sums(net, net.select("id", F.coalesce(own, F.lit(0.0)).alias("s")), [], ["s"])
+    sums = _upstream_sums(_links(net), net.select("id", F.coalesce(own, F.lit(0.0)).alias("s")), [], ["s"])
     fed = net.where(F.col("downstream_id") > 0).select(F.col("downstream_id").alias("id")).distinct().withColumn("_fed", F.lit(True))
     out = (net.join(sums, "id").join(fed, "id", "left")
            .withColumn(flow, F.when(own.isNotNull() | F.col("_fed"), F.col("s"))).drop("s", "_fed"))

@@ -73,6 +73,47 @@ def test_accumulation_both_ways(spark, kind):
     assert {r.id: r.flow_downstream for r in N.downstream_flow(df).collect()} == below
 
 
+def _written(spark, network, run):
+    """Bytes that a job leaves and writes in the scratch folder, against those of the network written the same way."""
+    import pathlib
+
+    from rillmark import session
+
+    sizes, write = [], session.write_round
+
+    def spy(df, *by):
+        out = write(df, *by)
+        sizes.append(sum(pathlib.Path(f.removeprefix("file://")).stat().st_size for f in out.inputFiles()))
+        return out
+
+    N.write_round = spy
+    try:
+        run(network).count()
+    finally:
+        N.write_round = write
+    spy(network)
+    return sum(sizes[:-1]) / sizes[-1]
+
+
+def test_rounds_write_little(spark):
+    rows = [(i, 0 if i % 120 == 1 else i - 1 - min((i - 1) % 7, (i - 1) % 120 - 1), float((i * 7919) % 1000) / 7) for i in range(1, 60_001)]
+    df = spark.createDataFrame(rows, "id BIGINT, downstream_id BIGINT, flow DOUBLE").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        assert _written(spark, df, N.accumulate) <= 3
+        assert _written(spark, df, N.downstream_flow) <= 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+
+
+def test_cycles_are_named(spark):
+    rows = [(1, 0, 1.0), (2, 1, 1.0), (3, 5, 1.0), (4, 3, 1.0), (5, 4, 1.0), (6, 5, 1.0), (7, 6, 1.0)]
+    df = spark.createDataFrame(rows, "id BIGINT, downstream_id BIGINT, flow DOUBLE")
+    for run in (N.accumulate, N.downstream_flow):
+        with pytest.raises(ValueError, match=r"cycle through \[3, 4, 5\]"):
+            run(df)
+
+
 def test_small_basins(spark):
     rows = [(1, 0, 2.0), (2, 1, 3.0), (3, 1, 5.0), (4, 3, 7.0), (5, -1, 11.0)]
     df = spark.createDataFrame(rows, "id BIGINT, downstream_id BIGINT, flow DOUBLE")
