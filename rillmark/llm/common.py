@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,13 +42,18 @@ def stored(df: DataFrame, *by: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete what ``stored`` wrote for these tables. What was made of them must have been written itself."""
+    """Delete what ``stored`` wrote for these tables. What was made of them must have been written itself.
+
+    Spark deletes the shuffles of finished jobs when the driver's garbage is collected; a job of many steps should not wait for that.
+    """
     for df in tables:
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/table-" in folder and scratch_path(df.sparkSession).rsplit("/", 1)[-1] in folder:
                 path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.java.lang.System.gc()
 
 
 def plain(text: Column | str) -> Column:

@@ -20,6 +20,8 @@ SEED = 42
 BLOCKS, PAIRWISE = 8, 64
 #: Bits of the fingerprint for links by similarity; the first 64 meet in blocks, all of them are compared.
 WIDE_BITS = 256
+#: Shingles from which the distance of fingerprints follows its normal law.
+LARGE = 64
 #: Places of the filter that keeps texts without need of an exact comparison from being shuffled.
 SLOTS = 1 << 20
 #: Shingles handled at a time.
@@ -190,13 +192,29 @@ def block_links(prints: DataFrame, lanes: list[str], most: int) -> DataFrame:
     return verified.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
 
+def surely_far(similarity: float) -> int:
+    """The number of WIDE_BITS bits from which a pair has less than the similarity: 10 deviations, rarer than equal hashes of different shingles."""
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(WIDE_BITS * p + 10 * np.sqrt(WIDE_BITS * p * (1 - p))) + 1
+
+
 def alike(docs: DataFrame, prints: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The links (a, b, ...) whose texts' sets of shingles have the Jaccard similarity, compared exactly."""
-    ids = stored(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(prints.select("id", "key"), "id"))
-    slot = F.pmod(F.col("key.h1"), F.lit(SLOTS))
-    rows = fields(docs, "doc_id", "text").select(text_key(plain("text")).alias("key"), plain("text").cast("binary").alias("text")).withColumn("slot", slot)
-    rows = rows.join(F.broadcast(ids.select(slot.alias("slot")).distinct()), "slot", "left_semi")  # SLOTS rows at most
-    rows = rows.groupBy("key").agg(F.first("text").alias("text")).join(ids, "key").select("id", "text")
+    """The links (a, b, n, ...) whose texts' sets of shingles have the Jaccard similarity, compared exactly.
+
+    ``n`` is the smaller set's size; larger ones whose fingerprints are ``surely_far`` apart are left out first, so their texts stay where
+    they are. Of equal texts only the document that prints (id, key, least, lanes) names is read.
+    """
+    lanes = [c for c in prints.columns if c not in ("id", "key", "least")]
+    both = links.join(prints.select(F.col("id").alias("a"), F.struct(*lanes).alias("_x")), "a").join(prints.select(F.col("id").alias("b"), F.struct(*lanes).alias("_y")), "b")
+    far = _distance(lanes, lambda f: F.col(f"_x.{f}"), lambda f: F.col(f"_y.{f}")) >= surely_far(similarity)
+    near = stored(both.filter(~far | (F.col("n") < LARGE)).drop("_x", "_y"))
+    ids = stored(near.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(prints.select("id", "key", "least"), "id"))
+    slot = F.pmod(F.xxhash64("key.h1", "least"), F.lit(SLOTS)).alias("slot")
+    rows = fields(docs, "doc_id", "text").select(text_key(plain("text")).alias("key"), F.col("doc_id").alias("least"), plain("text").cast("binary").alias("text"))
+    rows = rows.withColumn("slot", slot).join(F.broadcast(ids.select(slot).distinct()), "slot", "left_semi")  # SLOTS rows at most
+    ours = ids.select(F.col("key.h1").alias("h1"), F.col("key.h2").alias("h2"), F.col("key.n").alias("size"), F.col("least").alias("first"), "id")
+    same = (F.col("key.h1") == F.col("h1")) & (F.col("key.h2") == F.col("h2")) & (F.col("key.n") == F.col("size")) & F.col("least").eqNullSafe(F.col("first"))
+    rows = rows.join(ours, same).select("id", "text")
 
     def run(batches):
         for batch in batches:
@@ -205,10 +223,11 @@ def alike(docs: DataFrame, prints: DataFrame, links: DataFrame, words: int, simi
                 yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], pa.int64()), sets], ["id", "shingles"])
 
     sets = stored(rows.mapInArrow(run, "id long, shingles array<long>"))
-    both = links.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
+    both = near.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
     common = F.size(F.array_intersect("_sa", "_sb"))
-    found = stored(both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common) - 1e-9).drop("_sa", "_sb"))
-    discard(ids, sets)
+    found = both.filter(common >= similarity * (F.size("_sa") + F.size("_sb") - common) - 1e-9).drop("_sa", "_sb")
+    found = stored(found.distinct())  # repeated rows of a document have their sets repeatedly
+    discard(near, ids, sets)
     return found
 
 
@@ -277,14 +296,16 @@ def _enough(x: Column, y: Column, similarity: float) -> Column:
     return shared * (1 + similarity) >= similarity * (size(x) + size(y)) - 1e-6
 
 
-def _pairs_of(x: Column, y: Column) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _pairs_of(x: str, y: str) -> list[Column]:
+    """a, b (ids in order) and n, the smaller set's size."""
+    n = F.shiftright(F.least(F.col(f"{x}place"), F.col(f"{y}place")), 32)
+    return [F.least(F.col(f"{x}id"), F.col(f"{y}id")).alias("a"), F.greatest(F.col(f"{x}id"), F.col(f"{y}id")).alias("b"), n.alias("n")]
 
 
 def pivot_pairs(met: DataFrame, similarity: float) -> DataFrame:
     """Of every token, the pairs (a, b) of its pivot with the texts of other classes that can have the similarity."""
     rows = met.filter((F.col("root") != F.col("main")) & _enough(F.col("place"), F.col("pivot.place"), similarity))
-    return rows.select(*_pairs_of(F.col("id"), F.col("pivot.id"))).distinct()
+    return rows.select(*_pairs_of("", "pivot.")).distinct()
 
 
 def every_pair(met: DataFrame, similarity: float) -> DataFrame:
@@ -295,7 +316,7 @@ def every_pair(met: DataFrame, similarity: float) -> DataFrame:
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
     enough = _enough(F.col("x.place"), F.col("y.place"), similarity)
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & enough)
-    return pairs.select(*_pairs_of(F.col("x.id"), F.col("y.id"))).distinct()
+    return pairs.select(*_pairs_of("x.", "y.")).distinct()
 
 
 def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -322,7 +343,8 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     rows = fingerprints(docs, words, WIDE_BITS, distinct=True)
     lanes = [f"f{k}" for k in range(WIDE_BITS // 64)]
     texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least"), *(F.first(x).alias(x) for x in lanes)))
-    prints = stored(texts.groupBy(*lanes).agg(F.min("key").alias("key")).withColumn("id", F.xxhash64(*lanes)))
+    prints = texts.groupBy(*lanes).agg(F.min(F.struct("key", "least")).alias("t"))
+    prints = stored(prints.select(F.xxhash64(*lanes).alias("id"), "t.key", "t.least", *lanes))
     labels = _joined(prints.select("id", F.col("id").alias("root")), block_links(prints, lanes, sure_distance(similarity)))
     named = texts.select("key", "least", F.xxhash64(*lanes).alias("id"))
     places = stored(prefixes(docs, named.select(F.col("key.h1").alias("h1"), "id").distinct(), words, similarity))
