@@ -53,11 +53,13 @@ def require_windows(windows: DataFrame, available: DataFrame, what: str) -> None
     require_empty(gone, f"no {what} for windows")
 
 
-def basin_loss_factors(storage: DataFrame, flow: DataFrame, fits: DataFrame) -> DataFrame:
+def basin_loss_factors(storage: DataFrame, flow: DataFrame, fits: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Hydropower loss per basin at the window its storage asks for (at least a year).
 
     ``storage`` has (id, months_storage), ``flow`` (id, window, flow), ``fits`` (id, window,
     location, scale, shape). The median is the fitted one, or the location where the fit is partial.
+    Flows of many months or members have the columns ``by`` too, and so has the result, in one job; a
+    basin without flow has one row, without them.
     """
     wanted = storage.select("id", F.greatest("months_storage", F.lit(MINIMUM_WINDOW)).alias("window"))
     require_windows(wanted, flow, "flow")
@@ -67,7 +69,7 @@ def basin_loss_factors(storage: DataFrame, flow: DataFrame, fits: DataFrame) ->
     partial = F.col("location").isNull() | F.col("scale").isNull() | F.col("shape").isNull()
     median = F.when(partial, F.col("location")).otherwise(N.qua_gev(F.lit(0.5), *[F.col(c) for c in params]))
     out = out.withColumn("_median", median)
-    return out.select("id", "window", P.hydropower_loss(F.col("flow"), F.col("_median")).alias("hydropower_loss"))
+    return out.select("id", "window", *(by or []), P.hydropower_loss(F.col("flow"), F.col("_median")).alias("hydropower_loss"))
 
 
 def hours_in_month(yearmon: Column) -> Column:

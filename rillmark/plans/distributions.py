@@ -219,13 +219,12 @@ def d15(spark, sf_dir):
 
 @query("d16_raw_to_quantile_to_corrected", with_lenses("members obs", _CORRECT + f"""
 SELECT cell_id, target, model, member, {rsql('p', 5)} AS p,
-       {rsql("CASE WHEN p IS NULL OR o_location IS NULL OR o_scale IS NULL OR o_shape IS NULL THEN NULL WHEN p <= 0 THEN CASE WHEN o_shape < 0 THEN o_location + o_scale / o_shape ELSE -CAST('inf' AS DOUBLE) END WHEN p >= 1 THEN CASE WHEN o_shape > 0 THEN o_location + o_scale / o_shape ELSE CAST('inf' AS DOUBLE) END ELSE " + S.qua_gev('p', 'o_') + " END", 3)} AS corrected FROM (SELECT * REPLACE ({rsql('p', 5)} AS p) FROM q)"""))
+       {rsql("CASE WHEN p IS NULL OR o_location IS NULL OR o_scale IS NULL OR o_shape IS NULL THEN NULL WHEN p <= 0 THEN CASE WHEN o_shape < 0 THEN o_location + o_scale / o_shape ELSE -CAST('inf' AS DOUBLE) END WHEN p >= 1 THEN CASE WHEN o_shape > 0 THEN o_location + o_scale / o_shape ELSE CAST('inf' AS DOUBLE) END ELSE " + S.qua_gev('p', 'o_') + " END", 3)} AS corrected FROM q"""))
 def d16(spark, sf_dir):
     fc, retro, ofits = _forecast_parts(spark, sf_dir)
-    # a probability within 1e-16 of 1 has no digits left, so both engines go on from five decimals
-    ranked = rounded(A.raw_to_quantile(fc, retro, ["cell_id", "month"], "Pr", "p"), "p", digits=5)
+    ranked = A.raw_to_quantile(fc, retro, ["cell_id", "month"], "Pr", "p")
     out = A.quantile_to_corrected(ranked, ofits, ["cell_id", "month"], "p", "corrected")
-    return out.select("cell_id", "target", "model", "member", "p", r("corrected", 3).alias("corrected"))
+    return out.select("cell_id", "target", "model", "member", r("p", 5).alias("p"), r("corrected", 3).alias("corrected"))
 
 
 _HIND = """

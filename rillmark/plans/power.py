@@ -75,26 +75,26 @@ def e4(spark, sf_dir):
     return lens(spark, sf_dir, "obs").select("cell_id", "yearmon", r(P.hydropower_loss(flow, med)).alias("loss"))
 
 
-# flow of the last full windows of 12 and 24 months, fits over all full windows
+# flow and fits of all full windows of 12 and 24 months
 _E5 = "".join(f"""
 , w{n} AS (SELECT a.cell_id, a.month_index, sum(b.Bt_RO) AS v FROM obs a JOIN obs b ON b.cell_id = a.cell_id AND b.month_index BETWEEN a.month_index - {n - 1} AND a.month_index
          GROUP BY 1, 2 HAVING count(*) = {n})""" + S.gev(f"f{n}", f"w{n}", "cell_id", "v") for n in (12, 24)) + """
-, fl AS (SELECT cell_id AS id, 12 AS "window", v AS flow FROM w12 WHERE month_index = 24010 UNION ALL SELECT cell_id, 24, v FROM w24 WHERE month_index = 24010)
+, fl AS (SELECT cell_id AS id, month_index, 12 AS "window", v AS flow FROM w12 UNION ALL SELECT cell_id, month_index, 24, v FROM w24)
 , fi AS (SELECT cell_id AS id, 12 AS "window", location, scale, shape FROM f12 UNION ALL SELECT cell_id, 24, location, scale, shape FROM f24)
 , st AS (SELECT DISTINCT cell_id AS id, CASE WHEN cell_id % 3 = 0 THEN 24 ELSE 12 END AS "window" FROM obs)
-, md AS (SELECT st.id, st."window", flow, CASE WHEN location IS NULL OR scale IS NULL OR shape IS NULL THEN location ELSE """ + S.qua_gev("0.5e0") + """ END AS med
+, md AS (SELECT st.id, st."window", month_index, flow, CASE WHEN location IS NULL OR scale IS NULL OR shape IS NULL THEN location ELSE """ + S.qua_gev("0.5e0") + """ END AS med
          FROM st LEFT JOIN fl ON fl.id = st.id AND fl."window" = st."window" LEFT JOIN fi ON fi.id = st.id AND fi."window" = st."window")"""
 
 
 @query("e5_basin_loss_factors", with_lenses("obs", _E5 + f"""
-SELECT id, CAST("window" AS INT) AS "window", {rsql(_HL.format(f='flow', m='med'), 4)} AS hydropower_loss FROM md"""))
+SELECT id, CAST("window" AS INT) AS "window", month_index, {rsql(_HL.format(f='flow', m='med'), 4)} AS hydropower_loss FROM md"""))
 def e5(spark, sf_dir):
     rolled = W.rolling_integrate_many(lens(spark, sf_dir, "obs"), ["cell_id"], [12, 24], {"Bt_RO": ("sum",)}).withColumnsRenamed(
         {"cell_id": "id", "Bt_RO_sum": "flow"})
     fits = D.fit(rolled, ["id", "window"], "flow", bounded=True)
     storage = lens(spark, sf_dir, "obs").select(F.col("cell_id").alias("id")).distinct().withColumn(
         "months_storage", F.when(F.col("id") % 3 == 0, 24).otherwise(6))
-    return rounded(E.basin_loss_factors(storage, rolled.where("month_index = 24010").select("id", "window", "flow"), fits), "hydropower_loss", digits=4)
+    return rounded(E.basin_loss_factors(storage, rolled.select("id", "window", "month_index", "flow"), fits, ["month_index"]), "hydropower_loss", digits=4)
 
 
 @query("e6_water_cooled_loss", with_lenses("obs", f"""
