@@ -1,4 +1,4 @@
-"""Normal, gamma and extreme-value functions as Column expressions; one incomplete gamma as an Arrow UDF.
+"""Normal, gamma and extreme-value functions as Column expressions.
 
 Shape follows Hosking's sign: the extreme-value distribution is bounded above for shape > 0.
 """
@@ -6,16 +6,9 @@ Shape follows Hosking's sign: the extreme-value distribution is bounded above fo
 from __future__ import annotations
 
 import math
-import sys
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-# executors need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # fixed values: Wichura (1988), algorithm AS 241, PPND16; numerator and denominator, lowest order first
 PPF_CENTRE = (
@@ -179,106 +172,70 @@ def quantile2rp(q: Column) -> Column:
             .when(q > 0, -1 / q).when(q <= 0, F.lit(float("-inf"))))
 
 
-def _lower_gamma(a, x):
-    """Regularized lower incomplete gamma for arrays.
-
-    Small shapes by series below a + 1 and continued fraction above; large ones by quadrature around
-    the mode, whose cost does not grow with the shape (Press et al., Numerical Recipes, section 6.2).
-    """
-    import numpy as np
-
-    out = np.zeros_like(x)
-    lg = np.vectorize(math.lgamma, otypes=[float])(np.minimum(a, 200.0))
-    low = (x > 0) & (x < a + 1) & (a < 100)
-    if low.any():
-        al, xl = a[low], x[low]
-        term = 1 / al
-        total, n = term.copy(), al.copy()
-        while np.any(term > total * 1e-17):
-            n += 1
-            term = term * xl / n
-            total += term
-        out[low] = total * np.exp(-xl + al * np.log(xl) - lg[low])
-    high = (x >= a + 1) & (a < 100)
-    if high.any():
-        ah, xh = a[high], x[high]
-        tiny = 1e-300
-        b = xh + 1 - ah
-        c, d = np.full_like(b, 1 / tiny), 1 / b
-        h = d.copy()
-        for i in range(1, 2000):
-            an = -i * (i - ah)
-            b = b + 2
-            d = an * d + b
-            d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-            c = b + an / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
-            h = h * d * c
-            if np.all(np.abs(d * c - 1) < 1e-15):
-                break
-        out[high] = 1 - np.exp(-xh + ah * np.log(xh) - lg[high]) * h
-    big = (a >= 100) & (x > 0)
-    if big.any():
-        m, xb = a[big] - 1, x[big]
-        s = np.sqrt(m)
-        end = np.where(xb > m, np.maximum(m + 11.5 * s, xb + 6 * s), np.maximum(0.0, np.minimum(m - 7.5 * s, xb - 5 * s)))
-        knots, weights = np.polynomial.legendre.leggauss(64)
-        t = xb[:, None] + (end - xb)[:, None] * (knots + 1) / 2
-        rel = (t - m[:, None]) / m[:, None]
-        density = np.exp(m[:, None] * (np.log1p(rel) - rel)) @ weights / 2
-        area = density * (end - xb) / (np.sqrt(2 * np.pi * m) * np.exp(1 / (12 * m) - 1 / (360 * m**3)))
-        out[big] = np.where(xb > m, 1 - area, -area)
-    return out
+# From this shape on the incomplete gamma function follows its uniform expansion around the normal distribution.
+LARGE_SHAPE = 400.0
+# fixed values: Taylor coefficients of the first two terms of that expansion (DLMF 8.12.11)
+EXPANSION_0 = (-1 / 3, 1 / 12, -2 / 135, 1 / 864, 1 / 2835, -139 / 777600, 1 / 25515)
+EXPANSION_1 = (-1 / 540, -1 / 288, 1 / 378, -77 / 77760, 1 / 4860)
+# steps towards a quantile: Newton's, or halving where those leave the bracket
+QUANTILE_STEPS = 24
+
+
+def _far(a: Column) -> Column:
+    """Where the upper tail of the gamma distribution is below 1e-15."""
+    return a + 40 + 12 * F.sqrt(a)
+
+
+def _gamma_series(a: Column, x: Column, lg: Column) -> Column:
+    """x^a e^-x / gamma(a + 1) times the sum of x^n / ((a + 1) ... (a + n)) (DLMF 8.7.1): all terms are positive, so nothing cancels."""
+    terms = F.ceil(F.greatest(F.lit(0.0), x - a) + 9 * F.sqrt(x) + 40).cast("int")
+
+    def add(acc: Column, n: Column) -> Column:
+        return F.transform(F.array(acc["t"] * x / (a + n)), lambda t: F.struct(t.alias("t"), (acc["s"] + t).alias("s")))[0]
+
+    total = F.aggregate(F.sequence(F.lit(1), terms), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")), add, lambda acc: acc["s"])
+    return total * F.exp(a * F.ln(x) - x - lg - F.ln(a))
+
+
+def _gamma_expansion(a: Column, x: Column) -> Column:
+    """The uniform expansion for large shapes (DLMF 8.12), two terms."""
+    mu = (x - a) / a
+    near = F.lit(0.0)
+    for k in range(16, 1, -1):
+        near = near * mu + F.lit((-1.0) ** k / k)
+    half = F.when(F.abs(mu) < 0.1, near * mu * mu).otherwise(mu - F.log1p(mu))
+    eta = F.signum(mu) * F.sqrt(2 * half)
+    c0 = F.when(F.abs(eta) < 0.2, horner(EXPANSION_0[::-1], eta)).otherwise(1 / mu - 1 / eta)
+    c1 = F.when(F.abs(eta) < 0.2, horner(EXPANSION_1[::-1], eta)).otherwise(1 / (eta * eta * eta) - 1 / (mu * mu * mu) - 1 / (mu * mu) - 1 / (12 * mu))
+    return norm_cdf(eta * F.sqrt(a)) - F.exp(-a * half) / F.sqrt(2 * math.pi * a) * (c0 + c1 / a)
+
+
+def lower_gamma(a: Column, x: Column, lg: Column) -> Column:
+    """Regularized lower incomplete gamma function P(a, x); ``lg`` is ln_gamma(a)."""
+    return (F.when(a.isNull() | x.isNull(), None).when(x <= 0, 0.0).when(x > _far(a), 1.0)
+            .when(a < LARGE_SHAPE, _gamma_series(a, x, lg)).otherwise(_gamma_expansion(a, x)))
+
+
+def inverse_lower_gamma(a: Column, p: Column, lg: Column) -> Column:
+    """x with P(a, x) = p. It lies above (p gamma(a + 1))^(1 / a), as P(a, x) < x^a / gamma(a + 1)."""
+    low = F.least(_far(a), F.exp((F.ln(p) + lg + F.ln(a)) / a))
+    start = F.when(a > 1, F.least(_far(a), F.greatest(low, a + norm_ppf(p) * F.sqrt(a)))).otherwise(low)
+
+    def step(acc: Column, _: Column) -> Column:
+        x = acc["x"]
+
+        def moved(f: Column) -> Column:
+            lo, hi = F.when(f < 0, x).otherwise(acc["lo"]), F.when(f < 0, acc["hi"]).otherwise(x)
+            newton = x - F.try_divide(f, F.exp((a - 1) * F.ln(x) - x - lg))
+            there = F.abs(newton - x) <= 1e-15 * x
+            to = F.when((newton >= lo) & (newton <= hi), newton).otherwise((lo + hi) / 2)
+            return F.struct(lo.alias("lo"), hi.alias("hi"), to.alias("x"), F.coalesce(there, F.lit(False)).alias("there"))
 
+        return F.when(acc["there"], acc).otherwise(F.transform(F.array(lower_gamma(a, x, lg) - p), moved)[0])
 
-def _inverse_lower_gamma(a, p):
-    """x with P(a, x) = p: Halley steps from the Wilson-Hilferty value."""
-    import numpy as np
-
-    tail = np.sqrt(-2 * np.log(np.where(p < 0.5, p, 1 - p)))
-    z = (2.30753 + tail * 0.27061) / (1 + tail * (0.99229 + tail * 0.04481)) - tail
-    z = np.where(p < 0.5, -z, z)
-    t = 1 - a * (0.253 + a * 0.12)
-    with np.errstate(all="ignore"):
-        small = np.where(p < t, (p / t) ** (1 / a), 1 - np.log(1 - (p - t) / (1 - t)))
-    x = np.where(a > 1, np.maximum(1e-3, a * (1 - 1 / (9 * a) - z / (3 * np.sqrt(a))) ** 3), small)
-    m = a - 1
-    lg = np.vectorize(math.lgamma, otypes=[float])(a)
-    norm = np.where(a > 100, -0.5 * np.log(2 * np.pi * np.maximum(m, 1)) - 1 / (12 * np.maximum(m, 1)),
-                    m * np.log(np.maximum(m, 1e-300)) - m - lg)
-    for _ in range(40):
-        err = _lower_gamma(a, x) - p
-        with np.errstate(all="ignore"):
-            log_pdf = np.where(a > 100, m * (np.log(x / m) - x / m + 1) + norm, -x + m * np.log(x) - lg)
-            u = err / np.exp(log_pdf)
-            step = u / (1 - 0.5 * np.minimum(1.0, u * (m / x - 1)))
-        step = np.where(np.isfinite(step), step, 0.0)
-        new = x - step
-        x = np.where(new <= 0, 0.5 * x, new)
-        if np.all(np.abs(step) < 1e-13 * x):
-            break
-    return x
-
-
-@F.pandas_udf(DoubleType())
-def lower_gamma(a: pd.Series, x: pd.Series) -> pd.Series:
-    """Regularized lower incomplete gamma P(a, x); Spark has no such function."""
-    ok = a.notna() & x.notna()
-    out = pd.Series(float("nan"), index=a.index)
-    out[ok] = _lower_gamma(a[ok].to_numpy(float), x[ok].to_numpy(float).clip(min=0.0))
-    return out.where(ok, None)
-
-
-@F.pandas_udf(DoubleType())
-def inverse_lower_gamma(a: pd.Series, p: pd.Series) -> pd.Series:
-    ok = a.notna() & p.notna()
-    out = pd.Series(float("nan"), index=a.index)
-    inside = ok & (p > 0) & (p < 1)
-    out[ok & (p <= 0)] = 0.0
-    out[ok & (p >= 1)] = float("inf")
-    if inside.any():
-        out[inside] = _inverse_lower_gamma(a[inside].to_numpy(float), p[inside].to_numpy(float))
-    return out.where(ok, None)
+    first = F.struct(low.alias("lo"), _far(a).alias("hi"), start.alias("x"), F.lit(False).alias("there"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(QUANTILE_STEPS)), first, step, lambda acc: acc["x"])
+    return F.when(a.isNull() | p.isNull(), None).when(p <= 0, 0.0).when(p >= 1, float("inf")).otherwise(found)
 
 
 NORMAL_BELOW = 1e-6
@@ -289,21 +246,23 @@ def _with_cdf_pe3(df: DataFrame, x: str, params: list[str], output: str) -> Data
     location, scale, shape = (F.col(c) for c in params)
     alpha = F.when(F.abs(shape) >= NORMAL_BELOW, 4 / (shape * shape))
     out = df.withColumns({"_a": alpha, "_z": (F.col(x) - location) / F.nullif(scale, F.lit(0.0))})
-    out = out.withColumn("_g", lower_gamma("_a", F.greatest(F.lit(0.0), 2 * F.col("_z") / F.nullif(shape, F.lit(0.0)) + F.col("_a"))))
+    out = out.withColumns({"_y": F.greatest(F.lit(0.0), 2 * F.col("_z") / F.nullif(shape, F.lit(0.0)) + F.col("_a")), "_lg": ln_gamma(F.col("_a"))})
+    out = out.withColumn("_g", lower_gamma(F.col("_a"), F.col("_y"), F.col("_lg")))
     p = F.when(F.col("_a").isNull(), norm_cdf(F.col("_z"))).when(shape < 0, 1 - F.col("_g")).otherwise(F.col("_g"))
     defined = F.col("_z").isNotNull() & shape.isNotNull()
-    return out.withColumn(output, F.when(defined, p)).drop("_a", "_z", "_g")
+    return out.withColumn(output, F.when(defined, p)).drop("_a", "_z", "_y", "_lg", "_g")
 
 
 def _with_quantile_pe3(df: DataFrame, p: str, params: list[str], output: str) -> DataFrame:
     location, scale, shape = (F.col(c) for c in params)
     out = df.withColumn("_a", F.when(F.abs(shape) >= NORMAL_BELOW, 4 / (shape * shape)))
-    out = out.withColumn("_g", inverse_lower_gamma("_a", F.when(shape > 0, F.col(p)).otherwise(1 - F.col(p))))
+    out = out.withColumns({"_y": F.when(shape > 0, F.col(p)).otherwise(1 - F.col(p)), "_lg": ln_gamma(F.col("_a"))})
+    out = out.withColumn("_g", inverse_lower_gamma(F.col("_a"), F.col("_y"), F.col("_lg")))
     beta = F.abs(scale * shape) / 2
     side = F.when(shape > 0, 1.0).otherwise(-1.0)
     q = F.when(F.col("_a").isNull(), location + scale * norm_ppf(F.col(p))).otherwise(
         location + side * beta * (F.col("_g") - F.col("_a")))
-    return out.withColumn(output, F.when(shape.isNotNull(), q)).drop("_a", "_g")
+    return out.withColumn(output, F.when(shape.isNotNull(), q)).drop("_a", "_y", "_lg", "_g")
 
 
 def with_cdf(df: DataFrame, distribution: str, x: str, params: list[str], output: str) -> DataFrame:

@@ -106,7 +106,14 @@ def d7(spark, sf_dir):
     return out.select("cell_id", "layer", r("p", 5).alias("p"), r(N.qua_gev(0.05 + 0.9 * F.col("p"), *params), 3).alias("x"))
 
 
-@query("d8_pe3_functions")
+# the incomplete gamma function as a sum of its terms; a value within the support comes back from its probability
+@query("d8_pe3_functions", with_lenses("layers", _PE3 + f"""
+, v AS (SELECT l.cell_id, l.layer, l.value, f.location, f.scale, f.shape, 4 / (f.shape * f.shape) AS a FROM layers l LEFT JOIN f ON f.cell_id = l.cell_id)
+, w AS (SELECT *, least(greatest(0e0, 2 * (value - location) / scale / shape + a), a + 40 + 12 * sqrt(a)) AS x FROM v)
+, g AS (SELECT *, CASE WHEN value IS NULL OR shape IS NULL THEN NULL WHEN x <= 0 THEN 0e0 ELSE list_sum(list_transform(
+          range(CAST(ceil(greatest(0e0, x - a) + 9 * sqrt(x) + 40) AS BIGINT)), lambda n: exp((a + n) * ln(x) - x - lgamma(a + n + 1)))) END AS g FROM w)
+SELECT cell_id, layer, {rsql('value')} AS value, {rsql('CASE WHEN shape < 0 THEN 1 - g ELSE g END')} AS p,
+       {rsql('CASE WHEN g IS NULL THEN NULL WHEN x <= 0 THEN location - 2 * scale / shape ELSE value END', 4)} AS back FROM g"""))
 def d8(spark, sf_dir):
     fits = D.fit(lens(spark, sf_dir, "layers"), ["cell_id"], "value", "pe3")
     out = A.with_fits(lens(spark, sf_dir, "layers"), fits, ["cell_id"])

@@ -18,7 +18,7 @@ def test_every_query_with_sql_is_registered():
     queries, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(queries)
     weak = set(queries) - set(oracles)
-    assert {n for n in weak if not re.match(r"op\d+_|pipeline$", n)} == {"d8_pe3_functions", "g17_score_yield"}
+    assert {n for n in weak if not re.match(r"op\d+_|pipeline$", n)} == {"g17_score_yield"}
 
 
 def test_entry(spark):
