@@ -126,6 +126,17 @@ def test_power_curves(spark):
     assert val(E.integration_period(F.lit(30.0), F.lit(2.0), [3, 6, 12, 24])) == 12 and val(E.integration_period(F.lit(30.0), F.lit(0.0), [3, 6])) == 3
 
 
+def test_losses_of_many_months_are_those_of_each(spark):
+    storage = spark.createDataFrame([(1, 6), (2, 12), (3, 6)], "id INT, months_storage INT")
+    rows = [(i, 12, m, float(i * m % 7)) for i in (1, 2) for m in range(5)]
+    flow = spark.createDataFrame(rows, "id INT, window INT, month_index INT, flow DOUBLE")
+    fits = spark.createDataFrame([(1, 12, 3.0, 1.0, 0.1), (2, 12, 2.0, None, None)], "id INT, window INT, location DOUBLE, scale DOUBLE, shape DOUBLE")
+    together = {(r.id, r.month_index): r.hydropower_loss for r in E.basin_loss_factors(storage, flow, fits, ["month_index"]).collect()}
+    each = {(r.id, m if r.id < 3 else None): r.hydropower_loss for m in range(5)
+            for r in E.basin_loss_factors(storage, flow.where(F.col("month_index") == m).drop("month_index"), fits).collect()}
+    assert together == each and len(together) == 11
+
+
 def test_missing_window_data_is_an_error(spark):
     storage = spark.createDataFrame([(1, 30)], "id INT, months_storage INT")
     flow = spark.createDataFrame([(1, 12, 3.0)], "id INT, window INT, flow DOUBLE")
