@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rillmark.llm.common import fields, plain
 
 #: Parts of texts, pairs and states a worker remembers; when full, the memory starts anew (results do not depend on it).
-MAX_PARTS, MAX_PAIRS, MAX_STATES = 2**19, 2**19, 2**19
+MAX_PARTS, MAX_PAIRS, MAX_STATES = 2**18, 2**18, 2**18
 #: Bytes of a part that are remembered, and bytes of a piece after which tokens are given out that no further byte can change.
 LONGEST, SETTLE = 48, 1 << 12
 #: A pattern that begins a match at the last white space of every run of it that a visible character follows, so that a text may be cut
