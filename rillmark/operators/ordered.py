@@ -36,7 +36,8 @@ def with_ranges(base: DataFrame, keys: list[str], order: list[str], ranges: int)
     point = F.struct(*keys, *[c for o in order for c in (F.col(o).isNull().alias(f"_no_{o}"), F.col(o))])
     mark = F.pmod(F.xxhash64(*base.columns), F.lit(2**40))
     rows = base.agg(F.count_if(mark % 2 == 0) * 2 + 1).scalar()  # nearly
-    drawn = base.select(point.alias("p"), mark.alias("mark")).where(F.col("mark") * rows < F.lit(float(2**40 * DRAWN * ranges)))
+    # in doubles: as whole numbers the product leaves 64 bits from 2^23 rows on
+    drawn = base.select(point.alias("p"), mark.alias("mark")).where(F.col("mark").cast("double") * rows < F.lit(float(2**40 * DRAWN * ranges)))
     sorted_ = drawn.agg(F.sort_array(F.collect_list("p")).alias("a"))
     n = F.size("a")
     places = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.floor(i * n / ranges)))

@@ -90,6 +90,14 @@ def test_one_plan_for_hot_and_even_keys(skewed, spark):
     assert operators(df) == operators(even) and "BroadcastExchange" not in operators(df)
 
 
+def test_ranges_of_more_rows_than_whole_numbers_allow(spark):
+    # from 2^23 rows on, a product of hash and number of rows did not fit 64 bits
+    n = 9_000_000
+    base = spark.range(n).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("x"))
+    sizes = [r["count"] for r in O.with_ranges(base, ["k"], ["x"], 16).groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and sum(sizes) == n and max(sizes) < 2 * n / 16
+
+
 def test_missing_values_come_last_in_hot_keys(skewed, spark):
     df, rows = skewed
     gaps = df.unionByName(spark.createDataFrame([(0, None, 1.0)] * 7, df.schema))
