@@ -156,6 +156,11 @@ def _unit_vector(lat: Column, lon: Column) -> list[Column]:
     return [F.cos(F.radians(lat)) * F.cos(F.radians(lon)), F.cos(F.radians(lat)) * F.sin(F.radians(lon)), F.sin(F.radians(lat))]
 
 
+def _one_lon(lat: Column, lon: Column) -> Column:
+    """The same longitude for the same place: 0 at the poles, -180 up to 180 elsewhere."""
+    return F.when(F.abs(lat) == 90, 0.0).when((lon < -180) | (lon >= 180), F.pmod(lon + 180, F.lit(360.0)) - 180).otherwise(lon)
+
+
 def _box(edge: float) -> list[Column]:
     return [F.floor(F.col(f"{p}") / edge).alias(f"_{p}") for p in ("x", "y", "z")]
 
@@ -168,7 +173,7 @@ def nearest_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     cubes around a point. Where a cube holds more than ``leaf`` places it is not paired with its
     points but split into smaller cubes, again and again, dropping every one that cannot hold the
     nearest place; so a crowded cube costs each point a few cubes per split, not its whole content.
-    Equal places are merged first, on both sides.
+    Equal places are merged first, on both sides, whatever longitude they are given at a pole or by full turns.
     """
     chord = 2 * math.sin(min(max_m / EARTH_RADIUS_M, math.pi) / 2)
     edge = max(chord, 1e-9)
@@ -176,9 +181,10 @@ def nearest_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str
 
     def places(df: DataFrame, name: str) -> DataFrame:
         merged = df.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy("lat", "lon").agg(F.min(name).alias("_id"))
-        return merged.select("lat", "lon", "_id", *[v.alias(a) for v, a in zip(_unit_vector(F.col("lat"), F.col("lon")), axes)])
+        at = _unit_vector(F.col("lat"), _one_lon(F.col("lat"), F.col("lon")))
+        return merged.select("lat", "lon", "_id", *[v.alias(a) for v, a in zip(at, axes)])
 
-    sites = cut_lineage(places(right, right_id).select("_id", *axes))
+    sites = cut_lineage(places(right, right_id).groupBy(*axes).agg(F.min("_id").alias("_id")))
     queries = places(left, left_id).select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), *[F.col(a).alias(f"q{a}") for a in axes])
     frontier = queries
     for a in axes:

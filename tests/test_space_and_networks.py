@@ -47,6 +47,13 @@ def test_nearest_match_in_crowded_places(spark, leaf):
     assert near == {i: i in want for i, _ in left}
 
 
+def test_nearest_match_knows_a_pole_by_any_longitude(spark):
+    right = spark.createDataFrame([(0, -90.0, -180.0), (1800, -90.0, 0.0), (7, 10.0, 180.0), (3, 10.0, -180.0)], "site INT, lat DOUBLE, lon DOUBLE")
+    left = spark.createDataFrame([(1, -90.0, 0.0), (2, -90.0, 77.0), (3, 10.0, 180.0), (4, 10.0, -540.0)], "id INT, lat DOUBLE, lon DOUBLE")
+    out = {r.id: r.site for r in J.nearest_match(left, right, "id", "site", 1000.0).collect()}
+    assert out == {1: 0, 2: 0, 3: 3, 4: 3}
+
+
 def brute_network(rows):
     down, flow = {i: d for i, d, _ in rows}, {i: f for i, _, f in rows}
     total = {i: 0.0 for i in down}
