@@ -38,8 +38,8 @@ NEEDS = {
     "ip": r"[0-9] ?[.,] ?[0-9]", "card": r"[0-9][ ./-]{0,2}[0-9]", "phone": r"[0-9][ ()./+-]{0,2}[0-9]",
 }
 CONTEXT = 24
-#: Candidates learned from, at most, and the share of right ones that a threshold must reach on the half kept for calibration.
-MAX_CANDIDATES, PRECISION = 20_000, 0.98
+#: Weight of a kind's right (or wrong) ones in all, and the share of right ones that a threshold must reach on the half kept for calibration.
+EVEN, PRECISION = 1000.0, 0.98
 #: What the trees see: nothing that only tells a base form from a wide one.
 FEATURES = ["kind_no", "sound", "digits", "left_letter", "left_digit", "left_space", "left_sign", "right_letter", "right_digit", "right_space", "right_sign", "cue", "other_cue",
             "left_digits", "right_digits"]
@@ -192,33 +192,34 @@ class Selector:
         return self.calibration.transform(scored)
 
 
-def learn(rows: DataFrame, most: int = MAX_CANDIDATES) -> Selector:
-    """Learn from a sample of candidates, bounded per kind and drawn by hash.
+def learn(rows: DataFrame) -> Selector:
+    """Learn from all candidates; those that look alike to the trees are counted once, with their number as weight.
 
     Right are valid base spans and the same spans written in wide forms in their contexts, wrong the same ones made invalid. Of the wide
     candidates that overlap no base span, those that are not sound are wrong, sound ones with a cue of their kind are right, those with
     another cue are wrong; without any cue addresses and cards are left out (they have a form or a checksum of their own), others are wrong.
 
-    Half of the sample fits the trees, half calibrates them; a kind's threshold is the lowest calibrated probability from which on
-    the share of right ones among the wide forms in that half is at least PRECISION.
+    Half of them, by hash, fit the trees, half calibrate them, the right and the wrong ones of each kind with the same weight in all; a
+    kind's threshold is the lowest calibrated probability from which on the share of right ones among the wide forms in that half is at
+    least PRECISION.
     """
-    drawn = F.pmod(F.xxhash64("doc_id", "text_hash", "kind_no", "wide", "start"), F.lit(1_000_000))
-    pool = rows.filter("valid or (wide = 1 and not covered)").withColumn("_d", drawn)
-    sizes = {(r.kind_no, r.valid): r["count"] for r in pool.groupBy("kind_no", "valid").count().collect()}
-    # a valid span is three rows of the sample
-    share = F.coalesce(*(F.when((F.col("kind_no") == k) & (F.col("valid") == v), F.lit(int(1_000_000 * min(1.0, most / (12 if v else 8) / n)))) for (k, v), n in sizes.items()), F.lit(0))
-    pool = pool.filter(F.col("_d") < share).withColumn("half", F.floor(F.col("_d") / 3) % 2)
+    mark = F.pmod(F.xxhash64("doc_id", "text_hash", "kind_no", "wide", "start"), F.lit(1_000_000))
+    pool = rows.filter("valid or (wide = 1 and not covered)").withColumn("_d", mark).withColumn("half", F.floor(F.col("_d") / 3) % 2)
     natural = (F.when(F.col("valid"), 1.0).when(~F.col("sound"), 0.0).when(_cue(), 1.0).when(_other_cue(), 0.0).when(F.col("kind_no").isin(1, 3), 0.0))
-    sample = pool.withColumn("label", natural).filter("label is not null").unionByName(_planted(pool))
-    sample = stored(_features(sample).select("half", "label", "wide", "kind_no", *FEATURES[1:])).coalesce(4)
-    classes = {(r.half, r.label) for r in sample.select("half", "label").distinct().collect()}
-    if len(classes) < 4:
+    every = pool.withColumn("label", natural).filter("label is not null").unionByName(_planted(pool))
+    alike = ["half", "label", "wide", "kind_no", *FEATURES[1:]]
+    # its size depends on the values of the features, hardly on the number of candidates
+    counted = stored(_features(every).groupBy(*alike).agg(F.count(F.lit(1)).alias("n")).repartition(4, *alike).sortWithinPartitions(*alike))
+    sizes = {(r.half, r.kind_no, r.label): r.n for r in counted.groupBy("half", "kind_no", "label").agg(F.sum("n").alias("n")).collect()}
+    if len({(half, label) for half, _, label in sizes}) < 4:
         return Selector(None, None, {})
-    ready = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(sample)
-    trees = GBTClassifier(featuresCol="v", labelCol="label", maxIter=12, maxDepth=3, stepSize=0.3, seed=5).fit(ready.filter("half = 0"))
-    held = trees.transform(ready.filter("half = 1")).select("kind_no", "wide", "label", vector_to_array("probability")[1].alias("p"))
-    calibration = IsotonicRegression(featuresCol="p", labelCol="label").fit(held)
-    steps = calibration.transform(held.filter("wide = 1")).groupBy("kind_no", F.floor(F.col("prediction") * 100).alias("step")).agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n")).collect()
+    even = F.coalesce(*(F.when((F.col("half") == h) & (F.col("kind_no") == k) & (F.col("label") == y), F.lit(EVEN / n)) for (h, k, y), n in sizes.items()))
+    ready = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(counted.withColumn("weight", even * F.col("n")))
+    trees = GBTClassifier(featuresCol="v", labelCol="label", weightCol="weight", maxIter=12, maxDepth=3, maxBins=64, stepSize=0.3, seed=5).fit(ready.filter("half = 0"))
+    held = trees.transform(ready.filter("half = 1")).select("kind_no", "wide", "label", "weight", vector_to_array("probability")[1].alias("p"))
+    calibration = IsotonicRegression(featuresCol="p", labelCol="label", weightCol="weight").fit(held)
+    steps = calibration.transform(held.filter("wide = 1")).groupBy("kind_no", F.floor(F.col("prediction") * 100).alias("step")).agg(
+        F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("n")).collect()
     thresholds = {}
     for kind in range(len(KINDS)):
         right = n = 0.0

@@ -14,6 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from rillmark.llm.common import begin_task, stored
 from rillmark.llm import bpe, jpeg, line_dedup, lm_scoring, mixing, pii, sharding, simhash, topk, toxicity
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -256,6 +257,28 @@ def test_pii_adds_wide_forms(spark):
     assert set(got[1000].spans.split(",")) == {f"{k}:{text.index(v)}:{text.index(v) + len(v)}" for k, v in wanted.items()}
 
 
+def test_pii_learns_from_every_candidate(spark, monkeypatch):
+    # 30,000 unsound numbers, more than any sample held, all count
+    text = "tel +49 30 1234567 mail ann@example.org no 12345678901234567890123 " * 10
+    rows = stored(pii._overlapping(pii.candidates(spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit(text), F.col("id").cast("string")).alias("text")))))
+    wanted = rows.filter("valid or (wide = 1 and not covered)")
+    valid, others = wanted.filter("valid").count(), wanted.filter("not valid and not sound").count()
+    kept = []
+    monkeypatch.setattr(pii, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    pii.learn(rows)
+    assert valid + others > 30_000
+    assert kept[0].filter("wide = 0").agg(F.sum("n")).first()[0] == valid
+    assert kept[0].agg(F.sum("n")).first()[0] >= valid + others
+
+
+def test_tasks_free_what_other_operators_remember():
+    bpe.encoder(PATH, PATTERN)("some words")
+    begin_task(bpe.__name__)
+    assert bpe.encoder.cache_info().currsize == 1
+    begin_task(toxicity.__name__)
+    assert bpe.encoder.cache_info().currsize == 0
+
+
 def test_toxicity(spark, docs, none):
     rows = []
     for i in range(600):
