@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import functools
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
@@ -14,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import fields, plain
+from rillmark.llm.common import begin_task, fields, plain, remembered
 
 #: Parts of texts, pairs and states a worker remembers; when full, the memory starts anew (results do not depend on it).
 MAX_PARTS, MAX_PAIRS, MAX_STATES = 2**19, 2**19, 2**19
@@ -242,7 +241,7 @@ class Utf8Stream:
         return text
 
 
-@functools.lru_cache(maxsize=4)
+@remembered
 def encoder(path: str, pattern: str):
     return Parts(Transducer(read_ranks(path)), pattern).of_text
 
@@ -266,7 +265,7 @@ class Vocabulary:
         return self.bytes[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[ids] - ends + length, length)].tobytes()
 
 
-@functools.lru_cache(maxsize=4)
+@remembered
 def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
@@ -306,6 +305,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     arrow = pa.schema([("doc_id", _arrow_type(rows)), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
+        begin_task(__name__)
         encode = encoder(path, pattern)
         return _emit(batches, "text", lambda text: ((len(ids := encode(text)) // 4), ids), arrow)
 
@@ -319,6 +319,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     arrow = pa.schema([("doc_id", _arrow_type(rows)), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("text", pa.string())])
 
     def run(batches):
+        begin_task(__name__)
         vocabulary = _vocabulary(path)
         return _emit(batches, "ids", lambda ids: ("".join(decode(ids or b"", vocabulary)),), arrow)
 
@@ -332,6 +333,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     arrow = pa.schema([("doc_id", _arrow_type(rows)), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def run(batches):
+        begin_task(__name__)
         encode, vocabulary = encoder(path, pattern), _vocabulary(path)
         return _emit(batches, "text", lambda text: (len(ids := encode(text)) // 4, ids, "".join(decode(ids, vocabulary))), arrow)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,6 +58,26 @@ def discard(*tables: DataFrame) -> None:
     tables[0].sparkSession._jvm.java.lang.System.gc()
 
 
+#: What operators remember in a Python worker from task to task, by the module that does.
+_MEMORIES: dict[str, list] = {}
+
+
+def remembered(fn: Callable) -> Callable:
+    """``fn`` with its last four results kept from task to task, until a task of another operator begins in the same worker."""
+    kept = functools.lru_cache(maxsize=4)(fn)
+    _MEMORIES.setdefault(fn.__module__, []).append(kept)
+    return kept
+
+
+def begin_task(module: str) -> None:
+    """Free what other operators than ``module`` remember in this Python worker: workers outlive the stage they were started for."""
+    others = [kept for name, all_kept in _MEMORIES.items() if name != module for kept in all_kept if kept.cache_info().currsize]
+    for kept in others:
+        kept.cache_clear()
+    if others:
+        gc.collect()
+
+
 def plain(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import discard, fields, plain, set_aside, stored, text_key
+from rillmark.llm.common import begin_task, discard, fields, plain, set_aside, stored, text_key
 
 #: Seed of the shingles' hash (fixed value of the contract).
 SEED = 42
@@ -78,6 +78,7 @@ def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64, distinct: bool
     names = [f"f{k}" for k in range(lanes)]
 
     def run(batches):
+        begin_task(__name__)
         for batch in batches:
             made = np.array([fingerprint(t.as_py(), words, lanes, distinct) for t in batch.column("text")], np.int64).reshape(-1, lanes)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *(pa.array(made[:, k]) for k in range(lanes))], ["doc_id", "key", *names])
@@ -217,6 +218,7 @@ def alike(docs: DataFrame, prints: DataFrame, links: DataFrame, words: int, simi
     rows = rows.join(ours, same).select("id", "text")
 
     def run(batches):
+        begin_task(__name__)
         for batch in batches:
             for k, t in zip(batch.column("id"), batch.column("text")):
                 sets = pa.array([shingle_set(t.as_py(), words).view(np.int64)], pa.list_(pa.int64()))
@@ -235,6 +237,7 @@ def common_shingles(rows: DataFrame, words: int) -> DataFrame:
     """(token, n): shingles of the texts (h1, text) that two or more of a sample have, MOST_COMMON of them at most."""
 
     def run(batches):
+        begin_task(__name__)
         for batch in batches:
             for begin in range(0, len(batch), 256):
                 sets = [shingle_set(t.as_py(), words) for t in batch.column("text")[begin : begin + 256]]

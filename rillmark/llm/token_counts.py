@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import os
 from collections.abc import Iterable, Iterator
 
@@ -13,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import fields, plain
+from rillmark.llm.common import begin_task, fields, plain, remembered
 
 #: Bytes encoded by one call, parts whose lengths a worker remembers (when full, it starts anew), and the longest one it remembers.
 BATCH_BYTES, MAX_PARTS, LONGEST = 1 << 20, 1 << 20, 48
@@ -24,7 +23,7 @@ BORDER = regex.compile(r"(?=[ \n][!-;=-~\p{L}\p{N}])", regex.V1)
 UNSAFE = 1 << 48
 
 
-@functools.lru_cache(maxsize=4)
+@remembered
 def counter(path: str):
     """A function from a list of texts to their numbers of tokens. ``.json`` files are read by tokenizers (without padding or truncation,
     special strings as the file has them), ``.model`` files by sentencepiece; neither adds tokens of its own."""
@@ -116,7 +115,7 @@ def batches_by_bytes(texts: Iterable[str], split: bool, size: int = BATCH_BYTES)
         yield parts, owners
 
 
-@functools.lru_cache(maxsize=4)
+@remembered
 def lengths(path: str) -> Lengths:
     return Lengths(counter(path), _splits(path))
 
@@ -133,6 +132,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(__name__)
         known = lengths(path)
         for batch in batches:
             column = batch.column("text")
@@ -145,7 +145,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
 
 
-@functools.lru_cache(maxsize=4)
+@remembered
 def _splits(path: str) -> bool:
     """Whether the file cuts texts by the byte-level pattern before anything else, so that BORDER is safe."""
     if not path.endswith(".json"):

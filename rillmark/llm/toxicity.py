@@ -15,7 +15,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import fields, plain, stored
+from rillmark.llm.common import begin_task, fields, plain, stored
 
 #: Labelled rows learned from, at most (drawn by hash).
 MAX_LABELLED = 40_000
@@ -100,6 +100,7 @@ def with_features(docs: DataFrame, weights: dict[str, float], *keep: str) -> Dat
     rows = docs.select(*keep, plain("text").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(__name__)
         lexicon = Lexicon(weights)
         for batch in batches:
             made = [features(t.as_py(), lexicon) for t in batch.column("text")]
@@ -114,6 +115,7 @@ def stem_counts(train: DataFrame) -> DataFrame:
     a text counts a stem OFTEN times at most. Each task adds up its own texts first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(__name__)
         bad, bad_texts, every = Counter(), Counter(), Counter()
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic")):
