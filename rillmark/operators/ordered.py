@@ -93,8 +93,13 @@ def ordered_counts(df: DataFrame, keys: list[str], value: str, bounded: bool = F
     """
     base = df.select(*keys, value)
     if bounded:
-        # one shuffle serves the merge of equal values and the window
-        base = base.repartition(*keys)
+        # one shuffle and one sort find the runs; a task holds the rows of one key besides the sort, no table of all its runs
+        run, whole = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last()), Window.partitionBy(*keys)
+        marked = base.withColumns({
+            "below_m": F.rank().over(run).cast("long") - 1, "_row": F.row_number().over(run),
+            "_upto": F.count(value).over(run.rangeBetween(Window.unboundedPreceding, Window.currentRow)), "all_m": F.count(value).over(whole)})
+        return marked.where(F.col("_row") == F.col("below_m") + 1).select(
+            *keys, value, (F.col("_upto") - F.col("below_m")).alias("m"), "below_m", "all_m")
     base = base.groupBy(*keys, value).agg(F.count(value).alias("m"))
     return running_totals(base, keys, [value], ["m"], bounded, ranges)
 

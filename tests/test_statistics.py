@@ -98,6 +98,14 @@ def test_ranges_of_more_rows_than_whole_numbers_allow(spark):
     assert len(sizes) == 16 and sum(sizes) == n and max(sizes) < 2 * n / 16
 
 
+def test_bounded_runs_are_found_by_one_sort(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, 2.0), (1, None), (1, 1.0), (2, None), (1, None)], "k INT, x DOUBLE")
+    out = O.ordered_counts(df, ["k"], "x", bounded=True)
+    assert {(r.k, r.x, r.m, r.below_m, r.all_m) for r in out.collect()} == {(1, 1.0, 1, 0, 3), (1, 2.0, 2, 1, 3), (1, None, 0, 3, 3), (2, None, 0, 0, 0)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Exchange") == 1
+
+
 def test_missing_values_come_last_in_hot_keys(skewed, spark):
     df, rows = skewed
     gaps = df.unionByName(spark.createDataFrame([(0, None, 1.0)] * 7, df.schema))
