@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as C
 from ..functions import crops as G
 from ..functions import numeric as N
+from ..session import cut_lineage
 from .integrate import ensemble_summary
 from .joins import psum
 from .spatial import block_aggregate, mean_doy, on_coverage
@@ -101,11 +102,12 @@ def allocate_production(production: DataFrame, sources: DataFrame, names: DataFr
     ``production`` has (row_no, col_no, source, production), ``sources`` (source, crop_id), ``names``
     (crop_id, name, n_subcrops), ``fractions`` (row_no, col_no, name, area_frac) on a grid ``factor``
     times coarser. Source crops are added per crop; crops with several subcrops are split by area
-    share, where an unknown share is 0.
+    share, where an unknown share is 0. ``sources`` and ``names`` are lists of crops and broadcast: by crop, a few tasks would hold
+    all cells.
     """
-    per_crop = (production.join(sources, "source").groupBy("row_no", "col_no", "crop_id")
+    per_crop = (production.join(F.broadcast(sources), "source").groupBy("row_no", "col_no", "crop_id")
                 .agg(F.coalesce(F.sum("production"), F.lit(0.0)).alias("production")))
-    cells = per_crop.join(names, "crop_id")
+    cells = per_crop.join(F.broadcast(names), "crop_id")
     key = {"_r": F.floor(F.col("row_no") / factor).cast("int"), "_c": F.floor(F.col("col_no") / factor).cast("int")}
     shares = fractions.select(F.col("row_no").alias("_r"), F.col("col_no").alias("_c"), "name", "area_frac")
     out = cells.withColumns(key).join(shares, ["_r", "_c", "name"], "left")
@@ -277,8 +279,10 @@ def fit_yield_model(features: DataFrame, inputs: list[str], label: str, seed: in
 def score_yield(features: DataFrame, models: dict[str, object]) -> DataFrame:
     """Predicted yields, one row per row of ``features``, each crop by its own model.
 
-    Where an input is missing the yield is missing; a crop without a model is an error.
+    Where an input is missing the yield is missing; a crop without a model is an error. Every crop reads the features, so they are
+    written once.
     """
+    features = cut_lineage(features)
     name = model_name(F.col("crop"))
     known = F.coalesce(name.isin(list(models)), F.lit(False))
     unknown = F.raise_error(F.concat(F.lit("no model for crop "), F.coalesce(F.col("crop"), F.lit("(missing)")))).cast("double")

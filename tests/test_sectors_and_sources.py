@@ -234,3 +234,24 @@ def test_streaming_drops_late_rows(spark, tmp_path):
         R.run_to_files(R.daily_totals(stream, ["cell_id"], "ts", "v", "1 day"), out, progress, drain=True).awaitTermination()
     totals = {r.day.day: r.v for r in spark.read.parquet(out).collect()}
     assert totals == {1: 6.0, 5: 2.0}
+
+
+def test_features_are_scored_from_one_written_table(spark):
+    made = spark.range(40).select(F.col("id").alias("cell_id"), F.lit("maize").alias("crop"), F.col("id").cast("double").alias("x"))
+    model = G.fit_yield_model(made.withColumn("y", F.col("x") * 2), ["x"], "y", trees=2)
+    plan = G.score_yield(made, {"maize": model})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan
+
+
+def test_no_shuffle_by_crop(spark):
+    prod = spark.range(100).select((F.col("id") / 10).cast("int").alias("row_no"), (F.col("id") % 10).cast("int").alias("col_no"), F.lit("a").alias("source"), F.lit(1.0).alias("production"))
+    fractions = spark.createDataFrame([(0, 0, "c", 1.0)], "row_no INT, col_no INT, name STRING, area_frac DOUBLE")
+    names = spark.range(1).select(F.lit(1).alias("crop_id"), F.lit("c").alias("name"), F.lit(1).alias("n_subcrops"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = G.allocate_production(prod, spark.range(1).select(F.lit("a").alias("source"), F.lit(1).alias("crop_id")), names, fractions, 4)
+        assert "hashpartitioning(crop_id" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
