@@ -190,10 +190,8 @@ def _gamma_series(a: Column, x: Column, lg: Column) -> Column:
     """x^a e^-x / gamma(a + 1) times the sum of x^n / ((a + 1) ... (a + n)) (DLMF 8.7.1): all terms are positive, so nothing cancels."""
     terms = F.ceil(F.greatest(F.lit(0.0), x - a) + 9 * F.sqrt(x) + 40).cast("int")
 
-    def add(acc: Column, n: Column) -> Column:
-        return F.transform(F.array(acc["t"] * x / (a + n)), lambda t: F.struct(t.alias("t"), (acc["s"] + t).alias("s")))[0]
-
-    total = F.aggregate(F.sequence(F.lit(1), terms), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")), add, lambda acc: acc["s"])
+    # from the last term back, 1 + x / (a + 1) (1 + x / (a + 2) (1 + ...)): one number goes from step to step
+    total = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), F.lit(1.0), lambda s, n: 1 + s * x / (a + n))
     return total * F.exp(a * F.ln(x) - x - lg - F.ln(a))
 
 
@@ -227,8 +225,10 @@ def inverse_lower_gamma(a: Column, p: Column, lg: Column) -> Column:
         def moved(f: Column) -> Column:
             lo, hi = F.when(f < 0, x).otherwise(acc["lo"]), F.when(f < 0, acc["hi"]).otherwise(x)
             newton = x - F.try_divide(f, F.exp((a - 1) * F.ln(x) - x - lg))
-            there = F.abs(newton - x) <= 1e-15 * x
-            to = F.when((newton >= lo) & (newton <= hi), newton).otherwise((lo + hi) / 2)
+            inside = (newton >= lo) & (newton <= hi)
+            # the error is squared by each of Newton's steps, so the one after a step this small would change no digit
+            there = inside & (F.abs(newton - x) <= 1e-9 * x)
+            to = F.when(inside, newton).otherwise((lo + hi) / 2)
             return F.struct(lo.alias("lo"), hi.alias("hi"), to.alias("x"), F.coalesce(there, F.lit(False)).alias("there"))
 
         return F.when(acc["there"], acc).otherwise(F.transform(F.array(lower_gamma(a, x, lg) - p), moved)[0])
