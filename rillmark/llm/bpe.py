@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from rillmark.llm.common import begin_task, fields, plain, remembered
 
-#: Parts of texts, pairs and states a worker remembers; when full, the memory starts anew (results do not depend on it).
-MAX_PARTS, MAX_PAIRS, MAX_STATES = 2**19, 2**19, 2**19
+#: Parts of texts, pairs and states a worker remembers (results do not depend on it). When half the parts are there, those not met since
+#: the last time are forgotten; pairs and states start anew when full. A test holds the bytes of a part and of a move with its state to 250 each on average.
+MAX_PARTS, MAX_PAIRS, MAX_STATES = 2**18, 2**17, 2**18
 #: Bytes of a part that are remembered, and bytes of a piece after which tokens are given out that no further byte can change.
 LONGEST, SETTLE = 48, 1 << 12
 #: A pattern that begins a match at the last white space of every run of it that a visible character follows, so that a text may be cut
@@ -24,7 +25,7 @@ LONGEST, SETTLE = 48, 1 << 12
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BORDER = regex.compile(r"(?=[ \n][!-~\p{L}\p{N}])", regex.V1)
 #: Bytes of results handed over at a time, and ids decoded at a time.
-OUT_BYTES, CHUNK_IDS = 16 << 20, 1 << 16
+OUT_BYTES, CHUNK_IDS = 4 << 20, 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,11 +45,14 @@ class Transducer:
     a state is the hypotheses alive after a prefix, the longest first. A move reads a byte and puts out the one token that can end there;
     what is put out at the end, and before the token found there, and so on, is the sequence. Where the sequences before all hypotheses meet,
     nothing before can change, so tokens can be given out while a long piece is read. As a state knows nothing of the tokens before its
-    hypotheses, pieces share states. States and moves are made when first needed.
+    hypotheses, pieces share states. States and moves are made when first needed, and kept as packed numbers: a hypothesis is its node and, in
+    the low bits, the token before plus one; what a move leads to is the state's number, 8 bits for the next byte, and its token plus one.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.token, self.depth = ranks, array("i", [-1]), array("i", [0])
+        self.bits = (max(ranks.values(), default=0) + 1).bit_length()
+        self.mask = (1 << self.bits) - 1
         #: node * 256 + byte -> node, and the nodes that have children
         self.child: dict[int, int] = {}
         self.bytes_of = {r: t for t, r in ranks.items()}
@@ -69,7 +73,8 @@ class Transducer:
 
     def forget(self) -> None:
         """Start with no states but the first: no token unfinished, none before."""
-        self.number, self.states, self.moves = {((0, -1),): 0}, [((0, -1),)], {}
+        first = array("q", [0]).tobytes()
+        self.number, self.states, self.moves = {first: 0}, [first], {}
 
     def merge(self, data: bytes, parts_left: int = 1) -> list[bytes]:
         """The plain definition: join the neighbours of lowest rank until none can be joined or ``parts_left`` remain."""
@@ -126,24 +131,26 @@ class Transducer:
             else:
                 j += 1
 
-    def move(self, state: int, byte: int) -> tuple[int, int]:
-        """The state after a byte and the token that ends with it."""
-        alive, token_here = [], -1
-        for node, last in self.states[state]:
-            child = self.child.get(node << 8 | byte)
+    def move(self, state: int, byte: int) -> int:
+        """The state after a byte and the token that ends with it, packed; ``state`` is a number with 8 bits for the byte."""
+        alive, token_here, bits, mask = array("q"), -1, self.bits, self.mask
+        for hypothesis in memoryview(self.states[state >> 8]).cast("q"):
+            child = self.child.get((hypothesis >> bits) << 8 | byte)
             if child is not None:
+                last = hypothesis & mask
                 if child in self.inner:
-                    alive.append((child, last))
+                    alive.append(child << bits | last)
                 token = self.token[child]
-                if token_here < 0 <= token and self.fits(last, token):
+                if token_here < 0 <= token and self.fits(last - 1, token):
                     token_here = token
-        after = (*alive, (0, token_here))
+        alive.append(token_here + 1)
+        after = alive.tobytes()
         number = self.number.get(after)
         if number is None:
             number = self.number[after] = len(self.states)
             self.states.append(after)
         self.made += 1
-        found = self.moves[state << 8 | byte] = number, token_here
+        found = self.moves[state | byte] = number << 8 + bits | token_here + 1
         return found
 
     def encode(self, piece: bytes) -> list[int]:
@@ -152,12 +159,14 @@ class Transducer:
         if len(self.states) > MAX_STATES:
             self.forgot += 1
             self.forget()
-        state, ends, out, known, full = 0, [], [], self.moves.get, SETTLE
-        for byte in piece:
-            state, token = known(state << 8 | byte) or self.move(state, byte)
-            ends.append(token)
+        state, ends, out, known, bits, full = 0, [], [], self.moves.get, self.bits, SETTLE
+        for at in range(0, len(piece), SETTLE):
+            for byte in piece[at : at + SETTLE]:
+                found = known(state | byte) or self.move(state, byte)
+                state = found >> bits
+                ends.append(found)
             if len(ends) >= full:
-                settled = self._settled(state, ends)
+                settled = self._settled(state >> 8, ends)
                 out += self._back(ends[:settled])
                 del ends[:settled]
                 full = max(SETTLE, 2 * len(ends))
@@ -166,20 +175,20 @@ class Transducer:
     def _settled(self, state: int, ends: list[int]) -> int:
         """The last place at which the sequences before all hypotheses of a state have a border."""
         common = None
-        for node, _ in self.states[state]:
-            at = len(ends) - self.depth[node]
+        for hypothesis in memoryview(self.states[state]).cast("q"):
+            at = len(ends) - self.depth[hypothesis >> self.bits]
             borders = {at}
             while at:
-                at -= self.length[ends[at - 1]]
+                at -= self.length[(ends[at - 1] & self.mask) - 1]
                 borders.add(at)
             common = borders if common is None else common & borders
         return max(common)
 
     def _back(self, ends: list[int]) -> list[int]:
-        """The tokens of bytes each of which has the token that would end with it, from the last one back."""
-        out, at = [], len(ends)
+        """The tokens of bytes each of which has the move that would end with it, from the last one back."""
+        out, at, mask = [], len(ends), self.mask
         while at:
-            out.append(ends[at - 1])
+            out.append((ends[at - 1] & mask) - 1)
             at -= self.length[out[-1]]
         return out[::-1]
 
@@ -189,6 +198,8 @@ class Parts(dict):
 
     def __init__(self, transducer: Transducer, pattern: str):
         self.transducer, self.find, self.cut = transducer, regex.compile(pattern).findall, pattern == BYTE_LEVEL
+        #: those of the time before; one that is met again comes back
+        self.before: dict[str, bytes | None] = {}
 
     def pieces(self, text: str) -> bytes:
         ids = [i for piece in self.find(text) for i in self.transducer.encode(piece.encode())]
@@ -196,10 +207,14 @@ class Parts(dict):
 
     def __missing__(self, part: str) -> bytes | None:
         """None for a part that may not be cut off before it."""
-        text = part if part[:1] == "\n" else " " + part
-        packed = self.pieces(text) if BORDER.match(text) else None
+        if part in self.before:
+            packed = self.before[part]
+        else:
+            text = part if part[:1] == "\n" else " " + part
+            packed = self.pieces(text) if BORDER.match(text) else None
         if len(part) < LONGEST:
-            if len(self) >= MAX_PARTS:
+            if len(self) >= MAX_PARTS // 2:
+                self.before = dict(self)
                 self.clear()
             self[part] = packed
         return packed
@@ -279,7 +294,7 @@ def decode(ids: bytes, vocabulary: Vocabulary) -> Iterator[str]:
 
 
 def _emit(batches: Iterable[pa.RecordBatch], column: str, fn, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Replace ``column`` by the columns ``fn`` makes of its values; hand over about OUT_BYTES at a time."""
+    """Replace ``column`` by the columns ``fn`` makes of its values; hand over about OUT_BYTES at a time, and give back what Arrow held of them."""
     names = [n for n in schema.names]
     for batch in batches:
         keep = [n for n in names if n in batch.schema.names]
@@ -291,7 +306,8 @@ def _emit(batches: Iterable[pa.RecordBatch], column: str, fn, schema: pa.Schema)
             if size >= OUT_BYTES or i == batch.num_rows - 1:
                 new = iter(zip(*made))
                 yield pa.record_batch([batch.column(n).slice(begun, i + 1 - begun) if n in keep else pa.array(next(new), schema.field(n).type) for n in names], schema=schema)
-                made, begun, size = [], i + 1, 0
+                made, begun, size, new = [], i + 1, 0, None
+                pa.default_memory_pool().release_unused()
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -7,6 +7,7 @@ import gc
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,12 +71,14 @@ def remembered(fn: Callable) -> Callable:
 
 
 def begin_task(module: str) -> None:
-    """Free what other operators than ``module`` remember in this Python worker: workers outlive the stage they were started for."""
+    """Free what other operators than ``module`` remember in this Python worker, and what Arrow holds of earlier batches: workers outlive the
+    stage they were started for."""
     others = [kept for name, all_kept in _MEMORIES.items() if name != module for kept in all_kept if kept.cache_info().currsize]
     for kept in others:
         kept.cache_clear()
     if others:
         gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def plain(text: Column | str) -> Column:

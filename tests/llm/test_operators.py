@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import io
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -426,6 +427,23 @@ def test_bpe_states_repeat(spark):
         bpe.Vocabulary(PATH).join(np.array([50256]))
 
 
+def test_bpe_memory(spark, monkeypatch):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    own = bpe.Parts(bpe.Transducer(bpe.read_ranks(PATH)), PATTERN)
+    tracemalloc.start()
+    for text in texts:
+        own.of_text(text)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    print(f"{held} bytes, {len(own)} parts, {len(own.transducer.moves)} moves")
+    assert held < 250 * (len(own) + len(own.transducer.moves))
+    monkeypatch.setattr(bpe, "MAX_PARTS", 64)
+    few = bpe.Parts(own.transducer, PATTERN)
+    for text in texts[:100]:
+        assert few.of_text(text) == own.of_text(text)
+        assert len(few) + len(few.before) <= 64
+
+
 def test_utf8_stream():
     stream, data = bpe.Utf8Stream(), "aé€🙂".encode()
     assert [stream.feed(data[i : i + 1]) for i in range(len(data))] == ["a", "", "é", "", "", "€", "", "", "", "🙂"]
